@@ -1,13 +1,13 @@
 """Connected components by repeated contraction.
 
-In every round each vertex picks the neighbour (or itself) that comes first in a random order,
-and all edges are rewritten to the picked vertices. Edges within one vertex vanish, so
-the graph shrinks geometrically until it is empty, also for long chains; each round costs
-one aggregation, one rewriting of the edges and one distinct on what is left. See
-Boegeholz, Brand, Todor: In-database connected component analysis (ICDE 2020).
+In every round each vertex picks, of all vertices within two steps, the one that comes first in
+a random order, and all edges are rewritten to the picked vertices. Edges within one vertex
+vanish, so the graph shrinks geometrically until it is empty, also for long chains. The order is
+drawn anew for each round, as in Boegeholz, Brand, Todor: In-database connected component
+analysis (ICDE 2020).
 """
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tagloom.operators.skew import HOT_SHARE, lookup_join
 from tagloom.session import Scratch
@@ -30,10 +30,11 @@ def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS,
         turn = len(picks)
         if turn == max_rounds:
             raise RuntimeError(f"components not complete after {max_rounds} rounds")
-        picked = scratch.save(_pick(pairs, turn), f"picks_{turn}")
+        nearest = scratch.save(_nearest(pairs, turn), f"nearest_{turn}")
+        picked = scratch.save(_pick(pairs, nearest, max_broadcast_bytes), f"picks_{turn}")
         picks.append(picked)
         pairs = scratch.save(_contract(pairs, picked, max_broadcast_bytes), f"pairs_{turn + 1}")
-        scratch.drop(f"pairs_{turn}")
+        scratch.drop(f"pairs_{turn}", f"nearest_{turn}")
 
     if not picks:
         labels = edges.select(F.col("src").alias("id"), F.col("src").alias("component"))
@@ -55,31 +56,43 @@ def _pairs(edges: DataFrame) -> DataFrame:
             .distinct())
 
 
-def _pick(pairs: DataFrame, turn: int) -> DataFrame:
-    """For each vertex its `pick` in this turn's order, and its number of edges."""
-    ends = pairs.select(F.explode(F.array(
-        F.struct(F.col("u").alias("vertex"), F.col("v").alias("other")),
-        F.struct(F.col("v").alias("vertex"), F.col("u").alias("other")))).alias("end")).select("end.*")
+def _first_seen(pairs: DataFrame, seen: Column) -> DataFrame:
+    """For each vertex the smallest value `seen` on its edges as `pick`, and the number of edges."""
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("vertex"), seen.alias("seen"))
+    return ends.groupBy("vertex").agg(F.min("seen").alias("pick"), F.count("*").alias("degree"))
 
+
+def _nearest(pairs: DataFrame, turn: int) -> DataFrame:
+    """The first in this turn's order of each vertex and its neighbours."""
     def place(vertex):
-        """Place in the order of this turn; the id itself settles equal hashes."""
-        return F.struct(F.xxhash64(F.col(vertex), F.lit(turn)).alias("hash"), F.col(vertex).alias("id"))
+        """Place in the order; the id itself settles equal hashes."""
+        return F.struct(F.xxhash64(vertex, F.lit(turn)).alias("hash"), vertex.alias("id"))
 
-    picked = ends.groupBy("vertex").agg(F.min(place("other")).alias("first"),
-                                        F.count("*").alias("degree"))
-    return picked.select("vertex", F.least("first", place("vertex"))["id"].alias("pick"), "degree")
+    return _first_seen(pairs, F.least(place(F.col("u")), place(F.col("v"))))
 
 
-def _contract(pairs: DataFrame, picked: DataFrame, max_bytes: int | None) -> DataFrame:
-    """Edges between the picks of their ends. A vertex with a large share of the edges is hot;
-    by its degree it is known which those are, 2 / HOT_SHARE at most."""
+def _pick(pairs: DataFrame, nearest: DataFrame, max_bytes: int | None) -> DataFrame:
+    """`pick`: the first in order of all vertices within two steps."""
+    seen = _first_seen(_with_ends(pairs, nearest, max_bytes), F.least("new_u", "new_v"))
+    return seen.withColumn("pick", F.col("pick")["id"])
+
+
+def _with_ends(pairs: DataFrame, picked: DataFrame, max_bytes: int | None) -> DataFrame:
+    """Add the picks of both ends as `new_u` and `new_v`. A vertex with a large share of the edges
+    is hot; the degrees tell which those are, 2 / HOT_SHARE at most."""
     ends = picked.agg(F.sum("degree")).scalar()
     hot = picked.where(F.col("degree") >= ends * (HOT_SHARE / 2)).select("vertex")
     for end in ("u", "v"):
         lookup = picked.select(F.col("vertex").alias(end), F.col("pick").alias(f"new_{end}"))
         pairs = lookup_join(pairs, lookup, end, "inner",
                             hot=hot.withColumnRenamed("vertex", end), max_bytes=max_bytes)
-    return _pairs(pairs.select(F.col("new_u").alias("src"), F.col("new_v").alias("dst")))
+    return pairs
+
+
+def _contract(pairs: DataFrame, picked: DataFrame, max_bytes: int | None) -> DataFrame:
+    """Edges between the picks of their ends."""
+    moved = _with_ends(pairs, picked, max_bytes)
+    return _pairs(moved.select(F.col("new_u").alias("src"), F.col("new_v").alias("dst")))
 
 
 def _unfold(picks: list[DataFrame], scratch: Scratch, max_bytes: int | None) -> DataFrame:

@@ -20,9 +20,8 @@ def locate(points: DataFrame, ranges: dict[str, DataFrame]) -> DataFrame:
     """
     addresses = (points.select("ip").where(F.col("ip").isNotNull()).distinct()
                  .withColumn("_position", ip_to_long(F.col("ip"))))
-    valid = F.col("_position").isNotNull()
     # Ranges come before addresses at the same position.
-    events = addresses.where(valid).withColumn("_order", F.lit(2))
+    events = addresses.withColumn("_order", F.lit(2))
     for name, table in ranges.items():
         records = (table.select("start_ip", F.struct(*table.columns).alias(name))
                    .withColumnRenamed("start_ip", "_position"))
@@ -31,7 +30,9 @@ def locate(points: DataFrame, ranges: dict[str, DataFrame]) -> DataFrame:
                   .unionByName(_carried(records, name).withColumn("_order", F.lit(0)),
                                allowMissingColumns=True))
 
-    block = F.shiftright("_position", _BLOCK_BITS)
+    # Texts that are no addresses have no position; they go to blocks of their own.
+    block = F.coalesce(F.shiftright("_position", _BLOCK_BITS),
+                       -1 - F.pmod(F.xxhash64("ip"), F.lit(_BLOCKS)))
     ends = [F.col(name)["end_ip"] for name in ranges]
     until_here = (Window.partitionBy(block).orderBy("_position", "_order", *ends)
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -39,8 +40,7 @@ def locate(points: DataFrame, ranges: dict[str, DataFrame]) -> DataFrame:
     placed = events.withColumns(nearest).where(F.col("ip").isNotNull())
     held = [F.when(F.col("_position") <= F.col(name)["end_ip"], F.col(name)).alias(name)
             for name in ranges]
-    return (placed.select("ip", *held)
-            .unionByName(addresses.where(~valid).select("ip"), allowMissingColumns=True))
+    return placed.select("ip", *held)
 
 
 def _carried(records: DataFrame, name: str) -> DataFrame:

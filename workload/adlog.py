@@ -69,8 +69,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def adlog(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The named columns of the log. Customers are joined only if the region is asked for."""
     columns = columns or (*EXTRA, *ODS.names)
-    events = table(spark, sf_dir, "events").withColumn(
-        "k", F.get_json_object("props", "$.k").cast("bigint"))
+    # A generator, so that conditions on derived columns do not parse the JSON again.
+    events = (table(spark, sf_dir, "events").select("*", F.json_tuple("props", "k").alias("k"))
+              .withColumn("k", F.col("k").cast("bigint")))
     made = [F.expr(_rule(ODS[c])).cast(ODS[c].dataType).alias(c)
             for c in columns if c not in EXTRA and c not in REGION]
     rows = events.select(*EXTRA, *made)
