@@ -1,4 +1,4 @@
-"""Geohash of a coordinate, as one expression."""
+"""Geohash of a coordinate, as one small expression."""
 
 from pyspark.sql import Column, functions as F
 
@@ -6,24 +6,36 @@ from pyspark.sql import Column, functions as F
 _ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 
 
-def geohash(longitude, latitude, length: int = 8) -> Column:
-    """Cell of the given number of characters; NULL off the map or without a coordinate."""
-    bits = 5 * length
-    lon_bits, lat_bits = (bits + 1) // 2, bits // 2
-    lon = _cell(longitude, 180.0, lon_bits)
-    lat = _cell(latitude, 90.0, lat_bits)
+def _pair(lon: int, lat: int) -> str:
+    """The two characters of five longitude and five latitude bits, longitude first."""
+    code = 0
+    for bit in range(4, -1, -1):
+        code = code << 2 | (lon >> bit & 1) << 1 | lat >> bit & 1
+    return _ALPHABET[code >> 5] + _ALPHABET[code & 31]
+
 
-    def bit(position):
-        """Bit `position` of the interleaved code, counted from the left, longitude first."""
-        axis, count = (lon, lon_bits) if position % 2 == 0 else (lat, lat_bits)
-        return F.shiftright(axis, count - 1 - position // 2).bitwiseAND(1)
+_PAIRS = ",".join(_pair(lon, lat) for lon in range(32) for lat in range(32))
 
-    def character(index):
-        value = sum((bit(5 * index + i) * (16 >> i) for i in range(5)), F.lit(0))
-        return F.substring(F.lit(_ALPHABET), (value + 1).cast("int"), F.lit(1))
+
+def geohash(longitude, latitude, length: int = 8) -> Column:
+    """Cell of an even number of characters; NULL off the map or without a coordinate.
+
+    Two characters at a time come from a table, which keeps the generated code small enough to
+    be compiled.
+    """
+    if length % 2:
+        raise ValueError("length must be even")
+    bits = 5 * length // 2
+    lon, lat = _cell(longitude, 180.0, bits), _cell(latitude, 90.0, bits)
+    pairs = F.split(F.lit(_PAIRS), ",")
+
+    def characters(shift):
+        index = (F.shiftright(lon, shift).bitwiseAND(31) * 32
+                 + F.shiftright(lat, shift).bitwiseAND(31))
+        return F.get(pairs, index.cast("int"))
 
     on_map = longitude.between(-180, 180) & latitude.between(-90, 90)
-    return F.when(on_map, F.concat(*[character(i) for i in range(length)]))
+    return F.when(on_map, F.concat(*[characters(s) for s in range(bits - 5, -1, -5)]))
 
 
 def _cell(degrees, half_span, bits):

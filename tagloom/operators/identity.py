@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tagloom.functions.predicates import any_non_blank
 from tagloom.operators.components import connected_components
 from tagloom.operators.skew import lookup_join
+from tagloom.operators.tags import explode_tags
 from tagloom.schema import ID_COLUMNS
 
 
@@ -19,8 +20,8 @@ def identified_rows(df: DataFrame) -> DataFrame:
 
 def identity_edges(records: DataFrame) -> DataFrame:
     """Edges from the main id of a record to each of its `ids`, itself included."""
-    return (records.select(F.col("ids")[0].alias("src"), F.explode("ids").alias("dst"))
-            .distinct())
+    return (records.select(F.get("ids", F.lit(0)).alias("src"), F.explode_outer("ids").alias("dst"))
+            .where(F.col("dst").isNotNull()).distinct())
 
 
 def members_of(edges: DataFrame) -> DataFrame:
@@ -28,15 +29,14 @@ def members_of(edges: DataFrame) -> DataFrame:
     return connected_components(edges).select(F.col("component").alias("user_id"), "id")
 
 
-def with_user(records: DataFrame, members: DataFrame, column: str = "id") -> DataFrame:
-    """Add the `user_id` of the id in the given column."""
-    users = members.select(F.col("id").alias(column), "user_id")
-    return lookup_join(records, users, column, "inner")
+def with_user(records: DataFrame, members: DataFrame) -> DataFrame:
+    """Add the `user_id` of the column `id`."""
+    return lookup_join(records, members.select("id", "user_id"), "id", "inner", store_left=True)
 
 
 def id_weights(records: DataFrame) -> DataFrame:
     """Weight of each tag per main id: the number of records (`ids`, `tags`) that have it."""
-    return (records.select(F.col("ids")[0].alias("id"), F.explode("tags").alias("tag"))
+    return (explode_tags(records, F.get("ids", F.lit(0)).alias("id"))
             .groupBy("id", "tag").agg(F.count("*").cast("double").alias("weight")))
 
 

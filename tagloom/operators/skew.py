@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tagloom.functions.predicates import filled
 from tagloom.functions.salt import all_salts, row_salt
-from tagloom.session import fits_broadcast
+from tagloom.session import Scratch, fits_broadcast
 
 # A key with at least this share of the rows is hot. There are at most 1,024 such keys,
 # whatever the size of the data, so frames of one row per hot key can be broadcast.
@@ -81,7 +81,7 @@ def broadcast_join(left: DataFrame, right: DataFrame, key, how: str = "left",
 
 def lookup_join(left: DataFrame, right: DataFrame, key, how: str = "left",
                 hot: DataFrame | None = None, spread: Sequence[str] | None = None,
-                max_bytes: int | None = None) -> DataFrame:
+                max_bytes: int | None = None, store_left: bool = False) -> DataFrame:
     """Add the columns of `right`, which has at most one row per key, to `left`.
 
     `right` should be a stored table, as its size is looked at and it is read twice.
@@ -91,12 +91,16 @@ def lookup_join(left: DataFrame, right: DataFrame, key, how: str = "left",
     `spread` columns (default: of the whole row).
 
     `hot` may give the hot keys if they are known; the caller vouches for their number.
+    To find them, the keys of `left` are counted; `store_left` writes a frame that is costly to
+    compute to the shared folder first.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     keys = _as_list(key)
     if fits_broadcast(right, max_bytes):
         return left.join(F.broadcast(right), keys, how)
+    if store_left:
+        left = Scratch(left.sparkSession, "lookup").save(left, "left")
 
     values = [c for c in right.columns if c not in keys]
     record = F.struct(*[F.col(c) for c in values], F.lit(True).alias("_found"))
@@ -108,11 +112,13 @@ def lookup_join(left: DataFrame, right: DataFrame, key, how: str = "left",
     hot = (hot.join(F.broadcast(hot_records), keys, "left")
            .select(*keys, F.struct("_record").alias(_HOT)))
 
-    spread_hash = F.xxhash64(*(spread or left.columns)).bitwiseOR(F.lit(1))
+    # Ordinary rows meet their record by the hash of the key. Placed rows go anywhere; if one
+    # does meet a record, it is the one it already has.
     placed = F.col(_HOT).isNotNull() | _null_key(keys)
     marked = (left.join(F.broadcast(hot), keys, "left")
-              .withColumn(_SALT, F.when(placed, spread_hash).otherwise(F.lit(0))))
-    cold = right.select(*keys, F.lit(0).cast("bigint").alias(_SALT), record.alias(_COLD))
+              .withColumn(_SALT, F.when(placed, F.xxhash64(*(spread or left.columns)))
+                          .otherwise(F.xxhash64(*keys))))
+    cold = right.select(*keys, F.xxhash64(*keys).alias(_SALT), record.alias(_COLD))
     joined = marked.join(cold, [*keys, _SALT], "left")
     found = F.coalesce(F.col(_COLD), F.col(_HOT)["_record"])
     if how == "inner":

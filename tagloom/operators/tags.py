@@ -40,41 +40,37 @@ def with_codes(df: DataFrame, codes: DataFrame, default_code: str = OTHER_CODE)
     return df
 
 
-# -- tags, each an array; NULL values give no tag -----------------------------------
+# -- tags, each kind an array; NULL stands for no tag -----------------------------------
 
 def _tag(prefix: str, value: Column) -> Column:
     return F.concat(F.lit(prefix), value.cast("string"))
 
 
-def _present(*tags: Column) -> Column:
-    return F.array_compact(F.array(*tags))
-
-
 def _listed(prefix: str, text: Column) -> Column:
-    words = F.filter(F.split(text, ","), lambda word: word != "")
-    tags = F.transform(F.array_distinct(words), lambda word: F.concat(F.lit(prefix), word))
-    return F.coalesce(tags, F.array().cast("array<string>"))
+    """One tag per word of a comma list; empty words become the bare prefix, which is removed."""
+    prefixed = F.concat(F.lit(prefix), F.replace(text, F.lit(","), F.lit("," + prefix)))
+    return F.array_except(F.split(prefixed, ","), F.array(F.lit(prefix)))
 
 
 def app_tags() -> Column:
-    return _present(_tag(APP, F.col("appname")))
+    return F.array(_tag(APP, F.col("appname")))
 
 
 def device_tags(kind_prefix: str = NETWORK) -> Column:
     """Device, codes of client, carrier and network, and whether it is a phone or a tablet."""
     kind = F.when(F.col("devicetype") == 1, PHONE).when(F.col("devicetype").isNotNull(), TABLET)
     client = F.when(F.col("client").isNotNull(), F.col("client_code"))
-    return _present(_tag(DEVICE, F.col("device")), _tag(CLIENT, client),
+    return F.array(_tag(DEVICE, F.col("device")), _tag(CLIENT, client),
                     _tag(CARRIER, F.col("carrier_code")), _tag(NETWORK, F.col("network_code")),
                     _tag(kind_prefix, kind))
 
 
 def region_tags() -> Column:
-    return _present(_tag(PROVINCE, F.col("province")), _tag(CITY, F.col("city")))
+    return F.array(_tag(PROVINCE, F.col("province")), _tag(CITY, F.col("city")))
 
 
 def channel_tags() -> Column:
-    return _present(_tag(CHANNEL, F.col("channelid")))
+    return F.array(_tag(CHANNEL, F.col("channelid")))
 
 
 def keyword_tags() -> Column:
@@ -82,12 +78,12 @@ def keyword_tags() -> Column:
 
 
 def age_tags() -> Column:
-    return _present(_tag(AGE, F.col("age")))
+    return F.array(_tag(AGE, F.col("age")))
 
 
 def sex_tags() -> Column:
     sex = F.col("sex").cast("string")
-    return _present(_tag(SEX, F.when(sex == "0", FEMALE).when(sex.isNotNull(), MALE)))
+    return F.array(_tag(SEX, F.when(sex == "0", FEMALE).when(sex.isNotNull(), MALE)))
 
 
 def area_tags() -> Column:
@@ -102,9 +98,17 @@ TAG_KINDS: dict[str, Callable[[], Column]] = {
 
 
 def row_tags(*kinds: str) -> Column:
-    """Tags of the given kinds (default: all), each name once per row."""
-    arrays = [TAG_KINDS[kind]() for kind in kinds or TAG_KINDS]
-    return F.array_distinct(F.concat(*arrays))
+    """Tags of the given kinds (default: all), each name once per row and without NULLs."""
+    nothing = F.array(F.lit(None).cast("string"))
+    arrays = [F.coalesce(TAG_KINDS[kind](), nothing) for kind in kinds or TAG_KINDS]
+    return F.array_except(F.concat(*arrays), nothing)
+
+
+def explode_tags(records: DataFrame, *keep) -> DataFrame:
+    """One row per tag. The outer explode keeps Catalyst from computing the tags a second
+    time in a condition on their number."""
+    return (records.select(*keep, F.explode_outer("tags").alias("tag"))
+            .where(F.col("tag").isNotNull()))
 
 
 # -- identifiers --------------------------------------------------------------------

@@ -76,18 +76,19 @@ def adlog(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
             for c in columns if c not in EXTRA and c not in REGION]
     rows = events.select(*EXTRA, *made)
     if set(columns) & set(REGION):
-        rows = lookup_join(rows, _regions(spark, sf_dir), "user_id", spread=["event_id"])
+        customers = table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("user_id"), "c_nationkey")
+        rows = lookup_join(rows, customers, "user_id", spread=["event_id"])
+        rows = rows.join(F.broadcast(_nations(spark, sf_dir)),
+                         F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        rows = rows.withColumnsRenamed({"r_name": "province", "n_name": "city"})
     return rows.select(*columns)
 
 
-def _regions(spark, sf_dir) -> DataFrame:
-    nations = (table(spark, sf_dir, "nation")
-               .join(F.broadcast(table(spark, sf_dir, "region")),
-                     F.col("n_regionkey") == F.col("r_regionkey")))
-    return (table(spark, sf_dir, "customer")
-            .join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(F.col("c_custkey").alias("user_id"),
-                    F.col("r_name").alias("province"), F.col("n_name").alias("city")))
+def _nations(spark, sf_dir) -> DataFrame:
+    """The 25 nations and their regions."""
+    return table(spark, sf_dir, "nation").join(
+        F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
 
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,8 +98,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One range of addresses per nation; every fourth first octet is a gap."""
-    nations = table(spark, sf_dir, "nation").join(
-        F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    nations = _nations(spark, sf_dir)
     n = F.col("n_nationkey").cast("bigint")
     return nations.select(
         ((1 + 4 * n) * (1 << 24)).alias("start_ip"), ((4 + 4 * n) * (1 << 24) - 1).alias("end_ip"),

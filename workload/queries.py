@@ -18,7 +18,7 @@ from tagloom.operators.iprange import locate
 from tagloom.operators.keyed import delete_rows, insert_rows, update_rows, upsert_rows
 from tagloom.operators.skew import (broadcast_join, hot_keys, join_filled_keys, lookup_join,
                                     salted_agg, salted_join, split_salted_join)
-from tagloom.operators.tags import fill_app_name, row_ids, row_tags, with_codes
+from tagloom.operators.tags import explode_tags, fill_app_name, row_ids, row_tags, with_codes
 from tagloom.operators.unique import unique_by_key
 from tagloom.operators.userrows import from_text, members_and_weights, to_text, user_rows
 from tagloom.plans.ods import build_ods, distinct_ips, ip_info, ip_regions
@@ -236,7 +236,7 @@ def device_code(spark, sf_dir):
 
 
 def _tags(rows: DataFrame, *kinds: str) -> DataFrame:
-    return rows.select("sessionid", F.explode(row_tags(*kinds)).alias("tag"))
+    return explode_tags(rows.select("sessionid", row_tags(*kinds).alias("tags")), "sessionid")
 
 
 @query
@@ -290,7 +290,7 @@ def _records(spark, sf_dir) -> DataFrame:
 
 @query
 def tags_per_row(spark, sf_dir):
-    return _records(spark, sf_dir).select("sessionid", F.explode("tags").alias("tag"))
+    return explode_tags(_records(spark, sf_dir), "sessionid")
 
 
 # -- identity -----------------------------------------------------------------------
