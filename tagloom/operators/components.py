@@ -10,7 +10,7 @@ analysis (ICDE 2020).
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tagloom.operators.skew import HOT_SHARE, lookup_join
-from tagloom.session import Scratch
+from tagloom.session import Scratch, fits_broadcast
 
 MAX_ROUNDS = 100
 
@@ -24,29 +24,39 @@ def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS,
     """
     scratch = Scratch(edges.sparkSession, "components")
     edges = scratch.save(edges.select("src", "dst").dropna().distinct(), "input")
-    pairs = scratch.save(_pairs(edges), "pairs_0")
+    picks = _contract_all(scratch.save(_pairs(edges), "pairs_0"), scratch, max_rounds,
+                          max_broadcast_bytes)
+    ids = edges.where(F.col("src") == F.col("dst")).select(F.col("src").alias("id"))
+    if picks:
+        labels = _unfold(picks, scratch, max_broadcast_bytes)
+        isolated = ids.join(labels, "id", "left_anti").withColumn("component", F.col("id"))
+        labels = labels.unionByName(isolated)
+    else:
+        labels = ids.withColumn("component", F.col("id"))
+    result = scratch.save(labels, "labels")
+    scratch.drop("input", "names", f"pairs_{len(picks)}",
+                 *[f"{kind}_{turn}" for turn in range(len(picks)) for kind in ("picks", "unfolded")])
+    return result
+
+
+def _contract_all(pairs: DataFrame, scratch: Scratch, max_rounds: int,
+                  max_bytes: int | None) -> list[DataFrame]:
+    """The picks of every round until no edge is left. Only whether there is one reaches the driver."""
     picks = []
     while not pairs.isEmpty():
         turn = len(picks)
         if turn == max_rounds:
             raise RuntimeError(f"components not complete after {max_rounds} rounds")
-        nearest = scratch.save(_nearest(pairs, turn), f"nearest_{turn}")
-        picked = scratch.save(_pick(pairs, nearest, max_broadcast_bytes), f"picks_{turn}")
+        nearest = _nearest(pairs, turn)
+        # There are at most two rows per edge, and a row is about as wide as two edges.
+        small = fits_broadcast(pairs, max_bytes, growth=4)
+        if not small:
+            nearest = scratch.save(nearest, f"nearest_{turn}")
+        picked = scratch.save(_pick(pairs, nearest, max_bytes, small or None), f"picks_{turn}")
         picks.append(picked)
-        pairs = scratch.save(_contract(pairs, picked, max_broadcast_bytes), f"pairs_{turn + 1}")
+        pairs = scratch.save(_contract(pairs, picked, max_bytes), f"pairs_{turn + 1}")
         scratch.drop(f"pairs_{turn}", f"nearest_{turn}")
-
-    if not picks:
-        labels = edges.select(F.col("src").alias("id"), F.col("src").alias("component"))
-    else:
-        labels = _unfold(picks, scratch, max_broadcast_bytes)
-        isolated = (edges.where(F.col("src") == F.col("dst")).select(F.col("src").alias("id"))
-                    .join(labels, "id", "left_anti"))
-        labels = labels.unionByName(isolated.withColumn("component", F.col("id")))
-    result = scratch.save(labels.distinct() if not picks else labels, "labels")
-    scratch.drop("input", f"pairs_{len(picks)}", "folded",
-                 *[f"{kind}_{i}" for i in range(len(picks)) for kind in ("picks", "unfolded")])
-    return result
+    return picks
 
 
 def _pairs(edges: DataFrame) -> DataFrame:
@@ -71,21 +81,28 @@ def _nearest(pairs: DataFrame, turn: int) -> DataFrame:
     return _first_seen(pairs, F.least(place(F.col("u")), place(F.col("v"))))
 
 
-def _pick(pairs: DataFrame, nearest: DataFrame, max_bytes: int | None) -> DataFrame:
+def _pick(pairs: DataFrame, nearest: DataFrame, max_bytes: int | None,
+          small: bool | None) -> DataFrame:
     """`pick`: the first in order of all vertices within two steps."""
-    seen = _first_seen(_with_ends(pairs, nearest, max_bytes), F.least("new_u", "new_v"))
+    ends = _with_ends(pairs, nearest, max_bytes, small)
+    seen = _first_seen(ends, F.least("new_u", "new_v"))
     return seen.withColumn("pick", F.col("pick")["id"])
 
 
-def _with_ends(pairs: DataFrame, picked: DataFrame, max_bytes: int | None) -> DataFrame:
+def _with_ends(pairs: DataFrame, picked: DataFrame, max_bytes: int | None,
+               small: bool | None = None) -> DataFrame:
     """Add the picks of both ends as `new_u` and `new_v`. A vertex with a large share of the edges
     is hot; the degrees tell which those are, 2 / HOT_SHARE at most."""
-    ends = picked.agg(F.sum("degree")).scalar()
-    hot = picked.where(F.col("degree") >= ends * (HOT_SHARE / 2)).select("vertex")
+    if small is None:
+        small = fits_broadcast(picked, max_bytes)
     for end in ("u", "v"):
+        hot = None
+        if not small:
+            ends = picked.agg(F.sum("degree")).scalar()
+            hot = (picked.where(F.col("degree") >= ends * (HOT_SHARE / 2))
+                   .select(F.col("vertex").alias(end)))
         lookup = picked.select(F.col("vertex").alias(end), F.col("pick").alias(f"new_{end}"))
-        pairs = lookup_join(pairs, lookup, end, "inner",
-                            hot=hot.withColumnRenamed("vertex", end), max_bytes=max_bytes)
+        pairs = lookup_join(pairs, lookup, end, "inner", hot=hot, small=small)
     return pairs
 
 
@@ -99,11 +116,19 @@ def _unfold(picks: list[DataFrame], scratch: Scratch, max_bytes: int | None) ->
     """Follow the picks of all turns from the last to the first, then name each component."""
     final = picks[-1].select("vertex", "pick")
     for turn in range(len(picks) - 2, -1, -1):
+        # `final` has one row per vertex of the later turn.
+        small = fits_broadcast(picks[turn + 1], max_bytes)
+        if not small and turn < len(picks) - 2:
+            final = scratch.save(final, f"unfolded_{turn + 1}")
         later = final.select(F.col("vertex").alias("pick"), F.col("pick").alias("final"))
         followed = lookup_join(picks[turn].select("vertex", "pick"), later, "pick",
-                               max_bytes=max_bytes)
-        followed = followed.select("vertex", F.coalesce("final", "pick").alias("pick"))
-        final = scratch.save(followed, f"unfolded_{turn}")
-    names = scratch.save(final.groupBy("pick").agg(F.min("vertex").alias("component")), "folded")
-    return (lookup_join(final, names, "pick", "inner", max_bytes=max_bytes)
+                               max_bytes=max_bytes, small=small)
+        final = followed.select("vertex", F.coalesce("final", "pick").alias("pick"))
+    small = fits_broadcast(picks[0], max_bytes)
+    if not small:
+        final = scratch.save(final, "unfolded_0")
+    names = final.groupBy("pick").agg(F.min("vertex").alias("component"))
+    if not small:
+        names = scratch.save(names, "names")
+    return (lookup_join(final, names, "pick", "inner", max_bytes=max_bytes, small=small or None)
             .select(F.col("vertex").alias("id"), "component"))

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tagloom.operators.unique import unique_by_key
+from tagloom.session import Scratch
 
 _PRESENT = "_present"
 
@@ -84,8 +85,9 @@ class KeyedTable:
     def insert(self, rows: DataFrame) -> DataFrame:
         """Add rows with new keys; returns those in conflict, as of before the insert."""
         rows = unique_by_key(rows, self.keys)
-        new = rows.join(self.read(), self.keys, "left_anti").checkpoint()
-        conflicts = rows.join(self.read(), self.keys, "left_semi").checkpoint()
+        scratch = Scratch(self.spark, "insert")
+        new = scratch.save(rows.join(self.read(), self.keys, "left_anti"), "new")
+        conflicts = scratch.save(rows.join(self.read(), self.keys, "left_semi"), "conflicts")
         self.append(new)
         return conflicts
 

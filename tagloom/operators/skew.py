@@ -7,13 +7,16 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tagloom.functions.predicates import filled
-from tagloom.functions.salt import all_salts, row_salt
+from tagloom.functions.salt import all_salts, row_hash, row_salt
 from tagloom.session import Scratch, fits_broadcast
 
 # A key with at least this share of the rows is hot. There are at most 1,024 such keys,
 # whatever the size of the data, so frames of one row per hot key can be broadcast.
 HOT_SHARE = 1 / 1024
 
+# Size up to which a requested broadcast is carried out.
+MAX_BROADCAST_BYTES = 10 * 1024 * 1024
+
 _SALT = "_salt"
 _HOT = "_hot"
 _COLD = "_cold"
@@ -73,18 +76,22 @@ def join_filled_keys(left: DataFrame, right: DataFrame, key, keep_blank: bool =
 
 
 def broadcast_join(left: DataFrame, right: DataFrame, key, how: str = "left",
-                   max_bytes: int | None = None) -> DataFrame:
+                   max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join without moving the left side, if the right side is small enough to be copied
-    to every executor; otherwise `lookup_join`. The right side's key is unique."""
+    to every executor; otherwise `lookup_join`. The right side's key is unique.
+
+    The bound is that of the caller and not of the session, as the copy is asked for."""
     return lookup_join(left, right, key, how, max_bytes=max_bytes)
 
 
 def lookup_join(left: DataFrame, right: DataFrame, key, how: str = "left",
                 hot: DataFrame | None = None, spread: Sequence[str] | None = None,
-                max_bytes: int | None = None, store_left: bool = False) -> DataFrame:
+                max_bytes: int | None = None, small: bool | None = None,
+                store_left: bool = False) -> DataFrame:
     """Add the columns of `right`, which has at most one row per key, to `left`.
 
-    `right` should be a stored table, as its size is looked at and it is read twice.
+    `right` should be a stored table, as its size is looked at and it is read twice; a caller that
+    knows the size of a computed frame says so by `small`.
     If it is small it is broadcast. If not, both sides are shuffled by key, but
     the rows of hot keys get their values from a broadcast of at most 1 / HOT_SHARE rows
     and are, like the rows without a key, spread over all tasks by the hash of the
@@ -97,15 +104,17 @@ def lookup_join(left: DataFrame, right: DataFrame, key, how: str = "left",
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     keys = _as_list(key)
-    if fits_broadcast(right, max_bytes):
+    if fits_broadcast(right, max_bytes) if small is None else small:
         return left.join(F.broadcast(right), keys, how)
+    scratch = Scratch(left.sparkSession, "lookup")
     if store_left:
-        left = Scratch(left.sparkSession, "lookup").save(left, "left")
+        left = scratch.save(left, "left")
+    if hot is None:
+        # Stored, so that a chain of lookups does not repeat the plan of `left` in each of them.
+        hot = scratch.save(hot_keys(left, keys), "hot")
 
     values = [c for c in right.columns if c not in keys]
     record = F.struct(*[F.col(c) for c in values], F.lit(True).alias("_found"))
-    if hot is None:
-        hot = hot_keys(left, keys)
     hot = hot.select(*keys)
     hot_records = (right.join(F.broadcast(hot), keys, "left_semi")
                    .select(*keys, record.alias("_record")))
@@ -116,7 +125,7 @@ def lookup_join(left: DataFrame, right: DataFrame, key, how: str = "left",
     # does meet a record, it is the one it already has.
     placed = F.col(_HOT).isNotNull() | _null_key(keys)
     marked = (left.join(F.broadcast(hot), keys, "left")
-              .withColumn(_SALT, F.when(placed, F.xxhash64(*(spread or left.columns)))
+              .withColumn(_SALT, F.when(placed, row_hash(*(spread or left.columns)))
                           .otherwise(F.xxhash64(*keys))))
     cold = right.select(*keys, F.xxhash64(*keys).alias(_SALT), record.alias(_COLD))
     joined = marked.join(cold, [*keys, _SALT], "left")

@@ -66,10 +66,10 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
-    """Whether the estimate is within ``max_bytes`` (default: Spark's own threshold)."""
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None, growth: int = 1) -> bool:
+    """Whether the estimate, times `growth`, is within `max_bytes` (default: Spark's threshold)."""
     if max_bytes is None:
         limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
         max_bytes = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils
                         .byteStringAsBytes(limit)) if not limit.startswith("-") else -1
-    return 0 <= estimated_bytes(df) <= max_bytes
+    return growth * estimated_bytes(df) <= max_bytes
