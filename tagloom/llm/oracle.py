@@ -1,3 +1,53 @@
-"""SQL of the queries that SQL can express."""
+"""SQL of the queries that SQL can express, for DuckDB."""
 
-ORACLES: dict[str, str] = {}
+# Distance floors and sides of the quality rules, as in `quality.RULES`.
+_FLOORS = {"word_length": 4200, "symbols": 50, "dup_lines": 400, "repeats": 200}
+
+QUALITY_ROWS = r"""
+base AS (SELECT row_number() OVER () AS r, *, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+      list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+      FROM base),
+win AS (SELECT r, i, array_to_string(ws[i:i + 4], ' ') AS g
+        FROM (SELECT r, ws, unnest(generate_series(1, len(ws) - 4)) AS i FROM w WHERE len(ws) >= 5)),
+dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM win) WHERE n > 1),
+cov AS (SELECT r, sum(least(5, coalesce(nx - i, 5))) AS c
+        FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nx FROM dup) GROUP BY r),
+counted AS (SELECT w.r, doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words,
+      CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+      CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+      CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, len(ls) AS n_lines,
+      CAST(coalesce(c, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN cov ON w.r = cov.r),
+rated AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+      word_chars * 1000 // greatest(n_words, 1) AS word_length,
+      n_symbols * 1000 // greatest(word_chars, 1) AS symbols,
+      n_dup_lines * 1000 // greatest(n_lines, 1) AS dup_lines,
+      n_repeat_words * 1000 // greatest(n_words, 1) AS repeats FROM counted),
+long AS (SELECT r, lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) AS m,
+      unnest([word_length, symbols, dup_lines, repeats]) AS v FROM rated WHERE NOT base_failed),
+cut AS (SELECT *, CASE WHEN v < 64 THEN 0 ELSE length(bin(v)) - 6 END AS s FROM long),
+cells AS (SELECT lang, source, m, (v >> s) << s AS v, count(*) AS n FROM cut GROUP BY ALL),
+levels AS (SELECT 0 AS lvl, lang, source, m, v, n FROM cells
+      UNION ALL SELECT 1, lang, NULL, m, v, sum(n) FROM cells GROUP BY ALL
+      UNION ALL SELECT 2, NULL, NULL, m, v, sum(n) FROM cells GROUP BY ALL),
+run AS (SELECT *, sum(n) OVER (PARTITION BY lvl, lang, source, m ORDER BY v) AS upto,
+      sum(n) OVER (PARTITION BY lvl, lang, source, m) AS total FROM levels),
+q AS (SELECT lvl, lang, source, m, min(v) FILTER (upto * 10 >= total) AS q1,
+      min(v) FILTER (upto * 10 >= total * 5) AS q5, min(v) FILTER (upto * 10 >= total * 9) AS q9
+      FROM run WHERE lvl = 2 OR total >= 200 GROUP BY ALL),
+lim AS (SELECT *, greatest(6 * least(q5 - q1, q9 - q5), FLOORS) AS reach FROM q),
+best AS (SELECT l.r, l.m, l.v, arg_min(q5 - reach, lvl) AS low, arg_min(q5 + reach, lvl) AS high
+      FROM long l JOIN lim ON lim.m = l.m AND (lvl = 2 OR lvl = 1 AND lim.lang IS NOT DISTINCT FROM l.lang
+           OR lvl = 0 AND lim.lang IS NOT DISTINCT FROM l.lang
+              AND lim.source IS NOT DISTINCT FROM l.source) GROUP BY ALL),
+verdict AS (SELECT r, bool_and(v <= high AND (m <> 'word_length' OR v >= low)) AS ok FROM best GROUP BY r),
+judged AS (SELECT rated.*, NOT base_failed AND coalesce(ok, false) AS kept
+      FROM rated LEFT JOIN verdict ON rated.r = verdict.r)
+""".replace("FLOORS", "CASE m " + " ".join(f"WHEN '{m}' THEN {n}" for m, n in _FLOORS.items()) + " END")
+
+ORACLES: dict[str, str] = {
+    "op3_quality": f"""WITH {QUALITY_ROWS}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
+FROM judged""",
+}
