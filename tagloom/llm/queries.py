@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm.common import table
+from tagloom.llm.langid import identify
 from tagloom.llm.quality import quality
 from tagloom.llm.simhash import near_duplicates
 
@@ -11,11 +12,16 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
 QUERIES = {
     "op3_quality": op3_quality,
+    "op4_language": op4_language,
     "op7_simhash": op7_simhash,
 }
