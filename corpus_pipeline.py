@@ -1,19 +1,55 @@
-"""The corpus pipeline: quality rules, language, near-duplicates, decontamination, pieces."""
+"""The corpus pipeline: quality, language, near-duplicates, decontamination, pieces.
 
+Every stage works on the whole of what its predecessor kept.
+"""
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm.common import table
+from tagloom.llm.decontaminate import clean_documents
+from tagloom.llm.langid import in_a_language
+from tagloom.llm.pieces import encode
+from tagloom.llm.quality import kept_documents
 from tagloom.llm.simhash import one_of_each
 from tagloom.session import Scratch
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return kept_documents(docs)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with a score of at least one half."""
+    return in_a_language(docs, min_score=0.5)
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose fingerprints of 4-word shingles differ in 4 bits or fewer."""
     return one_of_each(docs, shingle=4, max_bits=4)
 
 
-STAGES = [("simhash near-dedup", simhash_near_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no benchmark item aligns with."""
+    return clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The piece ids of each document that is left."""
+    return encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("language id", language_id),
+    ("simhash near-dedup", simhash_near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("sentencepiece", sentencepiece_ids),
+]
 
-# Aho-Corasick, alignment and fingerprints are beyond SQL; the stages are tested one by one.
+# SQL has neither the fingerprints' hash nor alignment nor Viterbi: the rows are tested against
+# brute-force versions of the stages.
 ORACLE_SQL = None
 
 

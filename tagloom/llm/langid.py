@@ -18,7 +18,7 @@ from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tagloom.llm.common import in_pieces, remainder
 
@@ -136,8 +136,9 @@ def predict(docs: DataFrame, model: Model, text: str, carried: Column) -> DataFr
                 [batch.column("carried"), pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())], ["carried", "lang_pred", "score"])
 
-    kind = rows.schema["carried"].dataType.simpleString()
-    return rows.mapInArrow(apply, f"carried {kind}, lang_pred string, score double")
+    schema = (T.StructType([rows.schema["carried"]]).add("lang_pred", T.StringType())
+              .add("score", T.DoubleType()))
+    return rows.mapInArrow(apply, schema)
 
 
 def _fitted(docs: DataFrame, id_column: str, text: str, lang: str, modulus: int) -> Model:

@@ -1,13 +1,20 @@
 """The registered queries of this package: each applies an operator to its whole table."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.llm.common import table
+from tagloom.llm.decontaminate import contaminated
 from tagloom.llm.langid import identify
+from tagloom.llm.pieces import encode
 from tagloom.llm.quality import quality
 from tagloom.llm.simhash import near_duplicates
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
@@ -16,12 +23,18 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op3_quality": op3_quality,
     "op4_language": op4_language,
+    "op6_pieces": op6_pieces,
     "op7_simhash": op7_simhash,
 }
