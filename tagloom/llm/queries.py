@@ -9,6 +9,7 @@ from tagloom.llm.langid import identify
 from tagloom.llm.pieces import encode
 from tagloom.llm.quality import quality
 from tagloom.llm.simhash import near_duplicates
+from tagloom.llm.tokenbin import round_trip
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,10 +32,15 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op3_quality": op3_quality,
     "op4_language": op4_language,
     "op6_pieces": op6_pieces,
     "op7_simhash": op7_simhash,
+    "op8_token_files": op8_token_files,
 }
