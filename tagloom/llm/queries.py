@@ -3,13 +3,13 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tagloom.llm import tokenbin, warc
 from tagloom.llm.common import table
 from tagloom.llm.decontaminate import contaminated
 from tagloom.llm.langid import identify
 from tagloom.llm.pieces import encode
 from tagloom.llm.quality import quality
 from tagloom.llm.simhash import near_duplicates
-from tagloom.llm.tokenbin import round_trip
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +33,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenbin.round_trip(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
 
 QUERIES = {
@@ -43,4 +48,5 @@ QUERIES = {
     "op6_pieces": op6_pieces,
     "op7_simhash": op7_simhash,
     "op8_token_files": op8_token_files,
+    "op10_warc": op10_warc,
 }
