@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import tokenbin, warc
+from tagloom.llm import ngrams, tokenbin, warc
 from tagloom.llm.common import table
 from tagloom.llm.decontaminate import contaminated
 from tagloom.llm.langid import identify
@@ -24,6 +24,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.score(table(spark, sf_dir, "documents"))
+
+
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -45,6 +49,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op3_quality": op3_quality,
     "op4_language": op4_language,
+    "op5_lm_score": op5_lm_score,
     "op6_pieces": op6_pieces,
     "op7_simhash": op7_simhash,
     "op8_token_files": op8_token_files,
