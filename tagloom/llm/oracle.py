@@ -46,7 +46,43 @@ judged AS (SELECT rated.*, NOT base_failed AND coalesce(ok, false) AS kept
       FROM rated LEFT JOIN verdict ON rated.r = verdict.r)
 """.replace("FLOORS", "CASE m " + " ".join(f"WHEN '{m}' THEN {n}" for m, n in _FLOORS.items()) + " END")
 
+# The lengths of the marks `<|turn|>`, `<|repeat|>` and of `<|end|>` with a line end are 8, 10 and 8.
+_ESCAPED = (r"regexp_replace(replace({0}, '\', '\\'), '(<)(\||/?s>)|(\[)(/?INST\])', "
+            r"'\1\3\\\2\4', 'g')")
+CHAT_ROWS = rf"""
+c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+      UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+      len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_\x20\x09-\x0D]')) + 4 AS tokens,
+      length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")}) + 8 AS body FROM c),
+s AS (SELECT *, pos = 1 AND role = 'system' AS sys,
+      first_value(CASE WHEN role = 'system' THEN tokens END) OVER w AS sys_tokens,
+      first_value(CASE WHEN role = 'system' THEN body END) OVER w AS sys_body
+      FROM e WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+u AS (SELECT *, CASE WHEN sys THEN 0 ELSE tokens END AS own,
+      sum(CASE WHEN sys THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY pos) AS upto,
+      greatest(512 - coalesce(sys_tokens, 0) - 128, 128) AS cell FROM s),
+p AS (SELECT *, upto - own AS before, CASE WHEN sys THEN 0
+      WHEN (upto - own) // cell = (upto - 1) // cell THEN 2 * ((upto - own) // cell)
+      ELSE 2 * ((upto - own) // cell) + 1 END AS span FROM u),
+o AS (SELECT *, span IS DISTINCT FROM lag(span) OVER (PARTITION BY conv_id ORDER BY pos) AS opens FROM p),
+again AS (SELECT a.conv_id, sum(10 + a.body) AS chars FROM o a JOIN o b
+      ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND b.pos BETWEEN a.pos + 1 AND a.pos + 2
+      AND b.opens AND b.before - a.before <= 128 AND NOT a.sys GROUP BY a.conv_id),
+whole AS (SELECT conv_id, count(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+      coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '') AS learned,
+      sum(8 + body) + coalesce(count(DISTINCT span) FILTER (span > 0) * (10 + any_value(sys_body)), 0)
+      AS chars FROM o GROUP BY conv_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op9_chat": f"""WITH {CHAT_ROWS}
+SELECT whole.conv_id, n_turns, turns_sha256, CAST(length(learned) AS BIGINT) AS loss_chars,
+       sha256(learned) AS loss_sha256,
+       CAST(whole.chars + coalesce(again.chars, 0) AS BIGINT) AS formatted_chars
+FROM whole LEFT JOIN again ON whole.conv_id IS NOT DISTINCT FROM again.conv_id""",
     "op3_quality": f"""WITH {QUALITY_ROWS}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
 FROM judged""",
