@@ -10,12 +10,17 @@ from tagloom.llm.langid import identify
 from tagloom.llm.pieces import encode
 from tagloom.llm.quality import quality
 from tagloom.llm.simhash import near_duplicates
+from tagloom.llm.webtext import extract
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_web_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_web_text": op2_web_text,
     "op3_quality": op3_quality,
     "op4_language": op4_language,
     "op5_lm_score": op5_lm_score,
