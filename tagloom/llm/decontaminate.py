@@ -34,7 +34,7 @@ def words_of(text: str | None) -> list[str]:
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
-    """Best Smith-Waterman score of the two sequences, and where it ends in `text` (the first)."""
+    """Best Smith-Waterman score of the two sequences, and the first place where it ends in `text`."""
     at = np.arange(len(text) + 1) * GAP
     row, best, end = np.zeros(len(text) + 1, np.int64), 0, 0
     for word in item:
@@ -45,7 +45,7 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
         # Gaps along the text: the best start to the left, less a gap for each step.
         row = np.maximum.accumulate(new - at) + at
         top = int(row.argmax())
-        if row[top] > best:
+        if row[top] > best or row[top] == best and top < end:
             best, end = int(row[top]), top
     return best, end
 

@@ -77,7 +77,20 @@ whole AS (SELECT conv_id, count(*) AS n_turns,
       AS chars FROM o GROUP BY conv_id)
 """
 
+# Twenty bits of the hexadecimal digest are four characters in base 32.
+_BASE32 = """array_to_string(list_transform(range(32), lambda i: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((CAST('0x' || substr(hex, (i // 4) * 5 + 1, 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER))
+     & 31) + 1, 1)), '')"""
+
 ORACLES: dict[str, str] = {
+    "op10_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS hex FROM p),
+o AS (SELECT *, max(page_id) OVER (PARTITION BY hex, payload_bytes) AS original FROM d)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM original THEN original END AS refers_to FROM o""",
     "op9_chat": f"""WITH {CHAT_ROWS}
 SELECT whole.conv_id, n_turns, turns_sha256, CAST(length(learned) AS BIGINT) AS loss_chars,
        sha256(learned) AS loss_sha256,

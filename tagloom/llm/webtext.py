@@ -199,7 +199,7 @@ class Page:
         while path[-1] not in (self.body, 0):
             path.append(self.parent[path[-1]])
         threshold = min(density[n] for n in path)
-        root = self._article(best, density, threshold)
+        root = self._article(best, density)
         return self._blocks(kept, root, set(path), density, threshold, chars, links)
 
     @staticmethod
@@ -213,7 +213,7 @@ class Page:
         ratio = chars / link_chars * tags / link_tags
         return chars / tags * max(math.log(max(ratio, 1.0)) / math.log(base), 0.0)
 
-    def _article(self, best: int, density: list[float], threshold: float) -> int:
+    def _article(self, best: int, density: list[float]) -> int:
         """The subtree to take: the one of the largest sum, or the article that holds it, or what
         holds besides it only headings."""
         up = best
@@ -227,8 +227,7 @@ class Page:
                 children[self.parent[node]].append(node)
         node = best
         while node not in (self.body, 0) and (up := self.parent[node]) not in (self.body, 0):
-            if any(n != node and (self.tag[n] not in _HEADINGS or density[n] < threshold)
-                   for n in children[up]):
+            if any(n != node and self.tag[n] not in _HEADINGS for n in children[up]):
                 break
             node = up
         return node

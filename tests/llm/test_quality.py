@@ -1,0 +1,64 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tagloom.llm.oracle import ORACLES
+from tagloom.llm.quality import _bucket, _bucket_start, kept_documents, merged, quality, sketches
+from tests.compare import connect, difference
+from tests.llm import nasty
+
+
+@pytest.fixture(scope="module")
+def judged(spark):
+    return nasty.by_id(quality(nasty.docs(spark)))
+
+
+def test_same_as_sql_on_the_small_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    assert difference(quality(spark.read.parquet(f"{sf}/documents.parquet")), connect(sf),
+                      ORACLES["op3_quality"]) is None
+
+
+def test_same_as_sql_on_nasty_rows(spark):
+    docs = nasty.docs(spark)
+    con = connect("/root/testdata/sf0.001")
+    con.register("nasty", docs.toArrow())
+    con.execute("CREATE OR REPLACE VIEW documents AS SELECT * FROM nasty")
+    assert difference(quality(docs), con, ORACLES["op3_quality"]) is None
+
+
+def test_measures(judged):
+    assert judged[40].n_words == 60 and judged[40].n_repeat_words == 60 and judged[40].n_dup_lines == 11
+    assert judged[40].base_failed and not judged[40].kept
+    assert [judged[i].n_words for i in (4, 5, 6, 7, 8)] == [0, 0, 0, 1, 2]
+    assert judged[9].n_words == 20_000
+    assert judged[44].n_symbols >= 150 and not judged[44].base_failed and not judged[44].kept
+    assert judged[12].kept
+
+
+def test_kept_documents_have_their_columns(spark, judged):
+    docs = nasty.docs(spark)
+    kept = kept_documents(docs)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert {i for i in ids if i is not None} == {i for i, r in judged.items() if r.kept and i is not None}
+    assert ids.count(10) == 2  # a repeated row is judged as often as it is given
+
+
+def test_empty_table(spark):
+    assert quality(nasty.empty(spark)).collect() == []
+    assert kept_documents(nasty.empty(spark)).collect() == []
+
+
+def test_buckets_are_narrow_and_ordered(spark):
+    df = spark.range(0, 70_000, 7).withColumn("b", _bucket(F.col("id")))
+    rows = df.withColumn("start", _bucket_start(F.col("b"))).orderBy("id").collect()
+    assert all(r.start <= r.id <= r.start * 33 / 32 for r in rows)
+    assert all(a.b <= b.b for a, b in zip(rows, rows[1:]))
+
+
+def test_sketches_merge(spark):
+    rows = spark.range(500).selectExpr(
+        "id % 3 AS part", "id AS word_length", "id * id AS symbols", "0L AS dup_lines", "1L AS repeats")
+    whole = sorted(map(tuple, sketches(rows.selectExpr("1 AS k", "*"), ["k"]).drop("k").collect()))
+    parts = merged(sketches(rows, ["part"]).selectExpr("1 AS k", "*"), ["k"]).drop("k").collect()
+    assert whole == sorted(map(tuple, parts))

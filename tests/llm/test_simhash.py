@@ -1,0 +1,99 @@
+import random
+
+import pytest
+import xxhash
+
+from tagloom.llm.simhash import fingerprint, links, near_duplicates, one_of_each
+from tests.llm import nasty
+
+
+def brute_fingerprint(text):
+    ws = [w for w in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+          .translate({c: " " for c in (9, 10, 11, 12, 13)}).split(" ") if w]
+    shingles = [" ".join(ws[i:i + 4]) for i in range(max(1, len(ws) - 3))] if ws else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(prints, max_bits=4):
+    root = list(range(len(prints)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if (a ^ prints[j]).bit_count() <= max_bits:
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return [find(i) for i in range(len(prints))]
+
+
+def test_fingerprint_of_all_kinds_of_text():
+    for text in nasty.texts().values():
+        assert fingerprint((text or "").encode()) == brute_fingerprint(text)
+    assert fingerprint(b"A\xc3\x89 b") == brute_fingerprint("aÉ b")
+
+
+def test_against_brute_force(spark):
+    texts = nasty.texts()
+    ids = sorted(texts)
+    roots = brute_components([brute_fingerprint(texts[i]) for i in ids])
+    found = near_duplicates(nasty.docs(spark).where("doc_id IS NOT NULL")).collect()
+    assert len(found) == len(ids) + 1  # the repeated row comes twice
+    assert {r.doc_id: r.component_id for r in found} == {i: ids[roots[n]] for n, i in enumerate(ids)}
+    assert {r.fingerprint for r in found if r.doc_id in (4, 5, 6)} == {"0" * 16}
+
+
+def test_rows_without_an_id_take_part(spark):
+    found = near_duplicates(nasty.docs(spark)).where("doc_id IS NULL").collect()
+    assert {r.component_id for r in found} == {4, None}  # linked with the empty texts; alone
+
+
+def test_empty_table(spark):
+    assert near_duplicates(nasty.empty(spark)).collect() == []
+    assert one_of_each(nasty.empty(spark)).collect() == []
+
+
+@pytest.mark.parametrize("shared, cell_rows", [(2, 8192), (3, 8192), (2, 7)])
+def test_links_of_chains_and_dense_cells(spark, shared, cell_rows):
+    """Chains of four bits, clouds around a centre, and cells that have to be split."""
+    rng, prints = random.Random(3), set()
+    for _ in range(12):
+        at = rng.getrandbits(64)
+        for _ in range(25):
+            prints.add(at)
+            for bit in rng.sample(range(64), 4):
+                at ^= 1 << bit
+    for _ in range(4):
+        centre = rng.getrandbits(64)
+        prints |= {centre ^ 1 << a ^ 1 << b for a in range(0, 64, 9) for b in range(1, 64, 7)}
+    prints = sorted(prints)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    df = spark.createDataFrame([(s,) for s in signed], "fp long")
+    edges = links(df, 4, cell_rows, shared).collect()
+    place = {s: n for n, s in enumerate(signed)}
+    root = list(range(len(prints)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        assert ((a ^ b) & (1 << 64) - 1).bit_count() <= 200
+        i, j = find(place[a]), find(place[b])
+        root[max(i, j)] = min(i, j)
+    assert [find(i) for i in range(len(prints))] == brute_components(prints)
+
+
+def test_one_row_of_each_group_stays_with_its_columns(spark):
+    docs = nasty.docs(spark)
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    classes = near_duplicates(docs).collect()
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == sorted(
+        {r.component_id for r in classes if r.component_id is not None})
+    assert ids.count(None) == 1
