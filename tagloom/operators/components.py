@@ -9,14 +9,11 @@ analysis (ICDE 2020).
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagloom.operators.skew import HOT_SHARE, lookup_join
+from tagloom.operators.skew import hot_of_counts, lookup_join
 from tagloom.session import Scratch, fits_broadcast
 
-MAX_ROUNDS = 100
 
-
-def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS,
-                         max_broadcast_bytes: int | None = None) -> DataFrame:
+def connected_components(edges: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
     """`id` and `component`, the smallest id of its component, for every end of an edge.
 
     `edges` has string columns `src` and `dst`; an edge from an id to itself declares an isolated
@@ -24,8 +21,7 @@ def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS,
     """
     scratch = Scratch(edges.sparkSession, "components")
     edges = scratch.save(edges.select("src", "dst").dropna().distinct(), "input")
-    picks = _contract_all(scratch.save(_pairs(edges), "pairs_0"), scratch, max_rounds,
-                          max_broadcast_bytes)
+    picks = _contract_all(scratch.save(_pairs(edges), "pairs_0"), scratch, max_broadcast_bytes)
     ids = edges.where(F.col("src") == F.col("dst")).select(F.col("src").alias("id"))
     if picks:
         labels = _unfold(picks, scratch, max_broadcast_bytes)
@@ -39,14 +35,11 @@ def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS,
     return result
 
 
-def _contract_all(pairs: DataFrame, scratch: Scratch, max_rounds: int,
-                  max_bytes: int | None) -> list[DataFrame]:
-    """The picks of every round until no edge is left. Only whether there is one reaches the driver."""
-    picks = []
-    while not pairs.isEmpty():
+def _contract_all(pairs: DataFrame, scratch: Scratch, max_bytes: int | None) -> list[DataFrame]:
+    """The picks of every round until no edge is left. Only their number reaches the driver."""
+    picks, left = [], pairs.count()
+    while left:
         turn = len(picks)
-        if turn == max_rounds:
-            raise RuntimeError(f"components not complete after {max_rounds} rounds")
         nearest = _nearest(pairs, turn)
         # There are at most two rows per edge, and a row is about as wide as two edges.
         small = fits_broadcast(pairs, max_bytes, growth=4)
@@ -56,6 +49,10 @@ def _contract_all(pairs: DataFrame, scratch: Scratch, max_rounds: int,
         picks.append(picked)
         pairs = scratch.save(_contract(pairs, picked, max_bytes), f"pairs_{turn + 1}")
         scratch.drop(f"pairs_{turn}", f"nearest_{turn}")
+        before, left = left, pairs.count()
+        # The neighbours of the first vertex of a component pick it, so edges vanish.
+        if left >= before:
+            raise RuntimeError(f"{left} edges were left of {before} after a round")
     return picks
 
 
@@ -92,15 +89,14 @@ def _pick(pairs: DataFrame, nearest: DataFrame, max_bytes: int | None,
 def _with_ends(pairs: DataFrame, picked: DataFrame, max_bytes: int | None,
                small: bool | None = None) -> DataFrame:
     """Add the picks of both ends as `new_u` and `new_v`. A vertex with a large share of the edges
-    is hot; the degrees tell which those are, 2 / HOT_SHARE at most."""
+    is hot, as the degrees tell."""
     if small is None:
         small = fits_broadcast(picked, max_bytes)
     for end in ("u", "v"):
         hot = None
         if not small:
-            ends = picked.agg(F.sum("degree")).scalar()
-            hot = (picked.where(F.col("degree") >= ends * (HOT_SHARE / 2))
-                   .select(F.col("vertex").alias(end)))
+            degrees = picked.select(F.col("vertex").alias(end), F.col("degree").alias("n"))
+            hot = hot_of_counts(degrees, end)
         lookup = picked.select(F.col("vertex").alias(end), F.col("pick").alias(f"new_{end}"))
         pairs = lookup_join(pairs, lookup, end, "inner", hot=hot, small=small)
     return pairs

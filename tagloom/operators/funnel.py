@@ -14,6 +14,8 @@ _PRICE_UNIT = 1000
 _REQUEST, _SHOW, _CLICK = 1, 2, 3
 CLIENT_LABELS = {1: "android", 2: "ios", 3: "wp"}
 OTHER_CLIENT = "other"
+# The price that is the cost of a delivery, unless another is named.
+COST_COLUMN = "winprice"
 
 
 def client_label(client) -> Column:
@@ -90,7 +92,7 @@ def _with_rates(sums: DataFrame) -> DataFrame:
     })
 
 
-def ad_funnel(df: DataFrame, *dimensions: str, cost_column: str = "winprice") -> DataFrame:
+def ad_funnel(df: DataFrame, *dimensions: str, cost_column: str = COST_COLUMN) -> DataFrame:
     """The funnel per value of the dimensions, rows with an empty dimension left out."""
     measures = _measures(cost_column)
     rows = df.where(filled(df, *dimensions)).select(
@@ -108,7 +110,7 @@ def province_city_counts(df: DataFrame) -> DataFrame:
             .groupBy("province", "city").agg(F.count("*").alias("count")))
 
 
-def all_funnels(df: DataFrame, cost_column: str = "winprice") -> DataFrame:
+def all_funnels(df: DataFrame, cost_column: str = COST_COLUMN) -> DataFrame:
     """Every report in one pass over the log: the grouping sets of all reports.
 
     Column `report` names the report; the columns of other reports' dimensions are NULL.

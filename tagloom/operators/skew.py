@@ -10,9 +10,16 @@ from tagloom.functions.predicates import filled
 from tagloom.functions.salt import all_salts, row_hash, row_salt
 from tagloom.session import Scratch, fits_broadcast
 
-# A key with at least this share of the rows is hot. There are at most 1,024 such keys,
-# whatever the size of the data, so frames of one row per hot key can be broadcast.
-HOT_SHARE = 1 / 1024
+# A key is hot with at least this share of the rows of an even task. With P tasks there are at
+# most P / HOT_TASK_SHARE such keys, whatever the size of the data, so frames of one row per hot
+# key can be broadcast.
+HOT_TASK_SHARE = 1 / 4
+
+# Salts of operators that are given none.
+SALTS = 10
+
+# Hot keys beyond this number are treated like others, so that a broadcast of them stays small.
+MAX_HOT_KEYS = 10_000
 
 # Size up to which a requested broadcast is carried out.
 MAX_BROADCAST_BYTES = 10 * 1024 * 1024
@@ -30,15 +37,17 @@ def _null_key(keys) -> Column:
     return reduce(or_, (F.col(k).isNull() for k in keys))
 
 
-def _default_salts(df: DataFrame) -> int:
-    return max(10, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def hot_share(df: DataFrame) -> float:
+    """Share of the rows from which a key is hot, by the number of tasks after a shuffle."""
+    return HOT_TASK_SHARE / max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 # -- finding hot keys ---------------------------------------------------------------
 
-def hot_keys(df: DataFrame, key, min_share: float = HOT_SHARE,
+def hot_keys(df: DataFrame, key, min_share: float | None = None,
              sample: float | None = None, seed: int = 0) -> DataFrame:
-    """Keys with at least `min_share` of the rows that have a key, and their counts.
+    """Keys with at least `min_share` (default: `hot_share`) of the rows that have a key, and their
+    counts.
 
     Exact by default; with `sample` the shares are those of a random sample. The result
     has at most 1 / `min_share` rows.
@@ -47,9 +56,14 @@ def hot_keys(df: DataFrame, key, min_share: float = HOT_SHARE,
     rows = df.select(*keys).where(~_null_key(keys))
     if sample is not None:
         rows = rows.sample(False, sample, seed)
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    return hot_of_counts(rows.groupBy(*keys).agg(F.count("*").alias("n")), *keys, min_share=min_share)
+
+
+def hot_of_counts(counts: DataFrame, *keys: str, min_share: float | None = None) -> DataFrame:
+    """The hot keys, with their counts, of a frame that has the count of each key as `n`."""
     total = counts.agg(F.sum("n")).scalar()
-    return counts.where(F.col("n") >= total * min_share)
+    share = hot_share(counts) if min_share is None else min_share
+    return counts.select(*keys, "n").where(F.col("n") >= total * share)
 
 
 def partition_profile(df: DataFrame) -> DataFrame:
@@ -66,9 +80,10 @@ def drop_blank_keys(df: DataFrame, *keys: str) -> DataFrame:
 
 def join_filled_keys(left: DataFrame, right: DataFrame, key, keep_blank: bool = False) -> DataFrame:
     """Left join of the rows that have a key; the others are dropped, or, with
-    `keep_blank`, go around the join and keep NULL in the right side's columns."""
+    `keep_blank`, go around the join and keep NULL in the right side's columns. The right side has
+    at most one row per key, as for `lookup_join`, which sees to hot keys."""
     keys = _as_list(key)
-    joined = drop_blank_keys(left, *keys).join(right, keys, "left")
+    joined = lookup_join(drop_blank_keys(left, *keys), right, keys)
     if not keep_blank:
         return joined
     around = left.where(~filled(left, *keys))
@@ -93,11 +108,11 @@ def lookup_join(left: DataFrame, right: DataFrame, key, how: str = "left",
     `right` should be a stored table, as its size is looked at and it is read twice; a caller that
     knows the size of a computed frame says so by `small`.
     If it is small it is broadcast. If not, both sides are shuffled by key, but
-    the rows of hot keys get their values from a broadcast of at most 1 / HOT_SHARE rows
+    the rows of hot keys get their values from a broadcast of a row per hot key
     and are, like the rows without a key, spread over all tasks by the hash of the
     `spread` columns (default: of the whole row).
 
-    `hot` may give the hot keys if they are known; the caller vouches for their number.
+    `hot` may give the hot keys if they are known; of too many, only the hottest are taken.
     To find them, the keys of `left` are counted; `store_left` writes a frame that is costly to
     compute to the shared folder first.
     """
@@ -109,9 +124,8 @@ def lookup_join(left: DataFrame, right: DataFrame, key, how: str = "left",
     scratch = Scratch(left.sparkSession, "lookup")
     if store_left:
         left = scratch.save(left, "left")
-    if hot is None:
-        # Stored, so that a chain of lookups does not repeat the plan of `left` in each of them.
-        hot = scratch.save(hot_keys(left, keys), "hot")
+    # Stored, so that a chain of lookups does not repeat the plan of `left` in each of them.
+    hot = scratch.save(_bounded(hot_keys(left, keys) if hot is None else hot), "hot")
 
     values = [c for c in right.columns if c not in keys]
     record = F.struct(*[F.col(c) for c in values], F.lit(True).alias("_found"))
@@ -136,20 +150,24 @@ def lookup_join(left: DataFrame, right: DataFrame, key, how: str = "left",
     return joined.select(*keys, *others, *[found[c].alias(c) for c in values])
 
 
-def salted_join(left: DataFrame, right: DataFrame, key, buckets: int | None = None,
+def _bounded(hot: DataFrame) -> DataFrame:
+    """At most MAX_HOT_KEYS hot keys, the hottest if their counts are there; others stay cold."""
+    return (hot.orderBy(F.desc("n")) if "n" in hot.columns else hot).limit(MAX_HOT_KEYS)
+
+
+def salted_join(left: DataFrame, right: DataFrame, key, buckets: int = SALTS,
                 how: str = "left", spread: Sequence[str] | None = None) -> DataFrame:
     """Split every key of the left side over `buckets` tasks and copy the right side to all
     of them. Right for many hot keys on the left and a right side that can grow `buckets`-fold."""
     if how not in ("left", "inner"):
         raise ValueError("the right side is replicated: only left and inner joins are exact")
     keys = _as_list(key)
-    buckets = buckets or _default_salts(left)
     salted = left.withColumn(_SALT, row_salt(buckets, *(spread or left.columns)))
     copies = right.withColumn(_SALT, all_salts(buckets))
     return salted.join(copies, [*keys, _SALT], how).drop(_SALT)
 
 
-def split_salted_join(left: DataFrame, right: DataFrame, key, hot, buckets: int | None = None,
+def split_salted_join(left: DataFrame, right: DataFrame, key, hot, buckets: int = SALTS,
                       how: str = "left", spread: Sequence[str] | None = None) -> DataFrame:
     """Join hot keys salted and the rest plainly, and unite the two without losing duplicates.
 
@@ -157,6 +175,7 @@ def split_salted_join(left: DataFrame, right: DataFrame, key, hot, buckets: int
     """
     name, = _as_list(key)
     if isinstance(hot, DataFrame):
+        hot = Scratch(left.sparkSession, "split").save(_bounded(hot), "hot")
         keys = F.broadcast(hot.select(name))
         parts = [(side.join(keys, name, "left_semi"), side.join(keys, name, "left_anti"))
                  for side in (left, right)]
@@ -175,13 +194,12 @@ _FINAL = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
 
 def salted_agg(df: DataFrame, keys, aggregates: dict[str, tuple[str, str]],
-               buckets: int | None = None, spread: Sequence[str] | None = None) -> DataFrame:
+               buckets: int = SALTS, spread: Sequence[str] | None = None) -> DataFrame:
     """Aggregate per key and salt first, then per key.
 
     `aggregates` maps an output name to (count | sum | min | max, column).
     """
     keys = _as_list(keys)
-    buckets = buckets or _default_salts(df)
     local = (df.withColumn(_SALT, row_salt(buckets, *(spread or df.columns)))
              .groupBy(*keys, _SALT)
              .agg(*[_PARTIAL[fn](column).alias(name) for name, (fn, column) in aggregates.items()]))

@@ -8,12 +8,13 @@ _RANK = "_rank"
 
 
 def unique_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """Keep the row with the highest `order` columns per key; the other columns break ties.
+    """Keep the row with the highest `order` columns per key; a hash of the others breaks ties.
 
     The rank limit is applied on each side of the shuffle, so a hot key sends one row per task.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    ranking = [F.col(c).desc_nulls_last() for c in (*order, *rest)] or [F.lit(1)]
+    ranking = [F.col(c).desc_nulls_last() for c in order]
+    ranking += [F.xxhash64(*rest)] if rest else [F.lit(1)] if not order else []
     window = Window.partitionBy(*keys).orderBy(*ranking)
     return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
 

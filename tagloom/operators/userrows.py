@@ -1,37 +1,28 @@
 """Users as rows: nested, and as text.
 
-A row holds up to about `max_entries` identifiers and as many tags. A user with more
-has several rows, told apart by `part`, so that neither is anything dropped nor does one task
-have to hold a whole user. Almost every user has the single part 0.
+Users are stored in long form. For readers that want rows, a user's entries are put into `parts` rows
+by their hash, a number that is the same for all users and chosen by the caller: one, as
+long as the largest user fits a row.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagloom.operators.skew import lookup_join
-from tagloom.session import Scratch
-
-MAX_ENTRIES = 10_000
-
 # Separators of the text form.
 ID_SEPARATOR = ","
 TAG_SEPARATOR = "#"
 WEIGHT_SEPARATOR = " -> "
+# Written instead of separators within names, and instead of what begins such a code.
+_CODES = {"\\": "\\b", ",": "\\c", "#": "\\h", "->": "\\a"}
 
 
-def user_rows(members: DataFrame, weights: DataFrame, max_entries: int = MAX_ENTRIES) -> DataFrame:
+def user_rows(members: DataFrame, weights: DataFrame, parts: int = 1) -> DataFrame:
     """`user_id`, `part`, `ids` (sorted) and `tags` (map of weights)."""
     entries = (members.select("user_id", F.col("id").alias("entry"),
                               F.lit(None).cast("double").alias("weight"), F.lit(True).alias("is_id"))
                .unionByName(weights.select("user_id", F.col("tag").alias("entry"), "weight",
                                            F.lit(False).alias("is_id"))))
-    sizes = entries.groupBy("user_id").agg(
-        F.greatest(F.count_if("is_id"), F.count_if(~F.col("is_id"))).alias("size"))
-    large = (sizes.where(F.col("size") > max_entries)
-             .select("user_id", F.ceil(F.col("size") / max_entries).alias("parts")))
-    large = Scratch(members.sparkSession, "userrows").save(large, "large")
-    placed = lookup_join(entries, large, "user_id").withColumn(
-        "part", F.coalesce(F.pmod(F.xxhash64("entry"), F.col("parts")), F.lit(0)).cast("int"))
-    listed = placed.groupBy("user_id", "part").agg(
+    part = F.pmod(F.xxhash64("entry"), F.lit(parts)).cast("int")
+    listed = entries.groupBy("user_id", part.alias("part")).agg(
         F.collect_list(F.when(F.col("is_id"), F.col("entry"))).alias("ids"),
         F.collect_list(F.when(~F.col("is_id"), F.struct("entry", "weight"))).alias("tags"))
     return listed.select("user_id", "part", F.array_sort("ids").alias("ids"),
@@ -46,28 +37,38 @@ def members_and_weights(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # -- text form ----------------------------------------------------------------------
 
+def _escaped(name: Column) -> Column:
+    for text, code in _CODES.items():
+        name = F.replace(name, F.lit(text), F.lit(code))
+    return name
+
+
+def _unescaped(name: Column) -> Column:
+    for text, code in reversed(_CODES.items()):
+        name = F.replace(name, F.lit(code), F.lit(text))
+    return name
+
+
 def encode_ids(ids) -> Column:
-    return F.array_join(ids, ID_SEPARATOR)
+    """Ids joined by commas; separators within ids are escaped."""
+    return F.array_join(F.transform(ids, _escaped), ID_SEPARATOR)
 
 
 def encode_tags(tags) -> Column:
-    """`name -> weight` joined by `#`, by name. A name that holds a separator cannot be read
-    back and is an error."""
+    """`name -> weight` joined by `#`, by name; separators within names are escaped."""
     def text(entry):
-        unsafe = entry["key"].contains(TAG_SEPARATOR) | entry["key"].contains(WEIGHT_SEPARATOR)
-        name = F.when(unsafe, F.raise_error(F.concat(F.lit("tag holds a separator: "), entry["key"])))
-        return F.concat(name.otherwise(entry["key"]), F.lit(WEIGHT_SEPARATOR),
-                        entry["value"].cast("string"))
+        return F.concat(_escaped(entry["key"]), F.lit(WEIGHT_SEPARATOR), entry["value"].cast("string"))
     return F.array_join(F.transform(F.array_sort(F.map_entries(tags)), text), TAG_SEPARATOR)
 
 
 def decode_ids(text) -> Column:
-    return F.filter(F.split(text, ID_SEPARATOR), lambda word: word != "")
+    return F.transform(F.filter(F.split(text, ID_SEPARATOR), lambda word: word != ""), _unescaped)
 
 
 def decode_tags(text) -> Column:
     weights = F.str_to_map(F.when(text != "", text), F.lit(TAG_SEPARATOR), F.lit(WEIGHT_SEPARATOR))
-    return F.transform_values(weights, lambda _, weight: weight.try_cast("double"))
+    named = F.transform_keys(weights, lambda name, _: _unescaped(name))
+    return F.transform_values(named, lambda _, weight: weight.try_cast("double"))
 
 
 def to_text(rows: DataFrame) -> DataFrame:

@@ -1,49 +1,72 @@
-"""The jobs of a day, from the raw log to the stored tables."""
+"""The jobs of a day, from the raw log to the stored tables.
+
+A job leaves its tables and nothing else: intermediate tables are deleted at its end. Tables whose
+key is repeated are refused.
+"""
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from tagloom.operators.funnel import REPORTS, all_funnels, report_from
-from tagloom.operators.userrows import members_and_weights, user_rows
+from tagloom.operators.funnel import COST_COLUMN, REPORTS, all_funnels, report_from
+from tagloom.operators.history import DECAY
+from tagloom.operators.unique import unique_by_key
 from tagloom.plans.ods import build_ods
 from tagloom.plans.tags import build_area_dictionary, build_tags
 from tagloom.schema import TABLE_KEYS
-from tagloom.session import Scratch
+from tagloom.session import Scratch, scratch_scope
 from tagloom.sources.tables import DatedTables
 
-TAG_ROWS = "user_id string, part int, ids array<string>, tags map<string, double>"
+MEMBERS = "user_id string, id string"
+WEIGHTS = "user_id string, tag string, weight double"
+# Of log rows with the same session, the latest stays.
+ODS_ORDER = ("requestdate",)
 
 
 def run_etl(tables: DatedTables, run_date: dt.date, log: DataFrame, regions: DataFrame,
             places: DataFrame) -> None:
-    tables.write(build_ods(log, regions, places), "ods", run_date, TABLE_KEYS["ods"])
+    """The enriched log, one row per session."""
+    with scratch_scope(tables.spark):
+        raw = Scratch(tables.spark, "etl").save(
+            unique_by_key(log, TABLE_KEYS["ods"], ODS_ORDER), "log")
+        tables.write(build_ods(raw, regions, places), "ods", run_date, TABLE_KEYS["ods"])
 
 
-def run_reports(tables: DatedTables, run_date: dt.date) -> None:
+def run_reports(tables: DatedTables, run_date: dt.date, cost_column: str = COST_COLUMN) -> None:
     """All report tables out of one pass over the day's log."""
-    ods = tables.read("ods", run_date)
-    funnels = Scratch(tables.spark, "reports").save(all_funnels(ods), "funnels")
-    for name, report in REPORTS.items():
-        tables.write(report_from(funnels, name), report.table, run_date, TABLE_KEYS[report.table])
-    counts = (funnels.where("report = 'region'")
-              .selectExpr("province", "city", "n AS count"))
-    tables.write(counts, "province_city_analysis", run_date, TABLE_KEYS["province_city_analysis"])
+    with scratch_scope(tables.spark):
+        ods = tables.read("ods", run_date)
+        funnels = Scratch(tables.spark, "reports").save(
+            all_funnels(ods, cost_column=cost_column), "funnels")
+        for name, report in REPORTS.items():
+            tables.write(report_from(funnels, name), report.table, run_date, TABLE_KEYS[report.table])
+        counts = (funnels.where("report = 'region'")
+                  .selectExpr("province", "city", "n AS count"))
+        tables.write(counts, "province_city_analysis", run_date,
+                     TABLE_KEYS["province_city_analysis"])
 
 
 def run_area_dictionary(tables: DatedTables, run_date: dt.date, responses: DataFrame) -> None:
-    areas = build_area_dictionary(tables.read("ods", run_date), responses)
-    tables.write(areas, "business_area", run_date, TABLE_KEYS["business_area"])
+    with scratch_scope(tables.spark):
+        areas = build_area_dictionary(tables.read("ods", run_date), responses)
+        tables.write(areas, "business_area", run_date, TABLE_KEYS["business_area"])
+
 
+def run_tags(tables: DatedTables, run_date: dt.date, app_names: DataFrame, codes: DataFrame,
+             first_run: bool = False, qualify_ids: bool = False,
+             decay: float | Mapping[str, float] = DECAY) -> None:
+    """Today's users, merged with yesterday's tables: `tag_members` and `tag`, in long form.
 
-def run_tags(tables: DatedTables, run_date: dt.date, app_names: DataFrame,
-             codes: DataFrame) -> None:
-    """Today's users, merged with yesterday's table if there is one."""
+    Yesterday has to be there, unless this is the `first_run`. `qualify_ids` has to be the same on
+    all days.
+    """
     yesterday = run_date - dt.timedelta(days=1)
-    history = tables.read_or_empty("tag", yesterday, TAG_ROWS)
-    users = build_tags(tables.read("ods", run_date), tables.read("business_area", run_date),
-                       app_names, codes, members_and_weights(history))
-    scratch = Scratch(tables.spark, "tags")
-    members, weights = users
-    rows = user_rows(members, scratch.save(weights, "weights"))
-    tables.write(rows, "tag", run_date, TABLE_KEYS["tag"])
+    with scratch_scope(tables.spark):
+        history = (tables.read_or_empty("tag_members", yesterday, MEMBERS, first_run),
+                   tables.read_or_empty("tag", yesterday, WEIGHTS, first_run))
+        members, weights = build_tags(
+            tables.read("ods", run_date), tables.read("business_area", run_date), app_names, codes,
+            history, decay, qualify_ids)
+        tables.write(members, "tag_members", run_date, TABLE_KEYS["tag_members"])
+        tables.write(weights, "tag", run_date, TABLE_KEYS["tag"])

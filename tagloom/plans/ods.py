@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from tagloom.functions.ip import (UNKNOWN_AREA, UNKNOWN_COUNTRY, city_of, clean_area, province_of)
 from tagloom.functions.predicates import filled
 from tagloom.operators.iprange import locate
-from tagloom.operators.skew import lookup_join
+from tagloom.operators.skew import hot_of_counts, lookup_join
 from tagloom.schema import GEO_COLUMNS, ODS_COLUMNS
 from tagloom.session import Scratch
 
@@ -14,12 +14,21 @@ def distinct_ips(log: DataFrame) -> DataFrame:
     return log.select("ip").where(filled(log, "ip")).distinct()
 
 
+def ip_counts(log: DataFrame) -> DataFrame:
+    """`ip` and `n`, the rows of each filled address."""
+    return log.select("ip").where(filled(log, "ip")).groupBy("ip").agg(F.count("*").alias("n"))
+
+
 def ip_info(log: DataFrame, regions: DataFrame, places: DataFrame) -> DataFrame:
     """`ip`, `longitude`, `latitude`, `province`, `city`, one row per address in the log.
 
     `regions` has ranges with `country` and `area`, `places` ranges with `lon` and `lat`.
     """
-    found = locate(distinct_ips(log), {"region": regions, "place": places})
+    return _placed(distinct_ips(log), regions, places)
+
+
+def _placed(ips: DataFrame, regions: DataFrame, places: DataFrame) -> DataFrame:
+    found = locate(ips, {"region": regions, "place": places})
     country = F.coalesce(F.col("region")["country"], F.lit(UNKNOWN_COUNTRY))
     return found.select(
         "ip", F.col("place")["lon"].alias("longitude"), F.col("place")["lat"].alias("latitude"),
@@ -35,7 +44,14 @@ def ip_regions(log: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def build_ods(log: DataFrame, regions: DataFrame, places: DataFrame) -> DataFrame:
-    """The log with the place of each address; rows without an address keep NULL."""
-    info = Scratch(log.sparkSession, "ods").save(ip_info(log, regions, places), "ip_info")
+    """The log with the place of each address; rows without an address keep NULL.
+
+    The log is read twice: for the counts of its addresses, which also tell those that need to be
+    spread, and for the join.
+    """
+    scratch = Scratch(log.sparkSession, "ods")
+    counts = scratch.save(ip_counts(log), "ips")
+    info = scratch.save(_placed(counts.select("ip"), regions, places), "ip_info")
     raw = log.drop(*GEO_COLUMNS)
-    return lookup_join(raw, info, "ip", spread=["sessionid"]).select(*ODS_COLUMNS)
+    return lookup_join(raw, info, "ip", hot=hot_of_counts(counts, "ip"),
+                       spread=["sessionid"]).select(*ODS_COLUMNS)

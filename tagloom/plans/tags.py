@@ -30,15 +30,17 @@ def records(ods: DataFrame, areas: DataFrame, app_names: DataFrame, codes: DataF
 
 def build_tags(ods: DataFrame, areas: DataFrame, app_names: DataFrame, codes: DataFrame,
                history: tuple[DataFrame, DataFrame] | None = None,
-               decay: float | Mapping[str, float] = DECAY) -> tuple[DataFrame, DataFrame]:
+               decay: float | Mapping[str, float] = DECAY,
+               qualify_ids: bool = False) -> tuple[DataFrame, DataFrame]:
     """Members (user_id, id) and weights (user_id, tag, weight) of today's users.
 
     `history` are yesterday's members and weights. The area dictionary should be a stored table.
     Identifiers and tags are read from the log separately, each with only the columns it needs.
+    `qualify_ids` keeps equal texts of two kinds of identifiers apart.
     """
-    ids = identified_rows(ods).select(row_ids().alias("ids"))
+    ids = identified_rows(ods).select(row_ids(qualify_ids).alias("ids"))
     edges = identity_edges(ids)
-    weights = id_weights(records(ods, areas, app_names, codes))
+    weights = id_weights(records(ods, areas, app_names, codes, qualify_ids))
     if history is None:
         members = members_of(edges)
         merged = members, user_weights(weights, members)

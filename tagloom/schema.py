@@ -67,5 +67,6 @@ TABLE_KEYS = {
     "ad_operate_analysis": ("ispname",),
     "app_analysis": ("appid", "appname"),
     "business_area": ("geohash",),
-    "tag": ("user_id", "part"),
+    "tag_members": ("user_id", "id"),
+    "tag": ("user_id", "tag"),
 }

@@ -1,7 +1,9 @@
 """Where intermediate tables live, and which frames may be broadcast."""
 
-import tempfile
+import contextlib
+import contextvars
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,27 +14,48 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session may go
-    without: there, driver and executors are one machine.
+    without, and uses a folder beside its tables.
     """
     folder = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_CHECKPOINT_DIR} to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="tagloom-")
-        spark.conf.set(_CHECKPOINT_DIR, folder)
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return folder.rstrip("/")
 
 
+_scope = contextvars.ContextVar("scratch_scope", default=None)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """All scratch folders made within are deleted at its end, also after an error.
+
+    For jobs that leave their results in tables; frames read from the scratch tables are of no use
+    afterwards. Scopes within a scope belong to it.
+    """
+    if _scope.get():
+        yield _scope.get()
+        return
+    folder = f"{shared_folder(spark)}/job-{uuid.uuid4().hex}"
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        delete_path(spark, folder)
+
+
 class Scratch:
     """A fresh folder of intermediate tables below the shared folder.
 
-    A saved table cuts the lineage and outlives lost executors. It stays until
-    ``drop`` is called, as frames read from it are lazy.
+    A saved table cuts the lineage and outlives lost executors. It stays until ``drop`` is called
+    or the scope ends in which it was made, as frames read from it are lazy.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.folder = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+        self.folder = f"{_scope.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -61,6 +84,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    fs, hadoop_path = _file_system(spark, source)
+    if not fs.rename(hadoop_path, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate; an upper guess for joins, file sizes for scans."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

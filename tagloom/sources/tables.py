@@ -1,13 +1,14 @@
 """Dated tables: `<base>/<table>/dt=<yyyyMMdd>` as parquet."""
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tagloom.functions.dates import run_suffix
 from tagloom.operators.unique import duplicate_keys
-from tagloom.session import delete_path, path_exists
+from tagloom.session import delete_path, path_exists, rename_path
 
 
 class DatedTables:
@@ -19,20 +20,34 @@ class DatedTables:
         return f"{self.base}/{table}/dt={run_suffix(run_date)}"
 
     def exists(self, table: str, run_date: dt.date) -> bool:
-        return path_exists(self.spark, self.path(table, run_date))
+        """Whether the day was written to its end."""
+        return path_exists(self.spark, f"{self.path(table, run_date)}/_SUCCESS")
 
     def write(self, df: DataFrame, table: str, run_date: dt.date, keys: Sequence[str] = (),
-              partitions: int | None = None, check_keys: bool = False) -> None:
+              partitions: int | None = None, check_keys: bool = True) -> None:
         """Replace one day of a table, so that a repeated run leaves the same rows.
 
-        `partitions` lays the day out in that many files by the hash of the keys; without it
-        the rows are written where they are. `check_keys` refuses a frame with repeated keys.
+        The rows are written aside, and take the place of the old ones when they are complete. Rows
+        with repeated `keys` are refused, and the old ones stay. `partitions` lays the day out
+        in that many files by the hash of the keys; without it the rows are written where they are.
         """
-        if check_keys and not duplicate_keys(df, keys).isEmpty():
-            raise ValueError(f"{table}: key {tuple(keys)} is not unique")
         if partitions is not None:
             df = df.repartition(partitions, *keys)
-        df.write.mode("overwrite").parquet(self.path(table, run_date))
+        live = self.path(table, run_date)
+        aside = f"{self.base}/{table}/_next-{uuid.uuid4().hex}"
+        old = aside.replace("_next", "_old")
+        try:
+            df.write.parquet(aside)
+            if keys and check_keys:
+                written = self.spark.read.schema(df.schema).parquet(aside)
+                if not duplicate_keys(written, keys).isEmpty():
+                    raise ValueError(f"{table}: key {tuple(keys)} is not unique")
+            if path_exists(self.spark, live):
+                rename_path(self.spark, live, old)
+            rename_path(self.spark, aside, live)
+        finally:
+            delete_path(self.spark, aside)
+        delete_path(self.spark, old)
 
     def append(self, df: DataFrame, table: str, run_date: dt.date) -> None:
         df.write.mode("append").parquet(self.path(table, run_date))
@@ -41,10 +56,13 @@ class DatedTables:
         df = self.spark.read.parquet(self.path(table, run_date))
         return df.select(*columns) if columns else df
 
-    def read_or_empty(self, table: str, run_date: dt.date, schema: T.StructType) -> DataFrame:
-        """A day that was never written is empty, as on the first run."""
+    def read_or_empty(self, table: str, run_date: dt.date, schema: T.StructType,
+                      first_run: bool = False) -> DataFrame:
+        """A day that was never written is an error, but for the first run, for which it is empty."""
         if self.exists(table, run_date):
             return self.read(table, run_date)
+        if not first_run:
+            raise ValueError(f"{table} of {run_date} is missing; run that day first")
         return self.spark.createDataFrame([], schema)
 
     def drop(self, table: str, run_date: dt.date) -> None:

@@ -2,6 +2,7 @@
 
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -15,7 +16,8 @@ if __name__ == "__main__":
     sf_dir, *names = sys.argv[1:]
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", "8")
-             .config("spark.sql.session.timeZone", "UTC").getOrCreate())
+             .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.sql.warehouse.dir", tempfile.mkdtemp()).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, failed = connect(sf_dir), oracle_sql(), []
     for name, function in queries().items():

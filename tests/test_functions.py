@@ -113,5 +113,5 @@ def test_text_codec(spark):
     assert column(spark, [text], decode_tags) == [{"BA_x": 1.0, "DT_y": 0.9}]
     assert column(spark, [text], lambda c: encode_tags(decode_tags(c))) == [text]
     assert column(spark, ["a,b", "a", "", None], decode_ids) == [["a", "b"], ["a"], [], None]
-    with pytest.raises(Exception, match="separator"):
-        column(spark, [{"a#b": 1.0}], encode_tags, "v map<string, double>")
+    odd = {"a#b": 1.0, "c -> d,\\h": 2.0, "\\": 0.5}
+    assert column(spark, [odd], lambda c: decode_tags(encode_tags(c)), "v map<string, double>") == [odd]

@@ -1,17 +1,19 @@
 """The jobs of two days, end to end."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from tagloom.__main__ import main
 from tagloom.operators.funnel import REPORTS, ad_funnel
 from tagloom.plans.daily import run_area_dictionary, run_etl, run_reports, run_tags
 from tagloom.schema import ODS_COLUMNS
-from tagloom.operators.userrows import members_and_weights
+from tagloom.session import shared_folder
 from tagloom.sources.dictionaries import device_codes
 from tagloom.sources.tables import DatedTables
-from workload.adlog import adlog, app_names, place_ranges, raw_log, region_ranges, table
+from workload.adlog import adlog, app_names, place_ranges, raw_log, region_ranges, responses, table
 
 SF = "/root/testdata/sf0.001"
 DAYS = (dt.date(2024, 1, 15), dt.date(2024, 1, 16))
@@ -29,10 +31,14 @@ def tables(spark, tmp_path_factory):
                 place_ranges(spark, SF))
         run_reports(tables, day)
         run_area_dictionary(tables, day, places)
-        run_tags(tables, day, app_names(spark), device_codes(spark))
+        run_tags(tables, day, app_names(spark), device_codes(spark), first_run=i == 0)
     return tables
 
 
+def users(tables, day):
+    return tables.read("tag_members", day), tables.read("tag", day)
+
+
 def test_ods(tables, spark):
     ods = tables.read("ods", DAYS[0])
     assert ods.columns == list(ODS_COLUMNS)
@@ -50,17 +56,72 @@ def test_reports(tables):
 
 
 def test_tags_of_first_day(tables):
-    members, weights = members_and_weights(tables.read("tag", DAYS[0]))
+    members, weights = users(tables, DAYS[0])
     assert members.count() == members.select("id").distinct().count()
     assert weights.where("tag = 'BA_N'").count() > 0
     assert weights.where("weight % 1 <> 0").isEmpty()
 
 
 def test_second_day_has_history(tables):
-    first, first_weights = members_and_weights(tables.read("tag", DAYS[0]))
-    second, second_weights = members_and_weights(tables.read("tag", DAYS[1]))
+    first, first_weights = users(tables, DAYS[0])
+    second, second_weights = users(tables, DAYS[1])
     assert first.select("id").subtract(second.select("id")).isEmpty()
     assert second.select("id").distinct().count() == second.count()
     ods = tables.read("ods", DAYS[1])
     today = second_weights.agg(F.sum("weight")).first()[0] - 0.9 * first_weights.agg(F.sum("weight")).first()[0]
     assert ods.count() > 0 and abs(today - round(today)) < 1e-6
+
+
+def test_jobs_leave_no_scratch(tables, spark):
+    def listed():
+        folder = shared_folder(spark).removeprefix("file:")
+        return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    before = listed()
+    run_area_dictionary(tables, DAYS[1], spark.createDataFrame([], "location string, response string"))
+    run_reports(tables, DAYS[1])
+    run_tags(tables, DAYS[1], app_names(spark), device_codes(spark))
+    assert listed() == before
+
+
+def test_a_missed_day_is_an_error(tables, spark):
+    day = DAYS[1] + dt.timedelta(days=2)
+    for name in ("ods", "business_area"):
+        tables.write(tables.read(name, DAYS[1]), name, day)
+    with pytest.raises(ValueError, match="missing"):
+        run_tags(tables, day, app_names(spark), device_codes(spark))
+    assert not tables.exists("tag", day)
+
+
+def test_a_failed_run_keeps_the_day(tables, spark):
+    before = tables.read("ods", DAYS[0]).count()
+    log = tables.read("ods", DAYS[0])
+    with pytest.raises(ValueError, match="not unique"):
+        tables.write(log.unionByName(log), "ods", DAYS[0], ["sessionid"])
+    assert tables.read("ods", DAYS[0]).count() == before
+
+
+def test_commands(spark, tmp_path):
+    """The day again, by the commands and their options."""
+    day, folder = "2024-01-15", str(tmp_path / "tables")
+    raw_log(spark, SF).limit(200).write.json(str(tmp_path / "log"))
+    region_ranges(spark, SF).write.parquet(str(tmp_path / "regions"))
+    place_ranges(spark, SF).write.csv(str(tmp_path / "places"))
+    region_ranges(spark, SF).write.csv(str(tmp_path / "regions_csv"))
+    responses(spark, SF).write.parquet(str(tmp_path / "responses"))
+    (tmp_path / "apps.txt").write_text("XRX1##One\nXRX2##Two\n")
+    common = ["--tables", folder, "--date", day]
+    main(["etl", *common, "--log", str(tmp_path / "log"), "--regions", str(tmp_path / "regions_csv"),
+          "--places", str(tmp_path / "places"), "--ranges-format", "csv"], spark)
+    main(["reports", *common, "--cost-column", "adpayment"], spark)
+    main(["areas", *common, "--responses", str(tmp_path / "responses")], spark)
+    main(["tags", *common, "--app-names", str(tmp_path / "apps.txt"), "--first-run", "--qualify-ids",
+          "--decay", '{"KW_": 0.5}'], spark)
+    tables, day = DatedTables(spark, folder), dt.date.fromisoformat(day)
+    assert tables.read("ods", day).count() == 200
+    costs = tables.read("ad_channel_analysis", day).agg(F.sum("ad_cost")).first()[0]
+    wanted = ad_funnel(tables.read("ods", day), "channelid", cost_column="adpayment")
+    assert costs == wanted.agg(F.sum("ad_cost")).first()[0]
+    members = tables.read("tag_members", day)
+    assert members.where("id NOT LIKE '%:%'").isEmpty() and members.count() > 0
+    assert tables.read("tag", day).where("tag = 'APP_One'").count() > 0

