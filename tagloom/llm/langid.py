@@ -28,7 +28,7 @@ MAX_SAMPLE_CHARS = 8000
 MAX_GRAM = 4
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
-_REMEMBERED_WORDS = 200_000
+_REMEMBERED_WORDS = 50_000
 
 
 @dataclass
@@ -113,7 +113,9 @@ def fit(rows: DataFrame, max_gram: int = MAX_GRAM, **bounds: int) -> Model:
         for size in range(1, max_gram + 1):
             for at in range(len(marked) - size + 1):
                 grams[marked[at:at + size]][lang] += n
-    return Model(languages, _logs(words, languages), _logs(grams, languages),
+    # A word seen once tells no more than its n-grams, and such words are most of the model.
+    known = {word: c for word, c in words.items() if c.total() > 1}
+    return Model(languages, _logs(known, languages), _logs(grams, languages),
                  [0.0] * len(languages), max_gram)
 
 

@@ -22,7 +22,7 @@ from tagloom.llm.common import in_pieces
 
 BORDER = "▁"
 UNKNOWN_PENALTY = 10.0
-_REMEMBERED_WORDS = 300_000
+_REMEMBERED_WORDS = 100_000
 _WORD = re.compile(f"{BORDER}+[^{BORDER}]*|[^{BORDER}]+")
 
 
