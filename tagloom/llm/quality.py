@@ -150,11 +150,11 @@ def _group_bounds(sketch: DataFrame, min_docs: int) -> DataFrame:
     own = thresholds(sketch, ["group_key"], min_docs)
     language = thresholds(merged(sketch, ["language_key"]), ["language_key"], min_docs)
     overall = thresholds(merged(sketch.withColumn("all_key", F.lit(0)), ["all_key"]), ["all_key"], 1)
-    groups = sketch.select("group_key", "language_key").distinct().withColumn("all_key", F.lit(0))
-    for level, (bounds, key) in enumerate(((own, "group_key"), (language, "language_key"),
-                                           (overall, "all_key"))):
-        groups = groups.join(bounds.withColumnRenamed("bounds", f"bounds_{level}"), key, "left")
-    return groups.select("group_key", F.coalesce("bounds_0", "bounds_1", "bounds_2").alias("bounds"))
+    groups = sketch.select("group_key", "language_key").distinct()
+    for bounds, key, name in ((own, "group_key", "own"), (language, "language_key", "wider")):
+        groups = groups.join(bounds.withColumnRenamed("bounds", name), key, "left")
+    return groups.select("group_key", F.coalesce("own", "wider", overall.select("bounds").scalar())
+                         .alias("bounds"))
 
 
 def _judged(docs: DataFrame, carried: Column, text: str, lang: str, source: str,
