@@ -60,7 +60,7 @@ def test_last_stage_encodes_all_that_is_left(steps):
 
 
 def test_registered():
-    assert queries()["pipeline"] is corpus_pipeline.run
+    assert queries()["pipeline"].__wrapped__ is corpus_pipeline.run
     assert ("pipeline" in oracle_sql()) == (corpus_pipeline.ORACLE_SQL is not None)
     assert [sum(name.startswith(f"op{n}_") for name in queries()) for n in range(1, 11)] == [1] * 10
 
