@@ -13,7 +13,7 @@ from tagloom.schema import ODS_COLUMNS
 from tagloom.session import shared_folder
 from tagloom.sources.dictionaries import device_codes
 from tagloom.sources.tables import DatedTables
-from workload.adlog import adlog, app_names, place_ranges, raw_log, region_ranges, responses, table
+from workload.adlog import app_names, place_ranges, raw_log, region_ranges, responses, table
 
 SF = "/root/testdata/sf0.001"
 DAYS = (dt.date(2024, 1, 15), dt.date(2024, 1, 16))

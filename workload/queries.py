@@ -13,8 +13,7 @@ from tagloom.operators.areas import distinct_coordinates, with_areas
 from tagloom.operators.components import connected_components
 from tagloom.operators.funnel import REPORTS, ad_funnel, all_funnels, province_city_counts
 from tagloom.operators.history import decayed
-from tagloom.operators.identity import (identified_rows, identity_edges, id_weights, members_of,
-                                        user_weights, with_user)
+from tagloom.operators.identity import identified_rows, identity_edges, members_of, with_user
 from tagloom.operators.iprange import locate
 from tagloom.operators.keyed import (KeyedTable, delete_rows, insert_rows, update_rows,
                                      upsert_rows)
@@ -26,7 +25,7 @@ from tagloom.operators.userrows import from_text, members_and_weights, to_text,
 from tagloom.plans.daily import run_etl, run_tags
 from tagloom.plans.ods import build_ods, distinct_ips, ip_info, ip_regions
 from tagloom.plans.tags import build_area_dictionary, build_tags, records
-from tagloom.schema import AD_LOG, ID_COLUMNS
+from tagloom.schema import ID_COLUMNS
 from tagloom.session import Scratch
 from tagloom.sources.adlog import read_json_log
 from tagloom.sources.dictionaries import DEVICE_CODES, SEPARATOR, device_codes, read_dictionary
