@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # White space between words; what is left are the words.
 SPACES = r"[\x20\x09-\x0D]+"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

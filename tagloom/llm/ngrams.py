@@ -88,15 +88,6 @@ class Grams:
         self.words = {word: n for n, word in enumerate(words)}
         self.codes: list[np.ndarray] = [np.arange(len(words))]
 
-    def places(self, tokens: list[bytes]) -> np.ndarray:
-        """Of each token, the place of the longest kept order's n-gram beginning there, or -1."""
-        known = self.words.get
-        words = np.array([known(t, -1) for t in tokens], np.int64)
-        at = words
-        for codes in self.codes[1:]:
-            at = self._looked_up(codes, self.longer(at, words))
-        return at
-
     def longer(self, at: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Codes of n-grams one word longer than those in `at`, or -1."""
         size = len(words) - len(at) + 1
