@@ -12,7 +12,7 @@ from tagloom.llm.langid import in_a_language
 from tagloom.llm.pieces import encode
 from tagloom.llm.quality import kept_documents
 from tagloom.llm.simhash import one_of_each
-from tagloom.session import Scratch
+from tagloom.session import Scratch, scratch_scope
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,9 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each stage's rows are written as Parquet and read again for the next."""
+    """Each stage's rows are written as Parquet and read again for the next. What a stage needed besides
+    is deleted at its end, and its input after it."""
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for step, (_, stage) in enumerate(STAGES):
-        docs = scratch.save(stage(spark, docs, sf_dir), f"stage_{step}")
+        with scratch_scope(spark):
+            docs = scratch.save(stage(spark, docs, sf_dir), f"stage_{step}")
+        scratch.drop(f"stage_{step - 1}")
     return docs

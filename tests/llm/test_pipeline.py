@@ -1,9 +1,12 @@
 """The pipeline's stages against brute-force versions, on rows with every kind of trouble."""
 
+import os
+
 import pytest
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
+from tagloom.session import shared_folder
 from tests.llm import nasty
 from tests.llm.test_simhash import brute_components, brute_fingerprint
 
@@ -65,9 +68,15 @@ def test_registered():
     assert [sum(name.startswith(f"op{n}_") for name in queries()) for n in range(1, 11)] == [1] * 10
 
 
-def test_run(spark):
+def test_run_leaves_only_its_result(spark):
+    def listed():
+        folder = shared_folder(spark).removeprefix("file:")
+        return {f"{name}/{part}" for name in os.listdir(folder) for part in os.listdir(f"{folder}/{name}")}
+
+    before = listed()
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and all(r.lossless for r in rows)
+    assert [name.partition("/")[2] for name in listed() - before] == ["stage_4"]
 
 
 def test_empty_table(spark):
