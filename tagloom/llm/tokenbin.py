@@ -14,6 +14,7 @@ Shards are ranges of document ids in ascending order; within them, blocks and do
 Memory: a task holds a block of about `BLOCK_IDS` ids or one document.
 """
 
+import json
 import os
 import re
 import zlib
@@ -28,41 +29,81 @@ from tagloom.session import Scratch
 
 BLOCK_IDS = 1 << 20
 END_ID = 2
-_REMEMBERED = 300_000
-# A space before a letter or digit always begins a word of the tokenizer.
-_CUT = re.compile(r" (?=[^\W_])")
+_REMEMBERED = 400_000
+_WORDS_AT_ONCE = 2000
+# Parts of a text that the tokenizers of this kind never join with what is beside them: a run of letters
+# with the space before it, a contraction that does not follow a sign, and the last of several
+# white spaces, which they leave to what follows. What is between such parts is a part too.
+_PARTS = re.compile(r"( ?[^\W\d_]+|(?<![ _])(?<![^\w\s])'(?:s|t|re|ve|m|ll|d)|(?<=\s)[^\S ](?=\S))")
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + np.uint8(1)
 
 
 # -- text to ids ---------------------------------------------------------------------
 
 class Encoder:
-    """Encodes texts with a tokenizer file, remembering words."""
+    """Encodes texts with a tokenizer file, remembering parts: those of late, and those before them."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size()
-        self.words: dict[str, bytes] = {}
+        special = self.tokenizer.get_added_tokens_decoder()
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        # A character of a token's name stands for a byte.
+        self.bytes = np.array([len(name.encode()) if i in special else len(name)
+                               for i, name in enumerate(names)], np.int64)
+        self.parts: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        # Texts with characters that the expression takes for other kinds than the tokenizer, or with
+        # special tokens, are encoded whole.
+        self.odd = {c for c in map(chr, range(0x110000))
+                    if c in "\x1c\x1d\x1e\x1f" or c.isnumeric() and not c.isalpha() and not c.isdecimal()}
+        self.special = [token.content for token in special.values()]
+        self.by_parts = _is_of_bytes(self.tokenizer)
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32).tobytes() for e in found]
 
+    def _whole(self, text: str) -> bool:
+        return (not self.by_parts or any(token in text for token in self.special)
+                or not self.odd.isdisjoint(set(text)))
+
+    def _learn(self, parts: set[str]) -> None:
+        """Encode words, many as one text, whose ids are told apart by their bytes; other parts singly."""
+        words = [part for part in parts if part[0] == " " and part[1:].isalpha()]
+        for at in range(0, len(words), _WORDS_AT_ONCE):
+            some = words[at:at + _WORDS_AT_ONCE]
+            packed = self._encoded(["".join(some)])[0]
+            ends = np.cumsum([len(word.encode()) for word in some])
+            reached = np.cumsum(self.bytes[np.frombuffer(packed, np.uint32)])
+            places = (np.searchsorted(reached, ends, side="right") * 4).tolist()
+            self.parts.update(zip(some, [packed[a:b] for a, b in zip([0, *places], places)]))
+        others = list(parts.difference(words))
+        self.parts.update(zip(others, self._encoded(others)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
-        parts = [_CUT.split(text) for text in texts]
-        heads = self._encoded([p[0] for p in parts])
+        split = [None if self._whole(text) else _PARTS.split(text) for text in texts]
+        whole = iter(self._encoded([text for text, parts in zip(texts, split) if parts is None]))
         wanted = set()
-        for part in parts:
-            wanted.update(part[1:])
-        missing = [word for word in wanted if word not in self.words]
-        if len(self.words) + len(missing) > _REMEMBERED:
-            self.words = {}
-            missing = list(wanted)
-        self.words.update(zip(missing, self._encoded([" " + word for word in missing])))
-        word = self.words.__getitem__
-        return [head + b"".join(map(word, part[1:])) for head, part in zip(heads, parts)]
+        for parts in split:
+            wanted.update(parts or ())
+        if len(self.parts) + len(wanted) > _REMEMBERED:
+            self.parts, self.before = {"": b""}, self.parts
+        self.parts[""] = b""
+        new = wanted.difference(self.parts)
+        self.parts.update((part, self.before[part]) for part in new.intersection(self.before))
+        self._learn(new.difference(self.before))
+        part = self.parts.__getitem__
+        return [next(whole) if parts is None else b"".join(map(part, parts)) for parts in split]
+
+
+def _is_of_bytes(tokenizer: Tokenizer) -> bool:
+    """Whether the tokenizer takes texts as they are and cuts them by the usual expression."""
+    made = json.loads(tokenizer.to_str())
+    cut = made["pre_tokenizer"] or {}
+    return (made["normalizer"] is None and cut.get("type") == "ByteLevel" and cut["use_regex"]
+            and not cut["add_prefix_space"])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -138,11 +179,12 @@ def _id_counts(encoded: DataFrame) -> dict[int, int]:
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                found = np.bincount(_wide(ids))
-                if len(found) > len(total):
-                    total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
-                total[:len(found)] += found
+            if not batch.num_rows:
+                continue
+            found = np.bincount(np.concatenate([_wide(i) for i in batch.column("ids").to_pylist()]))
+            if len(found) > len(total):
+                total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
+            total[:len(found)] += found
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 

@@ -3,12 +3,14 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from tagloom.llm import tokenbin
 from tests.llm import nasty
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+ENCODER, WHOLE = tokenbin.Encoder(PATH), Tokenizer.from_file(PATH)
 
 
 @pytest.mark.parametrize("sizes", [[], [0], [1], [4], [3, 0, 5, 1], [1000, 7]])
@@ -31,18 +33,43 @@ def test_lengths_of_the_code():
     assert control == bytes([0b11100100]) and len(data) == 1 + 2 + 3 + 4
 
 
-TEXTS = ["a  b \n c", " a", "a ", "\n\n x", "don't 1 2\t3 é ß", "x y  z", "a \x1c b", "a <|endoftext|> b",
-         "   ", "中文 字 字", nasty.words(5, 300)]
+TEXTS = ["a  b \n c", " a", "a ", "\n\n x", "don't 1 2\t3 é ß", "x y  z", "a \x1c b", "a <|endoftext|> b",
+         "   ", "中文 字 字", "it's 's ('s \n's 1's 's's 'sabc they'll", "x²y ⅷ", "a\n\nb", "a\n\n b", "a \n\n(b", "a_b _c",
+         "e\u0301a \u0301", "a\xa0\xa0b \u2003 c", "\r\n\r\nA", "1st 2nd3", nasty.words(5, 300)]
 
 
-def test_cutting_at_spaces_gives_the_tokenizers_ids():
+def test_parts_give_the_tokenizers_ids():
     whole = Tokenizer.from_file(PATH)
     encoder = tokenbin.Encoder(PATH)
+    assert encoder.by_parts
     for texts in (TEXTS, TEXTS, [t for t in nasty.texts().values() if t]):
         found = [np.frombuffer(ids, np.uint32).tolist() for ids in encoder.encode(texts)]
         assert found == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=" \n\t'stvrelma1_.-(é中²\u0301\xa0\x1c<|>A", max_size=14))
+def test_parts_of_any_text(text):
+    found = np.frombuffer(ENCODER.encode([text])[0], np.uint32).tolist()
+    assert found == WHOLE.encode(text, add_special_tokens=False).ids
+
+
+def test_parts_are_remembered_within_a_bound(monkeypatch):
+    monkeypatch.setattr(tokenbin, "_REMEMBERED", 40)
+    few, texts = tokenbin.Encoder(PATH), [nasty.words(n, 30) for n in range(5)] * 2
+    for text in texts:
+        assert few.encode([text]) == ENCODER.encode([text])
+        assert len(few.parts) <= 41 and len(few.before) <= 41
+
+
+def test_other_tokenizers_encode_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, whole = tokenbin.Encoder(path), Tokenizer.from_file(path)
+    assert not encoder.by_parts
+    found = np.frombuffer(encoder.encode([TEXTS[-1]])[0], np.uint32).tolist()
+    assert found == whole.encode(TEXTS[-1], add_special_tokens=False).ids
+
+
 def wanted(rows):
     whole, start, found = Tokenizer.from_file(PATH), 0, []
     for row in sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0)):
