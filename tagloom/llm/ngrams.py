@@ -1,37 +1,41 @@
 """Language-model scores by a weighted backoff automaton over words.
 
 Counting. The corpus is cut into blocks of whole texts. Each block gives the counts of its words;
-their sums are the corpus counts of all words. N-grams of higher order are counted where all their
-parts are frequent: those with at least `min_share` of all tokens. No more than 1 / `min_share`
-n-grams of an order can be, whatever the size of the corpus, and so the automaton can be sent to
-all tasks. Counts of rarer words stay distributed, and each block is given those of its own words.
+their sums are the corpus counts of all words, which get numbers. Each block then gives the counts
+of its n-grams as numbers of words; n-grams of higher order are those that come at least MIN_COUNT
+times in the corpus, at any size of it. All counts stay in distributed tables.
 
 The automaton. The root holds the words, by absolute discounting; the discounted mass is that of all
-unknown words, which are one type. Each frequent n-gram that is continued is a state; its arcs have
-the discounted probabilities of the continuations, and its failure arc, to the state without the
-first word, has the weight that makes all sum to one. A text is read once from left to right: at
-each word, failure arcs are followed, adding their weights, until a state has an arc for it.
+unknown words, which are one type. Each n-gram that is continued is a state; its arcs have the
+discounted probabilities of the continuations, and its failure arc, to the state without the
+first word, has the weight that makes all sum to one. Arcs and weights are computed by joins, and
+each block of texts is given those of its own n-grams. There failure arcs are followed, adding their
+weights, for all words of the block at once, until a state has an arc for the word.
 """
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tagloom.llm.common import column_bytes, in_pieces, remainder, words_of
 from tagloom.session import Scratch
 
 END = b"\n"  # no word holds it
-MIN_SHARE = 2.0 ** -18
+MIN_COUNT = 2
+# Words of at least this share of all tokens are sent to all tasks, no more than 1 / BROADCAST_SHARE.
+BROADCAST_SHARE = 2.0 ** -18
 ORDER = 3
 DISCOUNT = 0.5
 BLOCK_BYTES = 16 << 20
 _HELD_COUNTS = 500_000
-_HELD_CODES = 1 << 21
+_HELD_TOKENS = 1 << 22
+_MAX_WORDS = 1 << 31
 
 
 # -- counting ---------------------------------------------------------------------------
@@ -81,7 +85,7 @@ def _block_words(batches):
 
 
 class Grams:
-    """The frequent n-grams of each order, as sorted codes: the place of the n-gram without its last
+    """N-grams of each order that are kept in memory, as sorted codes: the place of the n-gram without its last
     word among those of the order below, times the number of words, plus the last word's."""
 
     def __init__(self, words: list[bytes]):
@@ -112,34 +116,116 @@ class Grams:
         return codes[(codes >= 0) & (at[1:len(codes) + 1] >= 0)]
 
 
-def _count_next(texts: DataFrame, grams: Grams, least: float) -> dict[int, int]:
-    """Counts of the n-grams of the next order that come at least `least` times."""
-    sent = texts.sparkSession.sparkContext.broadcast(
-        (list(grams.words), [codes.tolist() for codes in grams.codes]))
+def _encode_block(sent, tokens: int, types: int):
+    """Texts as numbers of words, -1 for unknown ones, with what their words alone tell."""
+    def apply(docs: pa.Table, rare: pa.Table) -> pa.Table:
+        frequent, ids, n = sent.value
+        own = {w: len(ids) + i for i, w in enumerate(rare["word"].to_pylist())}
+        ids = np.concatenate([ids, rare["id"].to_numpy(), [-1]]).astype(np.int32)
+        n = np.concatenate([n, rare["n"].to_numpy(), [0]])
+        base = np.log10((n + 1) / (tokens + types + 1))
+        unknown, lengths, known, scores, encoded = len(ids) - 1, [], [], [], []
+        for text in docs["text"].to_pylist():
+            words = [*words_of(text), END]
+            at = np.fromiter((frequent[w] if w in frequent else own.get(w, unknown) for w in words),
+                             np.int64, len(words))
+            lengths.append(len(words))
+            known.append(int((at != unknown).sum()))
+            scores.append(float(base[at].sum()))
+            encoded.append(ids[at].tobytes())
+        return pa.table({
+            "doc_id": docs["doc_id"], "held_out": docs["held_out"], "block": docs["block"],
+            "n_tokens": pa.array(lengths, pa.int64()), "n_known": pa.array(known, pa.int64()),
+            "base_score": pa.array(scores, pa.float64()), "ids": pa.array(encoded, pa.binary())})
 
-    def count(batches):
-        words, codes = sent.value
-        own = Grams(words)
-        own.codes = [np.array(c, np.int64) for c in codes]
-        held, size = [], 0
+    return apply
 
-        def flush():
-            found, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["code", "n"])
 
-        for batch in in_pieces(batches, "text"):
-            for text in column_bytes(batch, "text"):
-                held.append(own.continued([*text.split(), END]))
-                size += len(held[-1])
-            if size > _HELD_CODES:
-                yield flush()
-                held, size = [], 0
-        if held:
-            yield flush()
+def _joined(encoded: list[bytes]) -> np.ndarray:
+    """The word numbers of several texts, each text after a -1."""
+    gap = np.array([-1], np.int32).tobytes()
+    return np.frombuffer(gap + gap.join(encoded), np.int32).astype(np.int64)
+
+
+def _following(values: np.ndarray) -> np.ndarray:
+    """The values one place later."""
+    return np.concatenate([np.zeros(1, values.dtype), values[:-1]])
+
+
+def _block_grams(order: int):
+    """`block`, `a`, `b`, `n`: the n-grams of a block and how often they come in texts to learn from,
+    0 if only in others. `b` is the last word; `a` is -1 for words, the first word of two, and the
+    first two of three, as (first + 1) * 2^32 + second."""
+    def count(block: int, texts: list[bytes], learned: list[bool]) -> Iterator[pa.RecordBatch]:
+        ids = _joined(texts)
+        lengths = np.array([len(t) // 4 + 1 for t in texts], np.int64)
+        train = np.repeat(np.array(learned, bool), lengths)
+        words, at = np.unique(ids, return_inverse=True)  # an unknown word or a gap is -1
+        firsts, valid, codes = np.full(len(ids), -1, np.int64), ids >= 0, at
+        for size in range(1, order + 1):
+            if size > 1:
+                # Each n-gram ends at its place, and begins with the shorter one that ends before.
+                valid = _following(valid) & (ids >= 0)
+                codes = _following(place) * len(words) + at
+                firsts = (_following(firsts) + 1 << 32) + _following(ids) if size > 2 else _following(ids)
+            ends = np.flatnonzero(valid)
+            found, first, inverse = np.unique(codes[ends], return_index=True, return_inverse=True)
+            n = np.bincount(inverse, train[ends], len(found)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(found), block, np.int64)), pa.array(firsts[ends[first]]),
+                 pa.array(ids[ends[first]]), pa.array(n)], ["block", "a", "b", "n"])
+            place = np.zeros(len(ids), np.int64)
+            place[ends] = inverse
+
+    def apply(batches):
+        texts, learned, size, block = [], [], 0, None
+        for batch in in_pieces(batches, "ids"):
+            for text, held_out, at in zip(batch.column("ids").to_pylist(),
+                                          batch.column("held_out").to_pylist(),
+                                          batch.column("block").to_pylist()):
+                if texts and (at != block or size > 4 * _HELD_TOKENS):
+                    yield from count(block, texts, learned)
+                    texts, learned, size = [], [], 0
+                block = at
+                texts.append(text)
+                learned.append(not held_out)
+                size += len(text)
+        if texts:
+            yield from count(block, texts, learned)
+
+    return apply
 
-    rows = (texts.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= least).toArrow().to_pydict())
-    return dict(zip(rows["code"], rows["n"]))
+
+def _arcs(grams: DataFrame, scratch: Scratch, tokens: int, discount: float) -> DataFrame:
+    """`a`, `b`, `arc`, `weight`: of all n-grams the log10 probability of the arc that ends in it, and
+    the log10 weight of its failure arc, 0 if it is no state. Sums are of whole numbers."""
+    a, b = F.col("a"), F.col("b")
+    word, three = a < 0, a >= 1 << 32
+    second, first = a.bitwiseAND((1 << 32) - 1), F.shiftright(a, 32) - 1
+    none = F.lit(None).cast("long")
+    rows = grams.select(
+        "a", "b", "n",
+        F.when(word, none).when(three, first).otherwise(-1).alias("pa"),
+        F.when(word, none).when(three, second).otherwise(a).alias("pb"),
+        F.when(word, none).when(three, second).otherwise(-1).alias("sa"),
+        F.when(word, none).otherwise(b).alias("sb"))
+    for key, count in (("p", "pn"), ("s", "sn")):
+        shorter = grams.where(~three).select(a.alias(f"{key}a"), b.alias(f"{key}b"), F.col("n").alias(count))
+        words = rows.where(word).withColumn(count, none)
+        rows = rows.where(~word).join(shorter, [f"{key}a", f"{key}b"]).unionByName(words)
+    rows = scratch.save(rows.select("a", "b", "n", "pa", "pb", "pn", "sn"), "linked")
+    states = (rows.where(~word).groupBy(F.col("pa").alias("a"), F.col("pb").alias("b"))
+              .agg(F.count("*").alias("k"), F.sum("n").alias("kept"), F.sum("sn").alias("below")))
+    kept = (F.col("kept") - DISCOUNT * F.col("k")) / F.col("n")
+    below = F.when(word, (F.col("below") - discount * F.col("k")) / float(max(tokens, 1))).otherwise(
+        (F.col("below") - DISCOUNT * F.col("k")) / F.col("sn"))
+    least = F.lit(1e-12)
+    arc = F.when(word, (F.col("n") - discount) / float(max(tokens, 1))).otherwise(
+        (F.col("n") - DISCOUNT) / F.col("pn"))
+    return rows.join(states, ["a", "b"], "left").select(
+        "a", "b", F.log10(arc).alias("arc"),
+        F.coalesce(F.log10(F.greatest(1 - kept, least) / F.greatest(1 - below, least)), F.lit(0.0))
+        .alias("weight"))
 
 
 # -- the automaton -------------------------------------------------------------------------
@@ -240,34 +326,72 @@ _RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_to
            "base_score double, score double")
 
 
-def _score_block(sent):
-    def apply(docs: pa.Table, rare: pa.Table) -> pa.Table:
-        model = sent.value
-        root = dict(model.root)
-        for word, n in zip(rare["word"].to_pylist(), rare["n"].to_pylist()):
-            root[word] = model.root_entry(n)
-        texts = [words_of(t) for t in docs["text"].to_pylist()]
-        found = [model.score(words, root) for words in texts]
+def _block_scores(ids: np.ndarray, a: np.ndarray, b: np.ndarray, arc: np.ndarray,
+                  weight: np.ndarray, unknown: float) -> np.ndarray:
+    """The log10 probability of each word of `ids`, by the arcs of the n-grams of its block."""
+    looked_up = Grams._looked_up
+
+    def table(rows, codes):
+        codes, first = np.unique(codes, return_index=True)
+        return codes, arc[rows][first], weight[rows][first]
+
+    rows = np.flatnonzero(a < 0)
+    words, arcs, weights = table(rows, b[rows])
+    at = looked_up(words, ids)
+    total = np.where(at >= 0, np.append(arcs, 0.0)[at], unknown)
+    fail = np.where(at >= 0, np.append(weights, 0.0)[at], 0.0)
+    width, place, codes_before = max(len(words), 1), at, None
+    for size in (2, 3):
+        rows = np.flatnonzero((a >= 0) & (a < 1 << 32) if size == 2 else a >= 1 << 32)
+        if size == 2:
+            heads = looked_up(words, a[rows])
+        else:
+            heads = looked_up(codes_before, looked_up(words, (a[rows] >> 32) - 1) * width
+                              + looked_up(words, a[rows] & (1 << 32) - 1))
+        codes, arcs, weights = table(rows, heads * width + looked_up(words, b[rows]))
+        before = _following(place + 1) - 1
+        here = np.where((before >= 0) & (at >= 0), before * width + at, -1)
+        found = np.where(here >= 0, looked_up(codes, here), -1)
+        # An arc of the longer state, or its failure arc and what the shorter one gives.
+        total = np.where(found >= 0, np.append(arcs, 0.0)[found], _following(fail) + total)
+        fail = np.where(found >= 0, np.append(weights, 0.0)[found], 0.0)
+        place, codes_before = found, codes
+    return total
+
+
+_RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+           "base_score double, score double")
+_ENCODED = ("doc_id long, held_out boolean, block long, n_tokens long, n_known long, "
+            "base_score double, ids binary")
+
+
+def _score_block(tokens: int, unknown: float):
+    def apply(docs: pa.Table, arcs: pa.Table) -> pa.Table:
+        encoded = docs["ids"].to_pylist()
+        ids = _joined(encoded)
+        found = _block_scores(ids, *(arcs[c].to_numpy() for c in ("a", "b", "arc", "weight")), unknown)
+        ends = np.cumsum([len(t) // 4 + 1 for t in encoded]).tolist()
+        scores = [float(found[end - len(t) // 4:end].sum()) for t, end in zip(encoded, ends)]
         return pa.table({
-            "doc_id": docs["doc_id"], "held_out": docs["held_out"],
-            "n_tokens": pa.array([len(t) + 1 for t in texts], pa.int64()),
-            "n_known": pa.array([f[0] for f in found], pa.int64()),
-            "train_tokens": pa.array([model.tokens] * len(texts), pa.int64()),
-            "base_score": pa.array([f[1] for f in found], pa.float64()),
-            "score": pa.array([f[2] for f in found], pa.float64())})
+            **{c: docs[c] for c in ("doc_id", "held_out", "n_tokens", "n_known")},
+            "train_tokens": pa.array([tokens] * len(scores), pa.int64()),
+            "base_score": docs["base_score"], "score": pa.array(scores, pa.float64())})
 
     return apply
 
 
 def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text", modulus: int = 7,
-          held: int = 2, order: int = ORDER, min_share: float = MIN_SHARE) -> DataFrame:
+          held: int = 2, order: int = ORDER, min_share: float = 0.0) -> DataFrame:
     """`doc_id`, `held_out`, `n_tokens`, `n_known`, `train_tokens`, `base_score`, `score` of every row.
 
     Learns from the rows whose crc32 of the id does not leave `held`; rows without an id are learned
-    from. NULL texts are empty: their only token is the end. Without any text to learn from all
-    tokens are unknown, with probability one. Repeated rows are counted and scored as often as they
-    are given; an empty table gives no rows; other columns are not looked at.
+    from. N-grams of two and three words are all that come MIN_COUNT times, or `min_share` of all
+    tokens if that is more. NULL texts are empty: their only token is the end. Without any text to
+    learn from all tokens are unknown, with probability one. Repeated rows are counted and scored as
+    often as they are given; an empty table gives no rows; other columns are not looked at.
     """
+    if not 1 <= order <= ORDER:
+        raise ValueError(f"order {order} is not from 1 to {ORDER}")
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngrams")
     held_out = F.coalesce(remainder(F.col(id_column), modulus) == held, F.lit(False))
@@ -278,24 +402,39 @@ def score(docs: DataFrame, id_column: str = "doc_id", text: str = "text", modulu
     texts = spark.read.parquet(scratch.path("texts"))
     by_block = scratch.save(texts.select("held_out", "block", "text").mapInArrow(
         _block_words, "block long, word binary, n long"), "by_block")
-    counts = scratch.save(by_block.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0"), "counts")
+    counts = scratch.save(by_block.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
+                          .withColumn("row", F.monotonically_increasing_id()), "counts")
 
     def having(n):
         return F.count(F.when(F.col("n") == n, 1))
 
-    tokens, types, ones, twos = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), having(1),
-                                           having(2)).first()
+    # A row's partition is in the upper bits.
+    part, within = F.shiftright("row", 33), F.col("row").bitwiseAND((1 << 33) - 1)
+    tokens, types, ones, twos, parts, rows_of_part = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), having(1), having(2),
+        F.coalesce(F.max(part) + 1, F.lit(1)), F.coalesce(F.max(within) + 1, F.lit(0))).first()
+    if parts * rows_of_part >= _MAX_WORDS:
+        raise ValueError(f"{types} different words are too many for numbers below {_MAX_WORDS}")
     discount = min(0.9, max(0.1, ones / (ones + 2 * twos))) if ones else DISCOUNT
-    least = max(2.0, tokens * min_share)
-    frequent = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "word").toArrow().to_pydict()
-    grams, orders = Grams(frequent["word"]), []
-    train = texts.where(~F.col("held_out")).select("text")
-    for _ in range(order - 1):
-        found = _count_next(train, grams, least)
-        grams.codes.append(np.array(sorted(found), np.int64))
-        orders.append(found)
-    model = automaton(frequent["word"], frequent["n"], orders, grams.codes, tokens, types, discount)
-    sent = spark.sparkContext.broadcast(model)
-    rare = by_block.select("block", "word").join(counts.where(F.col("n") < least), "word")
-    return (texts.groupBy("block").cogroup(rare.groupBy("block"))
-            .applyInArrow(_score_block(sent), _RESULT))
+    numbered = counts.select("word", "n", (within * parts + part).alias("id"))
+
+    sent_least = max(2.0, tokens * BROADCAST_SHARE)
+    frequent = numbered.where(F.col("n") >= sent_least).toArrow()
+    sent = spark.sparkContext.broadcast((
+        {word: i for i, word in enumerate(frequent["word"].to_pylist())},
+        frequent["id"].to_numpy(), frequent["n"].to_numpy()))
+    rare = by_block.select("block", "word").join(numbered.where(F.col("n") < sent_least), "word")
+    encoded = scratch.save(texts.groupBy("block").cogroup(rare.groupBy("block")).applyInArrow(
+        _encode_block(sent, tokens, types), _ENCODED), "encoded")
+
+    least = max(float(MIN_COUNT), tokens * min_share)
+    total = F.sum("n").over(Window.partitionBy("a", "b"))
+    asked = scratch.save(
+        encoded.select("held_out", "block", "ids").mapInArrow(
+            _block_grams(order), "block long, a long, b long, n long")
+        .withColumn("n", total).where((F.col("a") < 0) | (F.col("n") >= least)), "asked")
+    grams = scratch.save(asked.groupBy("a", "b").agg(F.first("n").alias("n")), "grams")
+    arcs = asked.select("block", "a", "b").join(_arcs(grams, scratch, tokens, discount), ["a", "b"])
+    unknown = Automaton({}, (), [{}], [0.0], [0], tokens, types, discount).root_entry(0)[0]
+    return encoded.groupBy("block").cogroup(arcs.groupBy("block")).applyInArrow(
+        _score_block(tokens, unknown), _RESULT)

@@ -114,3 +114,18 @@ def test_long_texts_without_training_and_empty_tables(spark, corpus):
     assert score(nasty.empty(spark)).collect() == []
     row = score(corpus).where("doc_id = 9").collect()[0]
     assert row.n_tokens == 20_001
+
+
+def test_all_repeated_n_grams_at_any_size(spark):
+    """Among so many tokens, what comes twice is less than 2^-18 of them; it has arcs all the same."""
+    ids = [i for i in range(2000) if not held_out(i)]
+    rows = [(i, " ".join(f"w{(i + j) % 7}" for j in range(3000))) for i in ids[:300]]
+    rows += [(i, "seldom seen pair") for i in ids[300:302]]
+    others = [i for i in range(2000) if held_out(i)]
+    asked = dict(zip(others, ["seldom seen pair", "seldom pair seen", "w1 w2 seldom seen"]))
+    train = [tokens(text) for _, text in rows]
+    brute = Backoff(train, 3, 2)
+    assert brute.n * 2.0 ** -18 > 2
+    found = score(spark.createDataFrame(rows + [*asked.items()], "doc_id long, text string"))
+    for row in found.where("held_out").collect():
+        assert row.score == pytest.approx(brute.score(tokens(asked[row.doc_id]))), asked[row.doc_id]
