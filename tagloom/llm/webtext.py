@@ -3,8 +3,10 @@
 Each node of a page has a density: its characters per tag, adjusted for links, so that text with
 many links counts little. The sum of the children's densities is largest at the node that holds the
 article. The least density on the path from the body to it is the threshold below which link-heavy
-parts within are left out. Elements that can't be article by their name, role or class (menus,
-notices, adverts, comments of readers and the like) are left out from the beginning.
+parts within are left out. Elements that can't be article by their name (menus, scripts and the like)
+are left out from the beginning, and so are those that by their role or class should not be (notices,
+adverts, comments of readers and the like) if they hold no more than half of the page's text and
+no article: what holds more is a wrapper of the page.
 
 Pages are independent of each other; a task holds one page at a time.
 """
@@ -40,8 +42,11 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
            "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"thead", "tbody", "tr", "td", "th"}}
 _SCOPE = frozenset("table td th ul ol dl body html button select article section div".split())
 _LEFT_OUT = frozenset(
-    "head nav footer aside form button select datalist dialog menu search script style textarea title "
-    "noscript iframe noembed noframes template svg math canvas audio video object map".split())
+    "head nav footer button select datalist dialog menu search script style textarea title "
+    "noscript iframe noembed noframes template svg annotation annotation-xml canvas audio video object "
+    "map".split())
+# These, and elements of the roles and names below, may also be wrappers of the page.
+_DOUBTFUL = frozenset("aside form".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu "
                    "menubar toolbar form".split())
 _NAMES = frozenset(
@@ -60,10 +65,12 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.dropped, self.in_article = ["html"], [0], [False], [False]
+        self.doubtful = [False]
         # (node, number of its block, text)
         self.texts: list[tuple[int, int, str]] = []
         self.body = 0
         self._parse(source)
+        self._drop_doubtful()
 
     def _parse(self, source: str) -> None:
         stack, block, at = [0], 0, 0
@@ -113,13 +120,14 @@ class Page:
         self.parent.append(parent)
         inside = self.in_article[parent]
         self.in_article.append(inside or name in ("article", "main"))
-        self.dropped.append(self.dropped[parent] or self._left_out(name, attributes, inside))
+        self.dropped.append(self.dropped[parent] or name in _LEFT_OUT)
+        self.doubtful.append(self._is_doubtful(name, attributes, inside))
         stack.append(len(self.tag) - 1)
         return stack[-1]
 
     @staticmethod
-    def _left_out(name: str, attributes: str, in_article: bool) -> bool:
-        if name in _LEFT_OUT or (name in _TITLES and not in_article):
+    def _is_doubtful(name: str, attributes: str, in_article: bool) -> bool:
+        if name in _DOUBTFUL or (name in _TITLES and not in_article):
             return True
         if name in ("body", "article", "main") or not attributes.strip():
             return False
@@ -161,6 +169,27 @@ class Page:
                 del stack[depth:]
             depth -= 1
 
+    def _drop_doubtful(self) -> None:
+        """Drop the doubtful elements but those with more than half of the page's text, and those around
+        an article with text."""
+        if not any(self.doubtful):
+            return
+        chars = [0] * len(self.tag)
+        for node, _, text in self.texts:
+            if not self.dropped[node]:
+                chars[node] += len("".join(text.split()))
+        holds = [False] * len(self.tag)
+        for node in range(len(self.tag) - 1, 0, -1):
+            up = self.parent[node]
+            chars[up] += chars[node]
+            if holds[node] or chars[node] and self.tag[node] in ("article", "main"):
+                holds[up] = True
+        for node in range(1, len(self.tag)):
+            up = self.parent[node]
+            around = holds[node] and not self.in_article[up]
+            self.dropped[node] = self.dropped[node] or self.dropped[up] or (
+                self.doubtful[node] and 2 * chars[node] <= chars[0] and not around)
+
     # -- densities ----------------------------------------------------------------------
 
     def main_blocks(self) -> list[str]:

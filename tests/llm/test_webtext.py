@@ -78,3 +78,24 @@ def test_rows(spark):
     rows = sorted(map(tuple, extract(pages).collect()), key=str)
     assert rows == [(1, "u", LONG, len(LONG))] * 2 + [(2, None, "", 0), (None, "u", "", 0)]
     assert extract(pages.where("false")).collect() == []
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<div class='content has-sidebar'>{}</div>", "<form id=aspnetForm>{}</form>", "<aside>{}</aside>",
+    "<div id=page class=no-menu><div class=social-layout>{}</div></div>", "<div role=form>{}</div>",
+    "<div class=comments-open aria-hidden=true>{}</div>"])
+def test_wrappers_with_names_of_menus(wrapper):
+    """A name says nothing of an element that holds the page, with an `article` or without."""
+    menu = "<div class=menu><a href=1>One</a> <a href=2>Two</a></div>"
+    inner = f"<h1>Head</h1><p>{LONG}</p><p>{MORE}</p><div class='ad'>Buy</div>"
+    for tag in ("div", "article"):
+        page = article(f"{menu}<{tag}>{inner}</{tag}>", wrapper)
+        assert main_text(page) == "\n\n".join(["Head", LONG, MORE])
+    # An article within stays also where other text outweighs it.
+    page = article(f"<article><p>{LONG}</p><p>{MORE}</p></article>", wrapper + f"<div><a href=x>{LONG * 9}</a></div>")
+    assert main_text(page) == "\n\n".join([LONG, MORE])
+
+
+def test_formulas_are_text():
+    formula = "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>"
+    assert main_text(article(f"<article><p>{LONG} {formula}</p></article>")) == f"{LONG} x=1"
