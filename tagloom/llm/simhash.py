@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tagloom.llm.common import column_bytes, in_pieces, words_of
 from tagloom.operators.components import connected_components
@@ -52,18 +52,27 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                 shingle: int = 4) -> DataFrame:
-    """`id` and `fp` (the 64 bits as a signed long) of every row. NULL texts are empty."""
+                 shingle: int = 4, *carried: Column) -> DataFrame:
+    """`id`, `fp` (the 64 bits as a signed long) and the `carried` binary columns of every row. NULL
+    texts are empty."""
     def compute(batches):
         for batch in in_pieces(batches, "text"):
             found = [fingerprint(text, shingle) for text in column_bytes(batch, "text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(np.array(found, np.uint64).view(np.int64))],
-                ["id", "fp"])
+                [batch.column("id"), pa.array(np.array(found, np.uint64).view(np.int64)),
+                 *batch.columns[2:]], ["id", "fp", *batch.schema.names[2:]])
 
     rows = docs.select(F.col(id_column).cast("long").alias("id"),
-                       F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(compute, "id long, fp long")
+                       F.col(text_column).cast("string").alias("text"), *carried)
+    more = "".join(f", {name} binary" for name in rows.columns[2:])
+    return rows.mapInArrow(compute, f"id long, fp long{more}")
+
+
+def _row_key(id_column: str, text_column: str) -> Column:
+    """The same for rows of equal id and text only, NULL being an id of its own."""
+    named = F.coalesce(F.col(id_column).cast("long").cast("string"), F.lit(""))
+    return F.unhex(F.md5(F.concat(named, F.lit(":"),
+                                  F.coalesce(F.col(text_column).cast("string"), F.lit("")))))
 
 
 def _signed(value: int) -> int:
@@ -161,7 +170,8 @@ def links(fps: DataFrame, max_bits: int = 4, cell_rows: int = CELL_ROWS,
 
 
 def components(prints: DataFrame, max_bits: int = 4) -> DataFrame:
-    """Add `component_id`, the smallest id in the component, to a stored table of `id` and `fp`."""
+    """Add `component_id`, the smallest id in the component, and `root`, one of its fingerprints, to a
+    stored table of `id` and `fp`."""
     scratch = Scratch(prints.sparkSession, "simhash")
     groups = scratch.save(prints.groupBy("fp").agg(F.min("id").alias("first")), "groups")
     edges = links(groups.select("fp"), max_bits)
@@ -173,7 +183,8 @@ def components(prints: DataFrame, max_bits: int = 4) -> DataFrame:
     least = scratch.save(rooted.where(F.col("root").isNotNull())
                          .groupBy("root").agg(F.min("first").alias("component_id")), "least")
     labels = scratch.save(lookup_join(rooted, least, "root").select(
-        "fp", F.coalesce("component_id", "first").alias("component_id")), "labels")
+        "fp", F.coalesce("root", "fp").alias("root"),
+        F.coalesce("component_id", "first").alias("component_id")), "labels")
     return lookup_join(prints, labels, "fp")
 
 
@@ -196,12 +207,17 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """The documents whose id names their component, one row for each, with all their columns.
+    """One row of each component, with all its columns: that of the smallest id.
 
-    Components without any id keep one row. The texts are moved once.
+    Rows without an id come last, and of equal ids the smallest fingerprint comes first. So components
+    without any id, and components that share an id, keep a row each. Of rows with equal id and
+    text any is taken. The texts are moved once.
     """
-    classes = near_duplicates(docs, shingle=shingle, max_bits=max_bits)
-    kept = (classes.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("_kept")).distinct())
-    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-            .dropDuplicates(["doc_id"]))
+    scratch = Scratch(docs.sparkSession, "fingerprints")
+    prints = scratch.save(fingerprints(
+        docs, "doc_id", "text", shingle, _row_key("doc_id", "text").alias("key")), "prints")
+    least = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "fp", "key"))
+    kept = (components(prints, max_bits).groupBy("root").agg(least.alias("least"))
+            .select(F.col("least.key").alias("_key")))
+    return (docs.withColumn("_key", _row_key("doc_id", "text")).join(kept, "_key", "left_semi")
+            .dropDuplicates(["_key"]).drop("_key"))

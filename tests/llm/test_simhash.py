@@ -97,3 +97,11 @@ def test_one_row_of_each_group_stays_with_its_columns(spark):
     assert sorted(i for i in ids if i is not None) == sorted(
         {r.component_id for r in classes if r.component_id is not None})
     assert ids.count(None) == 1
+
+
+def test_components_without_an_id_or_with_a_shared_one_keep_a_row_each(spark):
+    a, b, c, d, e = (nasty.words(900 + i, 50) for i in range(5))
+    rows = [(None, a), (None, a), (None, b), (None, c), (1, c), (2, d), (2, e), (2, e)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, one_of_each(docs).collect()), key=str)
+    assert kept == sorted([(None, a), (None, b), (1, c), (2, d), (2, e)], key=str)
