@@ -83,6 +83,39 @@ _BASE32 = """array_to_string(list_transform(range(32), lambda i: substr(
     ((CAST('0x' || substr(hex, (i // 4) * 5 + 1, 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER))
      & 31) + 1, 1)), '')"""
 
+def _clusters(k: int = 16, rounds: int = 3) -> str:
+    """Centroids as lists of longs, moved `rounds` times; all arithmetic is on integers."""
+    steps, nearest = [], """
+{name} AS (SELECT r, vec_id, x, cluster, distance FROM (
+    SELECT *, row_number() OVER (PARTITION BY r ORDER BY distance, cluster) AS place FROM (
+        SELECT r, vec_id, x, c.cluster, list_sum(list_transform(
+            list_zip(x, m), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS distance
+        FROM kept, {centroids} c)) WHERE place = 1)"""
+    for i in range(rounds + 1):
+        steps.append(nearest.format(name=f"near{i}", centroids=f"centroids{i}"))
+        if i < rounds:
+            steps.append(f"""
+sums{i} AS (SELECT cluster, d, sum(v) AS s, count(*) AS n
+    FROM (SELECT cluster, unnest(x) AS v, unnest(range(len(x))) AS d FROM near{i}) GROUP BY ALL),
+moved{i} AS (SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY d) AS m
+    FROM sums{i} GROUP BY cluster),
+centroids{i + 1} AS (SELECT c.cluster, coalesce(w.m, c.m) AS m
+    FROM centroids{i} c LEFT JOIN moved{i} w ON c.cluster = w.cluster)""")
+    return f"""WITH kept AS (
+    SELECT row_number() OVER () AS r, vec_id,
+           list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: isfinite(c))) = 64),
+centroids0 AS (SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), x)
+                           - 1 AS INTEGER) AS cluster, x AS m
+    FROM kept ORDER BY cluster LIMIT {k}),{",".join(steps)}
+SELECT vec_id, n.cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY n.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM near{rounds} n JOIN centroids{rounds} c ON n.cluster = c.cluster"""
+
+
 ORACLES: dict[str, str] = {
     "op10_warc": f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
@@ -99,4 +132,5 @@ FROM whole LEFT JOIN again ON whole.conv_id IS NOT DISTINCT FROM again.conv_id""
     "op3_quality": f"""WITH {QUALITY_ROWS}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
 FROM judged""",
+    "op11_centroids": _clusters(),
 }

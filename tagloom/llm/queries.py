@@ -1,16 +1,19 @@
 """The registered queries of this package: each applies an operator to its whole table."""
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom.llm import chat, ngrams, tokenbin, warc
+from tagloom.llm.centroids import clusters
 from tagloom.llm.common import table
 from tagloom.llm.decontaminate import contaminated
 from tagloom.llm.langid import identify
 from tagloom.llm.pieces import encode
 from tagloom.llm.quality import quality
 from tagloom.llm.simhash import near_duplicates
+from tagloom.llm.suffixes import repeats
 from tagloom.llm.webtext import extract
+from tagloom.llm.whitening import whiten
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +62,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(table(spark, sf_dir, "embeddings"), k=16, rounds=3, size=64, scale=64)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation that does not fit a long is NULL here; the operator returns decimals."""
+    return (whiten(table(spark, sf_dir, "embeddings"), count=4, scale=256)
+            .withColumn("deviation", F.col("deviation").try_cast("long")))
+
+
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats(table(spark, sf_dir, "documents"), length=400)
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_web_text": op2_web_text,
@@ -70,4 +87,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_chat": op9_chat,
     "op10_warc": op10_warc,
+    "op11_centroids": op11_centroids,
+    "op12_whitening": op12_whitening,
+    "op13_repeats": op13_repeats,
 }
