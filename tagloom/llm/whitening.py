@@ -52,7 +52,7 @@ class Rows:
         self.blocks = scratch.save(distinct.mapInArrow(pack, "n long, kind string, rows binary"), "blocks")
         self.n = self.blocks.agg(F.sum("n")).first()[0] or 0
         self.totals = [0] * size
-        if self.n:
+        if self.n and size:
             for place, total in self._by_place(lambda x: x.sum(axis=0, dtype=np.int64), "long").collect():
                 self.totals[place] = int(total)
         self.mean = np.array([total / self.n for total in self.totals]) if self.n else np.zeros(size)
