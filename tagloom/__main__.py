@@ -49,6 +49,8 @@ def parser() -> argparse.ArgumentParser:
     tags.add_argument("--first-run", action="store_true", help="there is no table of the day before")
     tags.add_argument("--qualify-ids", action="store_true", help="keep kinds of identifiers apart")
     tags.add_argument("--decay", type=_decay, default=DECAY, help="a number, or JSON by tag prefix")
+    tags.add_argument("--cooling", action="store_true",
+                      help="weights carry their day, and days may be missing")
     return top
 
 
@@ -67,8 +69,9 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     else:
         codes = (read_dictionary(spark, given.device_codes, "value", "code")
                  if given.device_codes else device_codes(spark))
-        daily.run_tags(tables, given.date, read_dictionary(spark, given.app_names, "appid", "appname"),
-                       codes, given.first_run, given.qualify_ids, given.decay)
+        run = daily.run_cooling_tags if given.cooling else daily.run_tags
+        run(tables, given.date, read_dictionary(spark, given.app_names, "appid", "appname"),
+            codes, given.first_run, given.qualify_ids, given.decay)
 
 
 if __name__ == "__main__":

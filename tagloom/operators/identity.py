@@ -4,6 +4,8 @@ Users are kept in long form, so that no user's data has to fit one row:
 `members` (user_id, id) and `weights` (user_id, tag, weight).
 """
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 from tagloom.functions.predicates import any_non_blank
@@ -11,6 +13,7 @@ from tagloom.operators.components import connected_components
 from tagloom.operators.skew import lookup_join
 from tagloom.operators.tags import explode_tags
 from tagloom.schema import ID_COLUMNS
+from tagloom.session import Scratch, fits_broadcast
 
 
 def identified_rows(df: DataFrame) -> DataFrame:
@@ -29,6 +32,48 @@ def members_of(edges: DataFrame) -> DataFrame:
     return connected_components(edges).select(F.col("component").alias("user_id"), "id")
 
 
+@dataclass
+class Extension:
+    """What today's edges change: `labels` (id, user_id) of today's ids, `touched` (old_user, user_id) of
+    the old users among them, renamed or not, and `members` of all users."""
+    labels: DataFrame
+    touched: DataFrame
+    members: DataFrame
+
+
+def extend_members(old_members: DataFrame, edges: DataFrame) -> Extension:
+    """The users of `old_members` and today's edges together, without resolving the old ones again.
+
+    An old user is contracted to one vertex, its user id, so that only today's edges go through the
+    rounds of the components. As a user id is the smallest id of its user, the smallest vertex of a
+    component is the smallest id of the user that comes out. Old members are looked through for today's
+    ids and for users that get another name, and not moved if those fit a broadcast.
+    """
+    scratch = Scratch(edges.sparkSession, "extension")
+    edges = scratch.save(edges.select("src", "dst").dropna().distinct(), "edges")
+    ids = scratch.save(edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "ids")
+    wanted = F.broadcast(ids) if fits_broadcast(ids) else ids
+    known = scratch.save(old_members.select("id", "user_id").join(wanted, "id", "left_semi"), "known")
+    vertices = scratch.save(ids.join(known, "id", "left").select(
+        "id", F.coalesce("user_id", "id").alias("vertex")), "vertices")
+    for end in ("src", "dst"):
+        edges = lookup_join(edges, vertices.withColumnsRenamed({"id": end, "vertex": f"{end}_vertex"}),
+                            end, "inner")
+    found = connected_components(edges.select(F.col("src_vertex").alias("src"),
+                                              F.col("dst_vertex").alias("dst")).distinct())
+    found = found.withColumnsRenamed({"id": "vertex", "component": "user_id"})
+    labels = scratch.save(lookup_join(vertices, found, "vertex", "inner").select("id", "user_id"), "labels")
+    olds = known.select(F.col("user_id").alias("vertex")).distinct()
+    touched = scratch.save(found.join(olds, "vertex", "left_semi")
+                           .withColumnRenamed("vertex", "old_user"), "touched")
+    renamed = touched.where("old_user <> user_id").select(
+        F.col("old_user").alias("user_id"), F.col("user_id").alias("_now"))
+    kept = lookup_join(old_members.select("user_id", "id"), scratch.save(renamed, "renamed"), "user_id")
+    members = (kept.select(F.coalesce("_now", "user_id").alias("user_id"), "id")
+               .unionByName(labels.join(known, "id", "left_anti").select("user_id", "id")))
+    return Extension(labels, touched, members)
+
+
 def with_user(records: DataFrame, members: DataFrame) -> DataFrame:
     """Add the `user_id` of the column `id`."""
     return lookup_join(records, members.select("id", "user_id"), "id", "inner", store_left=True)

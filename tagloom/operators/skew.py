@@ -1,5 +1,6 @@
 """Joins and aggregations that hold up when one key owns a large share of the rows."""
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
@@ -24,6 +25,11 @@ MAX_HOT_KEYS = 10_000
 # Size up to which a requested broadcast is carried out.
 MAX_BROADCAST_BYTES = 10 * 1024 * 1024
 
+# Items of a sketch; shares that take more are counted exactly.
+MAX_TRACKED = 1 << 16
+_SKETCH_GROUPS = 64
+
+_ITEM = "_item"
 _SALT = "_salt"
 _HOT = "_hot"
 _COLD = "_cold"
@@ -49,14 +55,43 @@ def hot_keys(df: DataFrame, key, min_share: float | None = None,
     """Keys with at least `min_share` (default: `hot_share`) of the rows that have a key, and their
     counts.
 
-    Exact by default; with `sample` the shares are those of a random sample. The result
-    has at most 1 / `min_share` rows.
+    Exact: a sketch of the heavy hitters names the candidates, and only their rows are counted, so that no
+    more than a row per candidate and task is shuffled. `df` is read twice for it. With `sample` the shares
+    are those of a random sample. The result has at most 1 / `min_share` rows.
     """
     keys = _as_list(key)
     rows = df.select(*keys).where(~_null_key(keys))
     if sample is not None:
         rows = rows.sample(False, sample, seed)
-    return hot_of_counts(rows.groupBy(*keys).agg(F.count("*").alias("n")), *keys, min_share=min_share)
+    share = hot_share(df) if min_share is None else min_share
+    found = _heavy_hitters(rows, keys, share)
+    if sample is not None or found is None:
+        return hot_of_counts(rows.groupBy(*keys).agg(F.count("*").alias("n")), *keys, min_share=share)
+    total = found.select("total").scalar()
+    candidates = found.select(F.explode("items.item").alias(_ITEM))
+    return (rows.withColumn(_ITEM, F.xxhash64(*keys)).join(F.broadcast(candidates), _ITEM, "left_semi")
+            .groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") >= total * share))
+
+
+def _heavy_hitters(rows: DataFrame, keys: Sequence[str], share: float) -> DataFrame | None:
+    """`items`, which hold the hash of every key with at least `share` of the rows, and the `total` of rows.
+
+    Spark's sketch of m tracked items is off by at most 3.5 * 0.75 / m of the rows, however it is
+    merged, and returns the items of which more than that is certain. So with m = 6 / share a key with
+    that share of the rows is always among them, and as it is counted higher than all keys of less than half
+    the share, it is among the first 2 / share. None if that takes more items than a sketch should have.
+    """
+    tracked = math.ceil(6 / share)
+    if tracked > MAX_TRACKED:
+        return None
+    hashed = rows.select(F.xxhash64(*keys).alias(_ITEM))
+    # Sketches of tasks are merged in groups first, so that no task merges all of them.
+    parts = hashed.groupBy((F.spark_partition_id() % _SKETCH_GROUPS).alias("group")).agg(
+        F.expr(f"approx_top_k_accumulate({_ITEM}, {tracked})").alias("sketch"), F.count("*").alias("n"))
+    # By a constant, as the sketches of no rows can't be combined.
+    return parts.groupBy(F.lit("all")).agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {math.ceil(2 / share)})")
+        .alias("items"), F.sum("n").alias("total"))
 
 
 def hot_of_counts(counts: DataFrame, *keys: str, min_share: float | None = None) -> DataFrame:

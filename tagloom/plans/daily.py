@@ -70,3 +70,25 @@ def run_tags(tables: DatedTables, run_date: dt.date, app_names: DataFrame, codes
             history, decay, qualify_ids)
         tables.write(members, "tag_members", run_date, TABLE_KEYS["tag_members"])
         tables.write(weights, "tag", run_date, TABLE_KEYS["tag"])
+
+
+def run_cooling_tags(tables: DatedTables, run_date: dt.date, app_names: DataFrame, codes: DataFrame,
+                     first_run: bool = False, qualify_ids: bool = False,
+                     decay: float | Mapping[str, float] = DECAY) -> None:
+    """As `run_tags`, for weights that carry their day: `cooling_members` and `cooling_tag`.
+
+    The run extends the latest stored day before it, however long ago that is, so that missed days
+    need no run of their own. `cooled` gives the weights of any day.
+    """
+    with scratch_scope(tables.spark):
+        before = tables.latest_before("cooling_tag", run_date)
+        if before is None and not first_run:
+            raise ValueError(f"cooling_tag has no day before {run_date}; this needs first_run")
+        history = None if before is None else (tables.read("cooling_members", before),
+                                               tables.read("cooling_tag", before))
+        members, weights = build_tags(
+            tables.read("ods", run_date), tables.read("business_area", run_date), app_names, codes,
+            history, decay, qualify_ids, cooling_day=run_date)
+        # The weights last, as they are what the next run looks for.
+        tables.write(members, "cooling_members", run_date, TABLE_KEYS["tag_members"])
+        tables.write(weights, "cooling_tag", run_date, TABLE_KEYS["tag"])

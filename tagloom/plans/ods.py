@@ -1,10 +1,10 @@
 """From the raw log to the enriched table."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tagloom.functions.ip import (UNKNOWN_AREA, UNKNOWN_COUNTRY, city_of, clean_area, province_of)
 from tagloom.functions.predicates import filled
-from tagloom.operators.iprange import locate
+from tagloom.operators.iprange import locate, with_small_ranges
 from tagloom.operators.skew import hot_of_counts, lookup_join
 from tagloom.schema import GEO_COLUMNS, ODS_COLUMNS
 from tagloom.session import Scratch
@@ -28,11 +28,14 @@ def ip_info(log: DataFrame, regions: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def _placed(ips: DataFrame, regions: DataFrame, places: DataFrame) -> DataFrame:
-    found = locate(ips, {"region": regions, "place": places})
-    country = F.coalesce(F.col("region")["country"], F.lit(UNKNOWN_COUNTRY))
-    return found.select(
-        "ip", F.col("place")["lon"].alias("longitude"), F.col("place")["lat"].alias("latitude"),
-        province_of(country).alias("province"), city_of(country).alias("city"))
+    return locate(ips, {"region": regions, "place": places}).select("ip", *_geo("region", "place"))
+
+
+def _geo(region: str, place: str) -> list[Column]:
+    """GEO_COLUMNS out of the records of both tables."""
+    country = F.coalesce(F.col(region)["country"], F.lit(UNKNOWN_COUNTRY))
+    values = (F.col(place)["lon"], F.col(place)["lat"], province_of(country), city_of(country))
+    return [value.alias(name) for value, name in zip(values, GEO_COLUMNS)]
 
 
 def ip_regions(log: DataFrame, regions: DataFrame) -> DataFrame:
@@ -46,12 +49,17 @@ def ip_regions(log: DataFrame, regions: DataFrame) -> DataFrame:
 def build_ods(log: DataFrame, regions: DataFrame, places: DataFrame) -> DataFrame:
     """The log with the place of each address; rows without an address keep NULL.
 
-    The log is read twice: for the counts of its addresses, which also tell those that need to be
-    spread, and for the join.
+    With small range tables, rows are placed where they are. With large ones the log is read twice: for the
+    counts of its addresses, which also tell those that need to be spread, and for the join.
     """
+    raw = log.drop(*GEO_COLUMNS)
+    placed = with_small_ranges(raw, {"_region": regions, "_place": places})
+    if placed is not None:
+        known = filled(raw, "ip")
+        geo = {name: F.when(known, value) for name, value in zip(GEO_COLUMNS, _geo("_region", "_place"))}
+        return placed.withColumns(geo).select(*ODS_COLUMNS)
     scratch = Scratch(log.sparkSession, "ods")
     counts = scratch.save(ip_counts(log), "ips")
     info = scratch.save(_placed(counts.select("ip"), regions, places), "ip_info")
-    raw = log.drop(*GEO_COLUMNS)
     return lookup_join(raw, info, "ip", hot=hot_of_counts(counts, "ip"),
                        spread=["sessionid"]).select(*ODS_COLUMNS)

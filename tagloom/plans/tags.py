@@ -1,11 +1,12 @@
 """From the enriched table to users and their tags."""
 
+import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tagloom.operators.areas import area_dictionary, distinct_coordinates, with_areas
-from tagloom.operators.history import DECAY, merge_history
+from tagloom.operators.history import DECAY, extend_cooling, extend_history
 from tagloom.operators.identity import (id_weights, identified_rows, identity_edges, members_of,
                                         user_weights)
 from tagloom.operators.tags import fill_app_name, row_ids, row_tags, with_codes
@@ -31,10 +32,12 @@ def records(ods: DataFrame, areas: DataFrame, app_names: DataFrame, codes: DataF
 def build_tags(ods: DataFrame, areas: DataFrame, app_names: DataFrame, codes: DataFrame,
                history: tuple[DataFrame, DataFrame] | None = None,
                decay: float | Mapping[str, float] = DECAY,
-               qualify_ids: bool = False) -> tuple[DataFrame, DataFrame]:
+               qualify_ids: bool = False,
+               cooling_day: dt.date | None = None) -> tuple[DataFrame, DataFrame]:
     """Members (user_id, id) and weights (user_id, tag, weight) of today's users.
 
-    `history` are yesterday's members and weights. The area dictionary should be a stored table.
+    `history` are yesterday's members and weights, which are extended by today's. With `cooling_day`,
+    the day of the log, weights have a `day` too, and the history may be that of any earlier day. The area dictionary should be a stored table.
     Identifiers and tags are read from the log separately, each with only the columns it needs.
     `qualify_ids` keeps equal texts of two kinds of identifiers apart.
     """
@@ -43,7 +46,8 @@ def build_tags(ods: DataFrame, areas: DataFrame, app_names: DataFrame, codes: Da
     weights = id_weights(records(ods, areas, app_names, codes, qualify_ids))
     if history is None:
         members = members_of(edges)
-        merged = members, user_weights(weights, members)
-    else:
-        merged = merge_history(*history, edges, weights, decay)
-    return merged
+        merged = user_weights(weights, members)
+        return members, merged.withColumn("day", F.lit(cooling_day)) if cooling_day else merged
+    if cooling_day:
+        return extend_cooling(*history, edges, weights, cooling_day, decay)
+    return extend_history(*history, edges, weights, decay)

@@ -84,10 +84,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def rename_path(spark: SparkSession, source: str, target: str) -> None:
-    fs, hadoop_path = _file_system(spark, source)
-    if not fs.rename(hadoop_path, spark._jvm.org.apache.hadoop.fs.Path(target)):
-        raise OSError(f"cannot rename {source} to {target}")
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if there is no folder."""
+    fs, hadoop_path = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
+
+
+def create_marker(spark: SparkSession, path: str) -> None:
+    """An empty file. It is there or not, as its name is all that it says."""
+    fs, hadoop_path = _file_system(spark, path)
+    fs.create(hadoop_path, False).close()
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -95,10 +103,15 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int | None = None, growth: int = 1) -> bool:
-    """Whether the estimate, times `growth`, is within `max_bytes` (default: Spark's threshold)."""
+def bytes_fit_broadcast(spark: SparkSession, size: int, max_bytes: int | None = None) -> bool:
+    """Whether a size is within `max_bytes` (default: Spark's threshold)."""
     if max_bytes is None:
-        limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-        max_bytes = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils
+        limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        max_bytes = int(spark._jvm.org.apache.spark.network.util.JavaUtils
                         .byteStringAsBytes(limit)) if not limit.startswith("-") else -1
-    return growth * estimated_bytes(df) <= max_bytes
+    return size <= max_bytes
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None, growth: int = 1) -> bool:
+    """Whether the estimate, times `growth`, is within `max_bytes` (default: Spark's threshold)."""
+    return bytes_fit_broadcast(df.sparkSession, growth * estimated_bytes(df), max_bytes)

@@ -1,5 +1,7 @@
 """Components, merged tags and history."""
 
+import datetime as dt
+import math
 import random
 from collections import defaultdict
 
@@ -7,9 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.operators.components import connected_components
-from tagloom.operators.history import decayed, merge_history
-from tagloom.operators.identity import id_weights, identity_edges, members_of, user_weights
+from tagloom.operators.history import (cooled, decayed, extend_cooling, extend_history, left_after_a_day,
+                                       merge_cooled, merge_history)
+from tagloom.operators.identity import (extend_members, id_weights, identity_edges, members_of,
+                                        user_weights)
 from tagloom.operators.userrows import (from_text, members_and_weights, to_text, user_rows)
+from tagloom.session import Scratch
 
 
 def edges_frame(spark, edges):
@@ -151,3 +156,84 @@ def test_text_without_part(spark):
     members, weights = members_and_weights(from_text(text))
     assert sorted(r.id for r in members.collect()) == ["u", "v"]
     assert {r.tag: r.weight for r in weights.collect()} == {"a": 1.5, "b": 2.0}
+
+
+# -- day by day -----------------------------------------------------------------------
+
+def _sorted(df):
+    return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in row) for row in df.collect())
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_days_in_sequence_equal_one_run_over_all(spark, threshold):
+    """Random days over few ids, among them days that join old users, and one without a known id."""
+    rng = random.Random(8)
+    days = [[(f"i{rng.randrange(60):02d}", f"i{rng.randrange(60):02d}") for _ in range(n)] for n in (9, 7, 1, 12)]
+    days += [[("n1", "n1"), ("n2", "a0")], [(days[0][0][0], days[1][0][0]), (days[0][1][1], "n2")], []]
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        members, weights, full = members_frame(spark, []), weights_frame(spark, []), (members_frame(spark, []), weights_frame(spark, []))
+        seen = []
+        for n, day in enumerate(days):
+            edges = edges_frame(spark, day) if day else edges_frame(spark, [("x", "x")]).limit(0)
+            seen += day
+            rows = [(a, f"t{n % 3}", 1.0 + i) for i, (a, _) in enumerate(day)]
+            today = weights_frame(spark, rows, "id")
+            scratch = Scratch(spark, "days")
+            members, weights = (scratch.save(df, name) for df, name in zip(
+                extend_history(members, weights, edges, today), ("members", "weights")))
+            full = tuple(scratch.save(df, name) for df, name in zip(
+                merge_history(*full, edges, today), ("full", "full_weights")))
+            assert {r.id: r.user_id for r in members.collect()} == union_find(seen)
+            assert _sorted(members) == _sorted(full[0].select(*members.columns))
+            assert _sorted(weights) == _sorted(full[1].select(*weights.columns))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_old_members_are_not_shuffled_for_a_small_day(spark, tmp_path):
+    old = spark.range(5000).selectExpr("concat('u', id % 700) AS user_id", "concat('u', id) AS id")
+    old.write.parquet(str(tmp_path / "old"))
+    found = extend_members(spark.read.parquet(str(tmp_path / "old")), edges_frame(spark, [("u3", "u9"), ("u3", "new")]))
+    assert {tuple(r) for r in found.touched.collect()} == {("u3", "new"), ("u9", "new")}
+    plan = found.members._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan.split("Union")[1].split("old]")[0]
+    assert found.members.where("user_id = 'new'").count() == 17
+
+
+def cooling_frame(spark, rows):
+    return spark.createDataFrame([(u, t, w, dt.date(2024, 1, d)) for u, t, w, d in rows],
+                                 "user_id string, tag string, weight double, day date")
+
+
+def test_cooling_once_equals_cooling_daily(spark):
+    weights = cooling_frame(spark, [("u", "KW_a", 2.0, 1), ("u", "BA_b", 1.0, 4)])
+    decay = {"KW_": left_after_a_day(0.2)}
+    once = cooled(weights, dt.date(2024, 1, 9), decay)
+    for day in range(5, 10):
+        weights = cooled(weights, dt.date(2024, 1, day), decay)
+    assert _sorted(once) == _sorted(weights)
+    assert {r.tag: round(r.weight, 9) for r in once.collect()} == {
+        "KW_a": round(2 * math.exp(-0.2 * 8), 9), "BA_b": round(0.9 ** 5, 9)}
+
+
+def test_merging_in_any_grouping_is_the_same(spark):
+    rng = random.Random(4)
+    rows = [(f"u{rng.randrange(4)}", f"t{rng.randrange(3)}", rng.random(), rng.randint(1, 20)) for _ in range(80)]
+    end = dt.date(2024, 1, 31)
+    every = merge_cooled(cooling_frame(spark, rows), end)
+    a, b, c = (cooling_frame(spark, rows[i::3]) for i in range(3))
+    left = merge_cooled(merge_cooled(a.unionByName(b), dt.date(2024, 1, 21)).unionByName(c), end)
+    right = merge_cooled(a.unionByName(merge_cooled(b.unionByName(c), dt.date(2024, 1, 28)).select(*a.columns)), end)
+    assert _sorted(every) == _sorted(left.select(*every.columns)) == _sorted(right.select(*every.columns))
+
+
+def test_users_without_records_keep_the_day_of_their_weights(spark):
+    old = cooling_frame(spark, [("a", "x", 1.0, 1), ("b", "x", 1.0, 2), ("c", "x", 1.0, 2)])
+    members, weights = extend_cooling(
+        members_frame(spark, [("a", "a"), ("b", "b"), ("c", "c")]), old, edges_frame(spark, [("b", "a"), ("d", "d")]),
+        weights_frame(spark, [("b", "x", 1.0), ("d", "y", 1.0)], "id"), dt.date(2024, 1, 11))
+    assert {(r.user_id, r.tag): (round(r.weight, 9), r.day.day) for r in weights.collect()} == {
+        ("a", "x"): (round(1 + 0.9 ** 9 + 0.9 ** 10, 9), 11), ("c", "x"): (1.0, 2), ("d", "y"): (1.0, 11)}
+    assert _sorted(members) == [("a", "a"), ("a", "b"), ("c", "c"), ("d", "d")]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tagloom.__main__ import main
 from tagloom.operators.funnel import REPORTS, ad_funnel
-from tagloom.plans.daily import run_area_dictionary, run_etl, run_reports, run_tags
+from tagloom.plans.daily import run_area_dictionary, run_cooling_tags, run_etl, run_reports, run_tags
 from tagloom.schema import ODS_COLUMNS
 from tagloom.session import shared_folder
 from tagloom.sources.dictionaries import device_codes
@@ -93,6 +93,24 @@ def test_a_missed_day_is_an_error(tables, spark):
     assert not tables.exists("tag", day)
 
 
+def test_cooling_bears_missed_days(tables, spark):
+    names, codes = app_names(spark), device_codes(spark)
+    later = DAYS[1] + dt.timedelta(days=5)
+    with pytest.raises(ValueError, match="first_run"):
+        run_cooling_tags(tables, DAYS[1], names, codes)
+    run_cooling_tags(tables, DAYS[1], names, codes, first_run=True)
+    for name in ("ods", "business_area"):
+        tables.write(tables.read(name, DAYS[1]), name, later)
+    run_cooling_tags(tables, later, names, codes)
+    once, twice = (tables.read("cooling_tag", day) for day in (DAYS[1], later))
+    assert twice.select("day").distinct().collect() == [(later,)]
+    total = once.agg(F.sum("weight")).first()[0]
+    assert abs(twice.agg(F.sum("weight")).first()[0] - total * (1 + 0.9 ** 5)) < 1e-6 * total
+    assert tables.read("cooling_members", later).count() == tables.read("cooling_members", DAYS[1]).count()
+    for name in ("ods", "business_area"):
+        tables.drop(name, later)
+
+
 def test_a_failed_run_keeps_the_day(tables, spark):
     before = tables.read("ods", DAYS[0]).count()
     log = tables.read("ods", DAYS[0])

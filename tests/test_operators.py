@@ -2,6 +2,7 @@
 
 import bisect
 import datetime as dt
+import itertools
 import os
 import random
 
@@ -10,13 +11,14 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.ip import ip_to_long, long_to_ip
 from tagloom.operators.funnel import REPORTS, ad_funnel, all_funnels, client_label, report_from
-from tagloom.operators.iprange import locate
+from tagloom.operators.iprange import _carried, locate, with_ranges
 from tagloom.operators.keyed import (KeyedTable, delete_rows, insert_rows, update_rows, upsert_rows)
 from tagloom.operators.tags import explode_tags, row_ids, row_tags, with_codes
 from tagloom.schema import AD_LOG, GEO_COLUMNS, ODS
 from tagloom.sources.adlog import read_json_log
 from tagloom.sources.dictionaries import device_codes, read_dictionary
 from tagloom.sources.ranges import read_ranges
+from tagloom.sources import tables as table_module
 from tagloom.sources.tables import DatedTables
 
 
@@ -29,8 +31,10 @@ def brute_force(ranges, number):
     return ranges[i][2] if i >= 0 and number <= ranges[i][1] else None
 
 
+@pytest.mark.parametrize("max_bytes", [-1, 1 << 20])
 @pytest.mark.parametrize("overlap", [False, True])
-def test_locate(spark, overlap):
+def test_locate(spark, overlap, max_bytes):
+    """By one sort, and by an index that is copied to every task."""
     rng = random.Random(int(overlap))
     starts = sorted(rng.sample(range(0, 1 << 32, 5), 300) + rng.sample(range(1 << 20, 1 << 21), 100))
     ranges = []
@@ -43,13 +47,42 @@ def test_locate(spark, overlap):
     points = (spark.createDataFrame([(n,) for n in numbers], "n bigint")
               .select(long_to_ip(F.col("n")).alias("ip")))
     table = spark.createDataFrame(ranges, "start_ip bigint, end_ip bigint, name string")
-    found = locate(points, {"a": table, "b": table.where("start_ip % 2 = 0")})
+    found = locate(points, {"a": table, "b": table.where("start_ip % 2 = 0")}, max_bytes)
     result = {r.n: (r.x, r.y) for r in found.select(
         ip_to_long(F.col("ip")).alias("n"), F.col("a")["name"].alias("x"), F.col("b")["name"].alias("y")).collect()}
     even = [r for r in ranges if r[0] % 2 == 0]
     assert result == {n: (brute_force(ranges, n), brute_force(even, n)) for n in numbers}
 
 
+def test_small_range_tables_move_no_rows(spark):
+    rows = spark.createDataFrame([(i, f"{i % 3}.0.0.{i}" if i % 5 else None) for i in range(50)], "i int, ip string")
+    rows = rows.unionByName(spark.createDataFrame([(99, "nowhere"), (98, "")], rows.schema))
+    table = spark.createDataFrame([(0, 20, "a"), (10, 12, "b"), (10, 15, "c"), (1 << 24, 1 << 25, "d")],
+                                  "start_ip bigint, end_ip bigint, name string")
+    small, large = (with_ranges(rows, {"r": table}, max_bytes) for max_bytes in (1 << 20, -1))
+    assert "Exchange hashpartitioning" not in small._jdf.queryExecution().executedPlan().toString()
+    assert sorted(small.collect()) == sorted(large.select(*small.columns).collect())
+    names = {r.i: r.r and r.r["name"] for r in small.collect()}
+    assert names[9] == "a" and names[12] == "c" and names[18] is None and names[1] == "d" and names[99] is None
+    empty = with_ranges(rows, {"r": table.where("false")}, 1 << 20)
+    assert empty.where("r IS NOT NULL").isEmpty() and empty.count() == rows.count()
+
+
+def test_records_are_carried_into_later_blocks(spark):
+    """No window over all blocks; the last record before each of them is the one."""
+    rng = random.Random(3)
+    starts = sorted(rng.sample(range(1 << 32), 40))
+    records = spark.createDataFrame([(s, (s, s + 5)) for s in starts],
+                                    "_position bigint, r struct<start_ip: bigint, end_ip: bigint>")
+    for bits in (4, 7, 16):
+        carried = _carried(records, "r", bits)
+        assert "SinglePartition" not in carried._jdf.queryExecution().executedPlan().toString()
+        found = {r["_position"]: r.r["start_ip"] for r in carried.collect()}
+        size = 1 << (32 - bits)
+        expected = {b * size: max(s for s in starts if s < b * size) for b in range(1 << bits) if b * size > starts[0]}
+        assert found == expected
+
+
 def test_locate_keeps_texts_that_are_no_addresses(spark):
     points = spark.createDataFrame([("nowhere",), ("1.1.1.1",), (None,), ("1.1.1.1",)], "ip string")
     table = spark.createDataFrame([(0, 1 << 30, "x")], "start_ip bigint, end_ip bigint, name string")
@@ -251,7 +284,7 @@ def test_dated_tables(spark, tmp_path):
         tables.read_or_empty("t", day, df.schema)
     for _ in range(2):
         tables.write(df, "t", day, ["id"], partitions=3)
-    assert tables.path("t", day).endswith("/t/dt=20240102")
+    assert "/t/dt=20240102/" in tables.path("t", day)
     assert sorted(map(tuple, tables.read_or_empty("t", day, df.schema).collect())) == [(1, "a"), (2, "b")]
     assert tables.read("t", day, ["v"]).columns == ["v"]
     tables.append(df.where("id = 1"), "t", day)
@@ -264,6 +297,51 @@ def test_dated_tables(spark, tmp_path):
     assert not tables.exists("t", day)
 
 
+STEPS = ("create_marker", "delete_path", "duplicate_keys")
+
+
+@pytest.mark.parametrize("rows_before", [0, 2])
+def test_a_killed_writer_leaves_one_whole_version(spark, tmp_path, monkeypatch, rows_before):
+    """The writer is killed before and after each of its steps; readers see the old rows or the new."""
+    day = dt.date(2024, 1, 2)
+    new = spark.range(5).toDF("id")
+    seen = set()
+    for kill_at in range(12):
+        tables = DatedTables(spark, f"{tmp_path}/{rows_before}-{kill_at}")
+        for n in range(rows_before):
+            tables.write(spark.range(10 + n).toDF("id"), "t", day, ["id"])
+        steps = itertools.count()
+        with monkeypatch.context() as patch:
+            for name in STEPS:
+                def step(*args, real=getattr(table_module, name)):
+                    if next(steps) >= kill_at:  # what is dead does nothing any more
+                        raise KeyboardInterrupt
+                    return real(*args)
+                patch.setattr(table_module, name, step)
+            try:
+                tables.write(new, "t", day, ["id"])
+            except KeyboardInterrupt:
+                pass
+        found = tables.read("t", day).count() if tables.exists("t", day) else None
+        assert found in ({5, 9 + rows_before} if rows_before else {5, None})
+        seen.add(found)
+        tables.write(spark.range(7).toDF("id"), "t", day, ["id"])
+        assert tables.read("t", day).count() == 7
+        assert len(os.listdir(tables.folder("t", day))) <= 3  # this version, the one before, the markers
+    assert len(seen) == 2
+
+
+def test_latest_before(spark, tmp_path):
+    tables, df = DatedTables(spark, str(tmp_path)), spark.range(1).toDF("id")
+    days = [dt.date(2023, 12, 30), dt.date(2024, 1, 2), dt.date(2024, 1, 9)]
+    assert tables.latest_before("t", days[2]) is None
+    for day in days:
+        tables.write(df, "t", day)
+    assert tables.latest_before("t", days[2]) == days[1]
+    tables.drop("t", days[1])
+    assert tables.latest_before("t", days[2]) == days[0] and tables.latest_before("t", days[0]) is None
+
+
 # -- raw log ------------------------------------------------------------------------
 
 def test_schema():

@@ -123,6 +123,32 @@ def test_unique_by_key_limits_before_the_shuffle(skewed):
     assert plan.count("WindowGroupLimit") == 2
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_the_sketch_misses_no_hot_key(spark, seed):
+    """Keys just at and below the share, among very many rare ones, in an order that favours neither."""
+    rng = random.Random(seed)
+    share, rare = 1 / 40, 20_000
+    keys = [f"r{i}" for i in range(rare)]
+    keys += [f"at{i}" for i in range(12) for _ in range(1000)] + [f"under{i}" for i in range(8) for _ in range(999)]
+    rng.shuffle(keys)
+    assert len(keys) * share < 1000
+    df = spark.createDataFrame([(k, "c") for k in keys], "k string, other string").repartition(5 + seed)
+    found = hot_keys(df, ["k", "other"], 1000 / len(keys))
+    assert {r.k: r.n for r in found.collect()} == {f"at{i}": 1000 for i in range(12)}
+
+
+def test_only_candidates_are_shuffled_by_key(spark, skewed):
+    plan = hot_keys(skewed, "k", 0.05)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    exact = hot_keys(skewed, "k", 1e-6)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" not in exact
+
+
+def test_hot_keys_of_no_rows(spark, skewed):
+    assert hot_keys(skewed.where("false"), "k", 0.1).isEmpty()
+    assert hot_keys(skewed.where("k IS NULL"), "k", 0.1).isEmpty()
+
+
 def test_hot_share_follows_the_number_of_tasks(spark, skewed):
     kept = spark.conf.get("spark.sql.shuffle.partitions")
     try:

@@ -182,6 +182,9 @@ _oracle("long_to_ip", """SELECT event_id, (number >> 24) || '.' || ((number >> 1
 FROM (SELECT event_id, event_id * 429497 % 4294967296 AS number FROM events)""")
 _oracle("ip_region_join", "SELECT ip, country, area FROM info", *_LOCATED)
 _oracle("ip_lonlat_join", "SELECT ip, lon, lat FROM info", *_LOCATED)
+_oracle("ip_rows", """SELECT sessionid, a.ip, country, lon FROM adlog a
+LEFT JOIN numbers n ON a.ip = n.ip LEFT JOIN ranges ON number BETWEEN start_ip AND end_ip""",
+        _ADLOG, _IPS, _NUMBERS, _RANGES)
 _oracle("ip_city", "SELECT ip, CASE WHEN ip NOT LIKE '192.168.%' THEN place_city END AS city FROM places",
         *_LOCATED)
 _oracle("split_region", "SELECT ip, country, place_province AS province, place_city AS city FROM places",
@@ -321,6 +324,7 @@ _oracle("identity_edges", _record_edges(), _ADLOG, _ID_LIST)
 _oracle("connected_components", "SELECT id, user_id AS component FROM every_users",
         _ADLOG, _ID_LIST, _ALL_USERS)
 _oracle("identity_members", "SELECT user_id, id FROM every_users", _ADLOG, _ID_LIST, _ALL_USERS)
+ORACLES["identity_increment"] = ORACLES["identity_members"]
 _oracle("identity_records", """SELECT sessionid, ids[1] AS id, user_id
 FROM identified JOIN every_users ON ids[1] = id""", _ADLOG, _ID_LIST, _ALL_USERS)
 
@@ -346,10 +350,19 @@ JOIN (SELECT user_id, string_agg(tag || ' -> ' || CAST(weight AS VARCHAR), '#' O
 _BEFORE = f"ts < TIMESTAMP '{HISTORY_END}'"
 _AFTER = f"ts >= TIMESTAMP '{HISTORY_END}'"
 _OLD = (*_BASE, _components("old", _record_edges(_BEFORE)), _merged("old_tags", "old_users", _BEFORE))
-_oracle("tag_decay", "SELECT user_id, tag, round(weight * CAST(0.9 AS DOUBLE), 6) AS weight FROM old_tags",
-        *_OLD)
+_oracle("tag_decay", "SELECT user_id, tag, round(weight * CAST(0.9 AS DOUBLE), 6) AS weight FROM merged",
+        *_MERGE)
 _oracle("tag_decay_all", """SELECT user_id, tag, round(weight * CASE WHEN tag LIKE 'KW\\_%' ESCAPE '\\'
   THEN CAST(0.8 AS DOUBLE) ELSE CAST(0.9 AS DOUBLE) END, 6) AS weight FROM merged""", *_MERGE)
+_DAYS = """days AS (SELECT user_id, tag, CAST(i.ts AS DATE) AS day
+  FROM row_tags t JOIN identified i ON t.sessionid = i.sessionid JOIN every_users ON ids[1] = id)"""
+_oracle("tag_cooling", """SELECT user_id, tag, round(sum(pow(
+    CASE WHEN tag LIKE 'KW\\_%' ESCAPE '\\' THEN CAST(0.8 AS DOUBLE) ELSE CAST(0.9 AS DOUBLE) END,
+    date_diff('day', day, DATE '2024-02-06'))), 6) AS weight FROM days GROUP BY user_id, tag""",
+        *_BASE, _ALL_USERS, _DAYS)
+_oracle("tag_cooling_stored", """SELECT user_id, tag, round(sum(pow(CAST(0.9 AS DOUBLE), 25 -
+    CASE WHEN day <= DATE '2024-01-10' THEN 10 WHEN day = DATE '2024-01-11' THEN 11 ELSE 20 END)), 6) AS weight
+FROM days GROUP BY user_id, tag""", *_BASE, _ALL_USERS, _DAYS)
 _QUALIFIED = """qualified AS (SELECT list_filter([
     CASE WHEN trim(androidid) <> '' THEN 'androidid:' || androidid END,
     CASE WHEN trim(openudid) <> '' THEN 'openudid:M' || substr(openudid, 2) END,

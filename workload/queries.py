@@ -12,9 +12,10 @@ from tagloom.functions.ip import city_of, ip_to_long, is_private, long_to_ip, pr
 from tagloom.operators.areas import distinct_coordinates, with_areas
 from tagloom.operators.components import connected_components
 from tagloom.operators.funnel import REPORTS, ad_funnel, all_funnels, province_city_counts
-from tagloom.operators.history import decayed
-from tagloom.operators.identity import identified_rows, identity_edges, members_of, with_user
-from tagloom.operators.iprange import locate
+from tagloom.operators.history import cooled, decayed, merge_cooled
+from tagloom.operators.identity import (extend_members, identified_rows, identity_edges, members_of,
+                                        with_user)
+from tagloom.operators.iprange import locate, with_ranges
 from tagloom.operators.keyed import (KeyedTable, delete_rows, insert_rows, update_rows,
                                      upsert_rows)
 from tagloom.operators.skew import (broadcast_join, hot_keys, join_filled_keys, lookup_join,
@@ -22,7 +23,7 @@ from tagloom.operators.skew import (broadcast_join, hot_keys, join_filled_keys,
 from tagloom.operators.tags import explode_tags, fill_app_name, row_ids, row_tags, with_codes
 from tagloom.operators.unique import unique_by_key
 from tagloom.operators.userrows import from_text, members_and_weights, to_text, user_rows
-from tagloom.plans.daily import run_etl, run_tags
+from tagloom.plans.daily import run_cooling_tags, run_etl, run_tags
 from tagloom.plans.ods import build_ods, distinct_ips, ip_info, ip_regions
 from tagloom.plans.tags import build_area_dictionary, build_tags, records
 from tagloom.schema import ID_COLUMNS
@@ -36,6 +37,8 @@ from workload.adlog import (HISTORY_END, adlog, app_names, coordinates, place_ra
 
 QUERIES = {}
 RUN_DATE = dt.date(2024, 1, 16)
+_YESTERDAY = f"ts < TIMESTAMP '{HISTORY_END}'"
+_TODAY = f"ts >= TIMESTAMP '{HISTORY_END}'"
 
 FUNNEL_COLUMNS = ("requestmode", "processnode", "adplatformproviderid", "iseffective", "isbilling",
                   "isbid", "iswin", "adorderid", "adcreativeid", "winprice", "adpayment")
@@ -172,6 +175,15 @@ def ip_lonlat_join(spark, sf_dir):
     return found.select("ip", F.col("place")["lon"].alias("lon"), F.col("place")["lat"].alias("lat"))
 
 
+@query
+def ip_rows(spark, sf_dir):
+    """All rows of the log with the records of both tables; no row is moved."""
+    found = with_ranges(adlog(spark, sf_dir, "sessionid", "ip"),
+                        {"region": region_ranges(spark, sf_dir), "place": place_ranges(spark, sf_dir)})
+    return found.select("sessionid", "ip", F.col("region")["country"].alias("country"),
+                        F.col("place")["lon"].alias("lon"))
+
+
 @query
 def ip_city(spark, sf_dir):
     """City per address; those of the private network get none."""
@@ -363,6 +375,15 @@ def identity_members(spark, sf_dir):
     return members_of(identity_edges(_ids(spark, sf_dir)))
 
 
+@query
+def identity_increment(spark, sf_dir):
+    """Users of the earlier days, and then of the later days too."""
+    log = adlog(spark, sf_dir, "ts", *ID_COLUMNS)
+    old, new = (identity_edges(identified_rows(log.where(when)).select(row_ids().alias("ids")))
+                for when in (_YESTERDAY, _TODAY))
+    return extend_members(members_of(old), new).members
+
+
 @query
 def identity_records(spark, sf_dir):
     ids = Scratch(spark, "ids").save(_ids(spark, sf_dir), "ids")
@@ -384,10 +405,6 @@ def _stored(users, label):
     return members, Scratch(members.sparkSession, label).save(weights, "weights")
 
 
-_YESTERDAY = f"ts < TIMESTAMP '{HISTORY_END}'"
-_TODAY = f"ts >= TIMESTAMP '{HISTORY_END}'"
-
-
 @query
 def tag_merge(spark, sf_dir):
     _, weights = _users(spark, sf_dir)
@@ -396,7 +413,8 @@ def tag_merge(spark, sf_dir):
 
 @query
 def tag_decay(spark, sf_dir):
-    _, weights = _users(spark, sf_dir, _YESTERDAY)
+    """All weights of all days, after a day."""
+    _, weights = _users(spark, sf_dir)
     return _rounded(decayed(weights))
 
 
@@ -414,6 +432,38 @@ def tag_decay_all(spark, sf_dir):
     return _rounded(decayed(weights, {"KW_": 0.8}))
 
 
+@query
+def tag_cooling(spark, sf_dir):
+    """Every day's weights, merged in two steps, as they are a week after the last day."""
+    log = adlog(spark, sf_dir, *TAG_COLUMNS)
+    rows = records(log.withColumn("sessionid", F.concat("sessionid", F.lit("@"), F.to_date("ts"))),
+                   _areas(spark, sf_dir), app_names(spark), device_codes(spark))
+    rows = Scratch(spark, "cooling").save(rows, "records")
+    day = F.to_date(F.substring_index("sessionid", "@", -1))
+    per_day = (explode_tags(rows, F.col("ids")[0].alias("id"), day.alias("day"))
+               .groupBy("id", "tag", "day").agg(F.count("*").cast("double").alias("weight")))
+    weights = with_user(per_day, members_of(identity_edges(rows))).select("user_id", "tag", "weight", "day")
+    decay, middle, end = {"KW_": 0.8}, dt.date(2024, 1, 20), dt.date(2024, 2, 6)
+    early = merge_cooled(weights.where(F.col("day") <= middle), middle, decay)
+    late = weights.where(F.col("day") > middle)
+    return _rounded(merge_cooled(early.unionByName(late), end, decay))
+
+
+@query
+def tag_cooling_stored(spark, sf_dir):
+    """Days 10, 11 and 20 through the daily job, read on day 25: the job bears the days between."""
+    tables = DatedTables(spark, Scratch(spark, "tables").folder)
+    log, areas = adlog(spark, sf_dir, *TAG_COLUMNS), _areas(spark, sf_dir)
+    ends = [dt.date(2024, 1, d) for d in (10, 11, 20)]
+    for before, day in zip([dt.date(2000, 1, 1), *ends], [*ends[:-1], dt.date(2024, 12, 31)]):
+        run_day = min(day, ends[-1])
+        tables.write(log.where((F.to_date("ts") > before) & (F.to_date("ts") <= day)), "ods", run_day,
+                     ["sessionid"])
+        tables.write(areas, "business_area", run_day, ["geohash"])
+        run_cooling_tags(tables, run_day, app_names(spark), device_codes(spark), first_run=before.year == 2000)
+    return _rounded(cooled(tables.read("cooling_tag", ends[-1]), dt.date(2024, 1, 25)))
+
+
 @query
 def tag_merge_qualified(spark, sf_dir):
     """Identifiers of two kinds with the same text stay apart."""
