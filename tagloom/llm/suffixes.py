@@ -30,13 +30,13 @@ from tagloom.session import Scratch
 
 LENGTH = 400
 # Bytes of pieces in a shard, and of texts in a bucket.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 BUCKET_BYTES = 64 << 20
 # Windows in a run, and bytes of a text that are hashed at once; longer ones are cut.
 _RUN_WINDOWS = 1 << 16
 _CHUNK_BYTES = 4 << 20
 # Positions in a lane of the walk.
-_LANE = 1 << 10
+_LANE = 1 << 9
 _MERGE_ROWS = 1 << 18
 _FIRST_DEPTH = 7
 _KEY_BYTES = 16
@@ -183,9 +183,13 @@ class Suffixes:
                                    minlength=int(group[-1]) + 1 if len(group) else 0)
 
 
-def _found(shard: pa.Table, length: int) -> pa.Table:
-    """Repeated ranges (`key`, `start`, `stop`) of the pieces of a shard, and for names that are split,
-    a row with the `print` of each different window: with its place if it is there once, else without."""
+# What a shard hands on of a window: its print, and where it is (start -1: known to be repeated).
+_WINDOW = np.dtype([("print", f"S{_KEY_BYTES}"), ("key", f"V{_KEY_BYTES}"), ("start", "<i8")])
+
+
+def _found(shard: pa.Table, length: int, blocks: int) -> pa.Table:
+    """Repeated ranges (`key`, `start`, `stop`) of the pieces of a shard, and for names that are split, all
+    different windows, packed in a row for each of the `blocks` that their prints fall in."""
     places, split = {}, {}
     for piece, keys, starts, is_split in zip(*(shard.column(c).to_pylist() for c in (
             "piece", "keys", "starts", "split"))):
@@ -195,44 +199,59 @@ def _found(shard: pa.Table, length: int) -> pa.Table:
     suffixes = Suffixes(pieces)
     number, times = suffixes.windows(length, np.array([len(places[p]) for p in pieces]))
     repeated = (number >= 0) & (times[number] > 1)
-    at = np.flatnonzero(repeated)
-    new = np.flatnonzero((np.diff(at) > 1) | (np.diff(suffixes.piece[at]) > 0)) + 1
     out = []
-    for a, b in zip(at[np.append(0, new)].tolist() if len(at) else [],
-                    (at[np.append(new, len(at)) - 1] + 1).tolist() if len(at) else []):
+    for a, b in _stretches(np.flatnonzero(repeated), suffixes.piece):
         of = int(suffixes.piece[a])
         shift = int(suffixes.starts[of])
-        out += [(key, start + a - shift, start + b - 1 - shift + length, None)
+        out += [(key, start + a - shift, start + b - shift + length, None, None)
                 for key, start in places[pieces[of]]]
     is_split = np.array([split[p] for p in pieces], bool)
     first = np.unique(number, return_index=True)[1]
-    for at in first[(number[first] >= 0) & is_split[suffixes.piece[first]]].tolist():
+    first = first[(number[first] >= 0) & is_split[suffixes.piece[first]]]
+    windows = np.zeros(len(first), _WINDOW)
+    for i, at in enumerate(first.tolist()):
         of = int(suffixes.piece[at])
         shift = at - int(suffixes.starts[of])
         digest = xxhash.xxh3_128_digest(pieces[of][shift:shift + length])
-        if repeated[at]:
-            out.append((None, None, None, digest))
-        else:
-            key, start = places[pieces[of]][0]
-            out.append((key, start + shift, None, digest))
+        key, start = places[pieces[of]][0]
+        windows[i] = (digest, key, -1) if repeated[at] else (digest, key, start + shift)
+    block = np.ascontiguousarray(windows["print"]).view(">u8")[::2] % np.uint64(blocks)
+    for n in np.unique(block):
+        out.append((None, None, None, int(n), windows[block == n].tobytes()))
     return _table(out)
 
 
+def _stretches(at: np.ndarray, group: np.ndarray) -> list[tuple[int, int]]:
+    """First and last of the consecutive positions within a group."""
+    if not len(at):
+        return []
+    new = np.flatnonzero((np.diff(at) > 1) | (np.diff(group[at]) != 0)) + 1
+    return list(zip(at[np.append(0, new)].tolist(), at[np.append(new, len(at)) - 1].tolist()))
+
+
 def _table(rows: list[tuple]) -> pa.Table:
-    columns = list(zip(*rows)) if rows else [()] * 4
-    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary())
-    return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], ["key", "start", "stop", "print"])
+    columns = list(zip(*rows)) if rows else [()] * 5
+    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)],
+                    ["key", "start", "stop", "block", "windows"])
 
 
 def _merged(block: pa.Table, length: int) -> pa.Table:
     """Ranges of the windows that came from several shards: by binary search of the print of each one in
     the merged order."""
-    prints = np.array(block.column("print").to_pylist(), f"S{_KEY_BYTES}")
-    merged = np.sort(prints)
-    times = np.searchsorted(merged, prints, "right") - np.searchsorted(merged, prints, "left")
-    keys, starts = block.column("key").to_pylist(), block.column("start").to_pylist()
-    return _table([(keys[i], starts[i], starts[i] + length, None)
-                   for i in np.flatnonzero(times > 1).tolist() if keys[i] is not None])
+    windows = np.concatenate([np.frombuffer(rows, _WINDOW) for rows in block.column("windows").to_pylist()])
+    merged = np.sort(windows["print"])
+    times = (np.searchsorted(merged, windows["print"], "right")
+             - np.searchsorted(merged, windows["print"], "left"))
+    found = windows[(times > 1) & (windows["start"] >= 0)]
+    places = sorted(zip(found["key"].tolist(), found["start"].tolist()))
+    starts = np.array([start for _, start in places], np.int64)
+    text = np.cumsum([False] + [a != b for (a, _), (b, _) in zip(places, places[1:])])
+    new = np.flatnonzero((np.diff(starts) > 1) | (np.diff(text[:len(starts)]) != 0)) + 1
+    heads = np.append(0, new) if len(starts) else new
+    tails = np.append(new, len(starts)) - 1 if len(starts) else new
+    return _table([(places[a][0], places[a][1], places[b][1] + length, None, None)
+                   for a, b in zip(heads.tolist(), tails.tolist())])
 
 
 # -- the job ---------------------------------------------------------------------------
@@ -306,15 +325,17 @@ class _Texts:
         """`shard`, `piece`, `split`, `keys`, `starts` of the runs whose name comes from several places."""
         spark, length, found = self.spark, self.length, self._runs()
         names = self.scratch.save(
-            found.groupBy("name").agg(F.count("*").alias("times"), F.max("again").alias("again"),
+            found.groupBy("name").agg(F.count("*").alias("times"), F.max("again").alias("again"), F.sum("n").alias("windows"),
                                       F.sum(F.col("n") + (length - 1)).alias("bytes"))
-            .where("times > 1 OR again").select("name", "bytes"), "names")
+            .where("times > 1 OR again").select("name", "bytes", "windows"), "names")
         total = names.agg(F.sum("bytes")).first()[0] or 0
         shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_BYTES))
         limit = max(1, total // shards // 2)
+        apart = names.where(F.col("bytes") > limit).agg(F.sum("windows")).first()[0] or 0
+        self.blocks = -(-apart // _MERGE_ROWS)
         parts = F.ceil(F.col("bytes") / limit)
         part = F.when(F.col("bytes") > limit, F.pmod(F.xxhash64("key", "start"), parts)).otherwise(F.lit(0))
-        wanted = lookup_join(found, names, "name", "inner").select(
+        wanted = lookup_join(found, names.select("name", "bytes"), "name", "inner").select(
             "key", "start", "n", (F.col("bytes") > limit).alias("split"),
             F.pmod(F.xxhash64("name", part), F.lit(shards)).alias("shard"))
         piece = F.substring("text", (F.col("start") + 1).cast("int"), (F.col("n") + (length - 1)).cast("int"))
@@ -324,14 +345,13 @@ class _Texts:
 
     def ranges(self) -> DataFrame:
         """`key`, `start`, `stop` of stretches of repeated windows; they may overlap."""
-        length, schema = self.length, "key binary, start long, stop long, print binary"
-        found = self.scratch.save(self._pieces().groupBy("shard").applyInArrow(
-            lambda shard: _found(shard, length), schema), "found")
-        apart = found.where("print IS NOT NULL")
-        blocks = -(-apart.count() // _MERGE_ROWS)
-        known = found.where("print IS NULL")
-        if blocks:
-            merged = apart.groupBy(F.pmod(F.xxhash64("print"), F.lit(blocks)).alias("block")).applyInArrow(
+        length, pieces = self.length, self._pieces()
+        blocks, schema = max(1, self.blocks), "key binary, start long, stop long, block long, windows binary"
+        found = self.scratch.save(pieces.groupBy("shard").applyInArrow(
+            lambda shard: _found(shard, length, blocks), schema), "found")
+        known = found.where("block IS NULL")
+        if self.blocks:
+            merged = found.where("block IS NOT NULL").groupBy("block").applyInArrow(
                 lambda block: _merged(block, length), schema)
             known = known.unionByName(merged)
         return known.select("key", "start", "stop")
