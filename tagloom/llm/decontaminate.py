@@ -7,7 +7,8 @@ documents meet nowhere.
 
 A seed is a shortest run of an item's words that is rare: the product of its words' corpus
 frequencies, the chance of meeting it at a given place, is at most `max_chance`. Every run of every
-item that is rare is a seed. An item without any is too common to be told from chance.
+item that is rare is a seed. An item without any is its own seed as a whole: its verbatim copies are
+found, and reported as what chance may give.
 """
 
 import re
@@ -60,6 +61,7 @@ class Matcher:
         self.vocabulary = {word: n for n, word in enumerate(sorted({w for t in texts for w in t}))}
         self.items = [np.array([self.vocabulary[w] for w in t], np.int64) for t in texts]
         self.seeds: dict[int, tuple[np.ndarray, list]] = {}
+        self.common: set[int] = set()
 
     def numbers(self, words: list[str]) -> np.ndarray:
         known = self.vocabulary.get
@@ -73,11 +75,14 @@ class Matcher:
             sums = np.concatenate([[0.0], np.cumsum(log_chance[item])])
             # Sums fall, so the end of the shortest rare run from each start is found by search.
             ends = np.searchsorted(-sums, -(sums[:-1] + limit) - 1e-9)
-            for start, end in enumerate(ends.tolist()):
-                if end <= len(item):
-                    size = max(2, end - start)
-                    if start + size <= len(item):
-                        found[size][int(self._codes(item[start:start + size], size)[0])].append((n, start))
+            least = min(2, len(item))
+            runs = [(start, max(least, end - start)) for start, end in enumerate(ends.tolist())]
+            runs = [(start, size) for start, size in runs if start + size <= len(item)]
+            if not runs and len(item):
+                self.common.add(n)
+                runs = [(0, len(item))]
+            for start, size in runs:
+                found[size][int(self._codes(item[start:start + size], size)[0])].append((n, start))
         self.seeds = {size: (np.array(sorted(codes), np.uint64), [codes[c] for c in sorted(codes)])
                       for size, codes in found.items()}
 
@@ -90,7 +95,7 @@ class Matcher:
         return codes
 
     def hits(self, text: str | None) -> list[tuple]:
-        """(item id, score, first word, word after the last) of items with a score to report."""
+        """(item id, score, first word, word after the last, is rare) of items with a score to report."""
         if not self.seeds:
             return []
         numbers = self.numbers(words_of(text))
@@ -135,7 +140,7 @@ class Matcher:
             return None
         # The same alignment from its end tells where it starts.
         _, length = align(item[::-1], numbers[begin:stop][::-1])
-        return self.ids[n], share, stop - length, stop
+        return self.ids[n], share, stop - length, stop, n not in self.common
 
 
 def _word_counts(docs: DataFrame, matcher: Matcher) -> tuple[np.ndarray, int]:
@@ -181,17 +186,18 @@ def _plain(docs: DataFrame, text: str) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
                  text: str = "text", min_score: float = MIN_SCORE,
                  max_chance: float = MAX_CHANCE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """`doc_id`, `item_id`, `score`, `first_word` and `end_word` of each row and item that align.
+    """`doc_id`, `item_id`, `score`, `first_word`, `end_word` and `rare` of each row and item that align.
 
     The score is that of the best local alignment over that of the item with itself; those of at
-    least `min_score` are returned, with the place of the alignment in the document's words. Texts
+    least `min_score` are returned, with the place of the alignment in the document's words. Items
+    without a rare run (`rare` is false) are found where they stand word by word. Texts
     and items that are NULL or have no word match nothing. Ids may be NULL. Equal items and repeated
     rows are all reported; of equally good places the first is. Empty tables give no rows;
     other columns are not looked at.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"),
                        F.col(text).cast("string").alias("text"))
-    schema = "doc_id long, item_id long, score double, first_word long, end_word long"
+    schema = "doc_id long, item_id long, score double, first_word long, end_word long, rare boolean"
     result = docs.sparkSession.createDataFrame([], schema)
     for matcher in matchers(_plain(docs, text), benchmark, max_chance, block_bytes):
         result = result.unionByName(rows.mapInArrow(_finder(docs, matcher, min_score), schema))
@@ -209,14 +215,15 @@ def _finder(docs: DataFrame, matcher: Matcher, min_score: float):
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(column, kind) for column, kind in zip(
-                        zip(*rows), (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))],
-                    ["doc_id", "item_id", "score", "first_word", "end_word"])
+                        zip(*rows), (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.bool_()))],
+                    ["doc_id", "item_id", "score", "first_word", "end_word", "rare"])
 
     return find
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows that no item aligns with, with all their columns."""
+    """The rows that no item aligns with, with all their columns. Items without a rare run, such as a word
+    or two that many texts hold, are no reason to drop a row."""
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                       F.col("text").cast("string").alias("text"))
     for matcher in matchers(_plain(docs, "text"), benchmark):
@@ -224,7 +231,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, min_score: float = MI
 
         def keep(batches, sent=sent):
             for batch in in_pieces(batches, "text"):
-                clean = [all(hit[1] < min_score for hit in sent.value.hits(text))
+                clean = [all(hit[1] < min_score or not hit[4] for hit in sent.value.hits(text))
                          for text in batch.column("text").to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 

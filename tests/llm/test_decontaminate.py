@@ -92,6 +92,26 @@ def test_leaks_in_most_documents_are_found(spark):
     assert sorted(r.doc_id for r in found) == [i for i in range(60) if i % 3]
 
 
+def test_items_of_common_words_are_found_as_they_stand(spark):
+    """Every item has a seed, also one of a single word, and one whose words are all common."""
+    common = "the cat is on the mat".split()
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices([*common, "a", "b"], k=40)) for _ in range(30)]
+    texts += ["x the cat is on the mat y", "THE CAT, is on the mat", "the cat is on mat the", "the", "rareword a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wanted = spark.createDataFrame([(1, " ".join(common)), (2, "cat"), (3, "rareword"), (4, "is on")],
+                                   "item_id long, text string")
+    found = contaminated(docs, wanted, max_chance=1e-3).collect()
+    verbatim = {(i, item) for i, text in enumerate(texts) for item, words in
+                ((1, " ".join(common)), (2, "cat"), (3, "rareword"), (4, "is on"))
+                if f" {words} " in f" {' '.join(words_of(text))} "}
+    assert {(r.doc_id, r.item_id) for r in found} >= verbatim
+    rare = {r.item_id: r.rare for r in found}
+    assert not rare[2] and not rare[4]
+    kept = {r.doc_id for r in clean_documents(docs, wanted.where("item_id IN (2, 4)")).collect()}
+    assert kept == set(range(len(texts)))
+
+
 def test_clean_documents(spark, leaked):
     kept = clean_documents(leaked, items(spark))
     assert kept.columns == leaked.columns
