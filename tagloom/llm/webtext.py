@@ -4,9 +4,10 @@ Each node of a page has a density: its characters per tag, adjusted for links, s
 many links counts little. The sum of the children's densities is largest at the node that holds the
 article. The least density on the path from the body to it is the threshold below which link-heavy
 parts within are left out. Elements that can't be article by their name (menus, scripts and the like)
-are left out from the beginning, and so are those that by their role or class should not be (notices,
-adverts, comments of readers and the like) if they hold no more than half of the page's text and
-no article: what holds more is a wrapper of the page.
+are left out from the beginning. So are adverts, notices and comments of readers, by their class or id,
+unless there is no text and no article besides them; and what by its role or class should not be article
+(sidebars, forms and the like), if it holds no more than half of the page's text and no article: what
+holds more is a wrapper of the page.
 
 Pages are independent of each other; a task holds one page at a time.
 """
@@ -49,12 +50,19 @@ _LEFT_OUT = frozenset(
 _DOUBTFUL = frozenset("aside form".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu "
                    "menubar toolbar form".split())
-_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion "
-    "cookie cookies consent gdpr notice popup modal overlay newsletter subscribe subscription signup "
-    "login paywall sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer "
-    "header masthead topbar toolbar share sharing social related recommended recommendations comment "
-    "comments disqus respond replies reply skip copyright hidden".split())
+# Never the article, unless nothing else is on the page.
+_UNWANTED = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored cookie cookies consent gdpr "
+    "notice popup modal overlay newsletter paywall comment comments disqus respond replies reply".split())
+_NAMES = _UNWANTED | frozenset(
+    "banner promo promotion subscribe subscription signup login sidebar menu nav navbar navigation "
+    "breadcrumb breadcrumbs pagination pager footer header masthead topbar toolbar share sharing social "
+    "related recommended recommendations skip copyright hidden".split())
+# Words that go with those names; with any other word, as in `related-work`, a class says something else.
+_NEUTRAL = frozenset(
+    "list lists section container box area wrapper wrap widget block bar post posts articles link links item "
+    "items site page main content top bottom left right side button buttons thread form title count module "
+    "region panel group inner outer row body primary secondary global mobile icon icons".split())
 # Within an article these hold its title.
 _TITLES = frozenset(["header"])
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup time figure".split())
@@ -65,7 +73,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.dropped, self.in_article = ["html"], [0], [False], [False]
-        self.doubtful = [False]
+        self.doubtful = [""]
         # (node, number of its block, text)
         self.texts: list[tuple[int, int, str]] = []
         self.body = 0
@@ -121,29 +129,31 @@ class Page:
         inside = self.in_article[parent]
         self.in_article.append(inside or name in ("article", "main"))
         self.dropped.append(self.dropped[parent] or name in _LEFT_OUT)
-        self.doubtful.append(self._is_doubtful(name, attributes, inside))
+        self.doubtful.append(self._doubt(name, attributes, inside))
         stack.append(len(self.tag) - 1)
         return stack[-1]
 
     @staticmethod
-    def _is_doubtful(name: str, attributes: str, in_article: bool) -> bool:
-        if name in _DOUBTFUL or (name in _TITLES and not in_article):
-            return True
-        if name in ("body", "article", "main") or not attributes.strip():
-            return False
+    def _doubt(name: str, attributes: str, in_article: bool) -> str:
+        """What speaks against an element: "unwanted", "unlikely", or nothing."""
+        found = "unlikely" if name in _DOUBTFUL or (name in _TITLES and not in_article) else ""
+        if name == "body" or not attributes.strip():
+            return found
+        names = _NAMES - _TITLES if in_article else _NAMES
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'").lower()
-            if key == "hidden" or key == "aria-hidden" and value == "true":
-                return True
-            if key == "role" and value in _ROLES:
-                return True
-            if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
             if key in ("class", "id"):
-                words = set(re.findall(r"[a-z]+", value))
-                if words & (_NAMES - _TITLES if in_article else _NAMES):
-                    return True
-        return False
+                for token in value.split():
+                    words = set(re.findall(r"[a-z]+", token))
+                    if words & names and words <= names | _NEUTRAL:
+                        if words & _UNWANTED:
+                            return "unwanted"
+                        found = "unlikely"
+            elif key == "hidden" or key == "aria-hidden" and value == "true" \
+                    or key == "role" and value in _ROLES \
+                    or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+                found = "unlikely"
+        return "" if name in ("article", "main") else found
 
     def _close(self, stack: list[int], name: str) -> None:
         for depth in range(len(stack) - 1, 0, -1):
@@ -170,30 +180,43 @@ class Page:
             depth -= 1
 
     def _drop_doubtful(self) -> None:
-        """Drop the doubtful elements but those with more than half of the page's text, and those around
-        an article with text."""
+        """Drop what is unwanted or unlikely, but for wrappers of the page."""
         if not any(self.doubtful):
             return
-        chars = [0] * len(self.tag)
+        size = len(self.tag)
+        chars, plain, articles = ([0] * size for _ in range(3))
+        in_link = [False] * size
+        for node in range(1, size):
+            in_link[node] = in_link[self.parent[node]] or self.tag[node] == "a"
         for node, _, text in self.texts:
             if not self.dropped[node]:
-                chars[node] += len("".join(text.split()))
-        holds = [False] * len(self.tag)
-        for node in range(len(self.tag) - 1, 0, -1):
+                length = len("".join(text.split()))
+                chars[node] += length
+                plain[node] += 0 if in_link[node] else length
+        for node in range(size - 1, 0, -1):
             up = self.parent[node]
             chars[up] += chars[node]
-            if holds[node] or chars[node] and self.tag[node] in ("article", "main"):
-                holds[up] = True
-        for node in range(1, len(self.tag)):
-            up = self.parent[node]
-            around = holds[node] and not self.in_article[up]
-            self.dropped[node] = self.dropped[node] or self.dropped[up] or (
-                self.doubtful[node] and 2 * chars[node] <= chars[0] and not around)
+            plain[up] += plain[node]
+            # Articles of their own; what is named a comment is none.
+            if chars[node] and self.tag[node] in ("article", "main") and self.doubtful[node] != "unwanted":
+                articles[node] = 1
+            articles[up] += articles[node]
+        for node in range(1, size):
+            up, doubt = self.parent[node], self.doubtful[node]
+            if doubt == "unwanted":
+                # What is outside it may be a site's name, but no article.
+                outside = plain[0] - plain[node]
+                holds = articles[node] > 0 and not self.in_article[up]
+                wrapper = articles[0] == articles[node] and outside <= (plain[node] // 10 if holds else 0)
+            else:
+                wrapper = 2 * chars[node] > chars[0] or articles[node] > 0 and not self.in_article[up]
+            self.dropped[node] = self.dropped[node] or self.dropped[up] or bool(doubt) and not wrapper
 
     # -- densities ----------------------------------------------------------------------
 
-    def main_blocks(self) -> list[str]:
-        """The article's blocks of text, in page order."""
+    def best_node(self) -> tuple[int, list[float], list, list[int], list[int]]:
+        """The node with the largest sum of its children's densities, all densities, the texts that are kept,
+        and the characters and linked characters of every node."""
         size = len(self.tag)
         chars, links, tags, link_tags = ([0] * size for _ in range(4))
         in_link = [False] * size
@@ -222,8 +245,12 @@ class Page:
             if not self.dropped[node]:
                 sums[self.parent[node]] += density[node]
         # Of equal sums the first; a page without any element with text is its body.
-        best = max(range(self.body, size), key=lambda n: (sums[n], -n))
-        best = best if sums[best] > 0 else self.body
+        best = max(range(self.body, size), key=lambda n: (round(sums[n], 9), -n))
+        return best if sums[best] > 0 else self.body, density, kept, chars, links
+
+    def main_blocks(self) -> list[str]:
+        """The article's blocks of text, in page order."""
+        best, density, kept, chars, links = self.best_node()
         path = [best]
         while path[-1] not in (self.body, 0):
             path.append(self.parent[path[-1]])

@@ -1,4 +1,5 @@
 import html
+import random
 import re
 
 import pytest
@@ -96,6 +97,75 @@ def test_wrappers_with_names_of_menus(wrapper):
     assert main_text(page) == "\n\n".join([LONG, MORE])
 
 
+COMMENT = "<div class=comment><p>A reader writes a long comment that goes on and on about the article.</p></div>"
+
+
+@pytest.mark.parametrize("comments", [
+    f"<section class=comments>{COMMENT * 5}</section>", f"<div id=comments><ol><li>{COMMENT * 5}</ol></div>",
+    f"<div id=disqus_thread>{COMMENT * 5}</div>", "<ol class='comment-list'>" + "<li><article class='comment-body'>"
+    f"<p>{LONG}</p></article>" * 5 + "</ol>", f"<section class=comments><article><p>{LONG * 4}</p></article></section>",
+    f"<div class='cookie-notice'><p>{LONG * 4}</p></div>"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_comments_that_outweigh_the_article_are_left_out(tag, comments):
+    """After it and within it."""
+    inner = f"<h1>Head</h1><p>{LONG}</p><p>{MORE}</p>"
+    for body in (f"<{tag}>{inner}</{tag}>{comments}", f"<{tag}>{inner}{comments}</{tag}>",
+                 f"<div id=page><{tag}>{inner}</{tag}>{comments}</div>"):
+        assert main_text(article(body)) == "\n\n".join(["Head", LONG, MORE])
+
+
+def test_what_nothing_else_is_beside_is_the_page():
+    assert main_text(article(f"<div class=comments><h1>Head</h1><p>{LONG}</p></div>")) == f"Head\n\n{LONG}"
+    menu = "<ul><li><a href=1>One</a><li><a href=2>Two</a></ul>"
+    assert main_text(article(f"{menu}<div class=notice><article><p>{LONG}</p></article></div>")) == LONG
+
+
+@pytest.mark.parametrize("name", ["related-work", "share-price", "ad-hoc", "menu-prices", "comment-on-law",
+                                  "no-sidebar", "footer-notes"])
+def test_a_word_of_a_class_is_not_its_meaning(name):
+    page = article(f"<article><h1>Head</h1><p>{LONG}</p><section class={name}><p>{MORE}</p></section></article>")
+    assert main_text(page) == "\n\n".join(["Head", LONG, MORE])
+
+
+def brute_root(page):
+    """The node with the largest sum of its children's densities, each counted out of its own subtree."""
+    def below(node):
+        return [node, *(m for n in range(len(page.tag)) if n and page.parent[n] == node for m in below(n))]
+
+    def linked(node):
+        return node != 0 and (page.tag[node] == "a" or linked(page.parent[node]))
+
+    def length(nodes, only_links=False):
+        return sum(len(" ".join(html.unescape(t).split())) for n, _, t in page.texts
+                   if n in nodes and not page.dropped[n] and (linked(n) or not only_links))
+
+    def density(node):
+        nodes = [n for n in below(node) if not page.dropped[n]]
+        body = below(page.body)
+        return Page._density(length(nodes), len(nodes) - 1, length(nodes, True),
+                             sum(page.tag[n] == "a" for n in nodes if n != node),
+                             length(body, True) / max(length(body), 1))
+
+    sums = {node: sum(density(n) for n in range(1, len(page.tag)) if page.parent[n] == node and not page.dropped[n])
+            for node in range(page.body, len(page.tag))}
+    return max(sums, key=lambda n: (round(sums[n], 9), -n))
+
+
+def test_root_against_brute_force():
+    """On small random trees the subtree with the largest sum gives the text."""
+    rng = random.Random(6)
+
+    def tree(depth):
+        if depth == 0 or rng.random() < 0.2:
+            text = nasty.words(rng.randrange(99), rng.randint(1, 25))
+            return f"<a href=x>{text}</a>" if rng.random() < 0.3 else f"<p>{text}</p>"
+        return "<div>" + "".join(tree(depth - 1) for _ in range(rng.randint(1, 4))) + "</div>"
+
+    for _ in range(60):
+        page = Page(f"<body>{''.join(tree(3) for _ in range(3))}</body>")
+        assert page.best_node()[0] == brute_root(page)
+
+
 def test_formulas_are_text():
     formula = "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>"
     assert main_text(article(f"<article><p>{LONG} {formula}</p></article>")) == f"{LONG} x=1"
