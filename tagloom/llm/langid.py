@@ -6,28 +6,32 @@ to right by the longest n-grams that are known, of up to `max_gram` and down to
 language with the highest sum is predicted; the score is its posterior, tempered for the
 dependence between words.
 
-The classifier is fitted on a bounded sample: up to `docs_per_language` labelled rows of each of the
-`max_languages` most frequent languages, of texts with at most `max_sample_chars` characters, chosen
-by the hash of the row. This bounds the model, which is sent to all tasks. Prediction reads every
-whole text.
+Words are runs of letters and marks, in fitting and in predicting alike.
+
+The classifier is fitted on a bounded sample: up to `docs_per_language` labelled rows of every language,
+fewer if there are so many that all would be more than `sample_docs` (but one of each at least), chosen by the
+hash of the row. Of a text of more than `max_chars` characters a part of that length is learned, at a place chosen
+by its hash. This bounds the model, which is sent to all tasks. Prediction reads every whole text.
 """
 
 import math
-import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tagloom.llm.common import in_pieces, remainder
 
 DOCS_PER_LANGUAGE = 1500
-MAX_LANGUAGES = 64
+SAMPLE_DOCS = 96_000
 MAX_SAMPLE_CHARS = 8000
 MAX_GRAM = 4
 UNDETERMINED = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+# As Java's and Python's patterns both understand it.
+_WORD = r"[\p{L}\p{M}]+"
+_WORDS = regex.compile(_WORD)
 _REMEMBERED_WORDS = 50_000
 
 
@@ -65,7 +69,7 @@ class Model:
         return total
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = Counter(_LETTERS.findall(text.lower())) if text else {}
+        words = Counter(_WORDS.findall(text.lower())) if text else {}
         if not self.languages or not any(any(map(str.isalpha, word)) for word in words):
             return UNDETERMINED, 0.0
         sums = [0.0] * len(self.languages)
@@ -79,27 +83,34 @@ class Model:
 
 def word_counts(rows: DataFrame) -> DataFrame:
     """`lang`, `word`, `n` of all words of `rows` (`lang`, `text`)."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}]+"), 0)
+    words = F.regexp_extract_all(F.lower("text"), F.lit(_WORD), 0)
     return (rows.select("lang", F.explode(words).alias("word"))
             .groupBy("lang", "word").agg(F.count("*").alias("n")))
 
 
 def sample(rows: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE,
-           max_languages: int = MAX_LANGUAGES,
-           max_chars: int = MAX_SAMPLE_CHARS) -> DataFrame:
-    """`lang` and `text` of at most `docs_per_language` rows of each of `max_languages` languages,
-    chosen by the hash of `id`, so that a text with many copies gets its share and no more."""
-    usable = rows.where(F.col("lang").isNotNull() & (F.length("text") <= max_chars))
-    top = (usable.groupBy("lang").agg(F.count("*").alias("n"))
-           .orderBy(F.desc("n"), "lang").limit(max_languages))
+           sample_docs: int = SAMPLE_DOCS, max_chars: int = MAX_SAMPLE_CHARS) -> DataFrame:
+    """`lang` and `text` of at most `docs_per_language` rows of each language, chosen by the hash of `id`
+    and text, so that a text with many copies gets its share and no more."""
+    usable = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    languages = sizes.agg(F.count("*")).scalar()
+    sizes = sizes.withColumn("wanted", F.greatest(F.lit(1), F.least(
+        F.lit(docs_per_language), F.floor(sample_docs / languages))))
     place = F.xxhash64("id", "text")
-    # First by a rate that leaves about twice as many as are wanted, then the first in order.
-    rate = F.least(F.lit(1.0), F.lit(2.0 * docs_per_language) / F.col("n"))
-    drawn = (usable.join(F.broadcast(top), "lang").withColumn("place", place)
+    # First by a rate that leaves about twice as many as are wanted (and some more of rare languages), then
+    # the first in order.
+    rate = F.least(F.lit(1.0), (2.0 * F.col("wanted") + 20) / F.col("n"))
+    # One row per language.
+    drawn = (usable.join(F.broadcast(sizes), "lang").withColumn("place", place)
              .where(F.pmod(F.col("place"), F.lit(1 << 20)) < rate * (1 << 20)))
     order = Window.partitionBy("lang").orderBy("place", "text")
-    return (drawn.withColumn("rank", F.row_number().over(order))
-            .where(F.col("rank") <= docs_per_language).select("lang", "text"))
+    chosen = drawn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= F.col("wanted"))
+    long = F.length("text") > max_chars
+    begin = (F.pmod(F.col("place"), F.length("text") - max_chars + 1) + 1).cast("int")
+    # Without the words that the cut goes through.
+    part = F.regexp_replace(F.substring("text", begin, F.lit(max_chars)), r"^[\p{L}\p{M}]+|[\p{L}\p{M}]+$", "")
+    return chosen.select("lang", F.when(long, part).otherwise(F.col("text")).alias("text"))
 
 
 def fit(rows: DataFrame, max_gram: int = MAX_GRAM, **bounds: int) -> Model:

@@ -1,4 +1,7 @@
 import math
+import unicodedata
+import zlib
+from collections import Counter
 
 import pytest
 
@@ -59,8 +62,79 @@ def test_without_labels_or_rows(spark):
     assert in_a_language(nasty.empty(spark)).collect() == []
 
 
-def test_sample_is_bounded(spark):
+def test_sample_is_bounded_and_leaves_no_language_out(spark):
     rows = spark.range(1000).selectExpr("id", "concat('l', id % 4) AS lang", "'same text' AS text")
-    drawn = sample(rows, docs_per_language=20, max_languages=3).groupBy("lang").count().collect()
-    assert len(drawn) == 3 and all(r["count"] <= 20 for r in drawn)
+    drawn = sample(rows, docs_per_language=20).groupBy("lang").count().collect()
+    assert len(drawn) == 4 and all(0 < r["count"] <= 20 for r in drawn)
+    many = spark.range(3000).selectExpr("id", "concat('l', least(id, 200)) AS lang", "'same text' AS text")
+    drawn = {r.lang: r["count"] for r in sample(many, sample_docs=500).groupBy("lang").count().collect()}
+    assert len(drawn) == 201 and set(drawn.values()) <= {1, 2} and drawn["l200"] == 2
     assert fit(rows, docs_per_language=20).languages == ["l0", "l1", "l2", "l3"]
+
+
+def test_long_texts_give_a_part_of_whole_words(spark):
+    text = " ".join(f"word{'abcdefghij'[i % 10]}" for i in range(4000))
+    rows = spark.createDataFrame([(1, "long", text), (2, "short", "tiny text")], "id long, lang string, text string")
+    drawn = {r.lang: r.text for r in sample(rows, max_chars=500).collect()}
+    assert drawn["short"] == "tiny text" and 480 < len(drawn["long"]) <= 500 and drawn["long"] in text
+    assert set(drawn["long"].split()) == set(text.split())
+    assert fit(rows, max_chars=500).languages == ["long", "short"]
+
+
+def words(text):
+    """Runs of letters and marks, by the categories of the characters."""
+    kept = "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in (text or "").lower())
+    return kept.split()
+
+
+def brute_prediction(text, training, max_gram=4):
+    """Language and score out of the training rows, without a model."""
+    seen = {lang: Counter(w for l, t in training if l == lang for w in words(t)) for lang in {l for l, _ in training}}
+    languages = sorted(lang for lang in seen if seen[lang])
+    grams = {lang: Counter() for lang in languages}
+    for lang in languages:
+        for word, n in seen[lang].items():
+            for size in range(1, max_gram + 1):
+                for at in range(len(word) + 2 - size + 1):
+                    grams[lang][f"<{word}>"[at:at + size]] += n
+    total = Counter()
+    for lang in languages:
+        total.update(seen[lang])
+    known = {w for w in total if total[w] > 1}
+    every_gram = {g for lang in languages for g in grams[lang]}
+
+    def frequency(lang, text, counts, of):
+        return math.log((counts[lang][text] + 0.5) / (0.5 * len(of) + sum(counts[lang][x] for x in of)))
+
+    def word_score(lang, word):
+        if word in known:
+            return frequency(lang, word, seen, known)
+        rest, score = f"<{word}>", 0.0
+        while rest:
+            size = next((k for k in range(min(max_gram, len(rest)), 0, -1) if rest[:k] in every_gram), 0)
+            score += frequency(lang, rest[:size], grams, every_gram) if size else 0.0
+            rest = rest[max(size, 1):]
+        return score
+
+    asked = words(text)
+    if not any(c.isalpha() for w in asked for c in w):
+        return "und", 0.0
+    sums = {lang: sum(word_score(lang, w) for w in asked) for lang in languages}
+    best = max(languages, key=sums.get)
+    return best, 1 / sum(math.exp((s - sums[best]) / math.sqrt(len(asked))) for s in sums.values())
+
+
+def test_against_brute_force(spark):
+    """Also in scripts whose words hold marks."""
+    lines = [("hi", "हिन्दी भाषा में लिखा हुआ पाठ"), ("hi", "यह हिन्दी है और यह भी हिन्दी"), ("bn", "বাংলা ভাষায় লেখা পাঠ্য"),
+             ("bn", "এটি বাংলা এবং এটিও বাংলা"), ("en", "this is a text in a language"), ("en", "the language of this text"),
+             ("fr", "ceci est un texte dans une langue été"), ("fr", "la langue de ce texte où"), (None, "no label here")]
+    texts = lines + [(None, t) for t in ("हिन्दी", "बंगाली में पाठ", "বাংলাভাষা", "languages", "texte 12 où", "", "१२३ !", "zzz qqq", "का")]
+    rows = [(i, text, lang) for i, (lang, text) in enumerate(texts * 3)]
+    training = [(lang, text) for i, text, lang in rows
+                if lang and zlib.crc32(str(i).encode()) % 5]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for row in identify(docs).collect():
+        lang, score = brute_prediction(rows[row.doc_id][1], training)
+        assert row.lang_pred == lang, rows[row.doc_id]
+        assert row.score == pytest.approx(score)
