@@ -1,7 +1,25 @@
 """SQL of the queries that SQL can express, for DuckDB."""
 
-# Distance floors and sides of the quality rules, as in `quality.RULES`.
-_FLOORS = {"word_length": 4200, "symbols": 50, "dup_lines": 400, "repeats": 200}
+# Levels and margins of the quality rules, as in `quality.RULES`.
+_LEVELS = {"word_length": (100, 900, 6), "symbols": (0, 900, 16), "dup_lines": (0, 998, 4), "repeats": (0, 998, 4)}
+_PRIOR = 200
+
+
+def _level(place: int) -> str:
+    return "CASE m " + " ".join(f"WHEN '{m}' THEN {rule[place]}" for m, rule in _LEVELS.items()) + " END"
+
+
+def _start(bucket: str) -> str:
+    shift = f"greatest(({bucket}) // 32 - 1, 0)"
+    return f"((({bucket}) - 32 * {shift}) << {shift})"
+
+
+def _drawn(own: str, wider: str) -> str:
+    sides = (f"CAST(({own}.{s} * {own}.n + {wider}.{s} * {_PRIOR}) // ({own}.n + {_PRIOR}) AS BIGINT) AS {s}"
+             for s in ("low", "high"))
+    return ", ".join(sides)
+
+
 
 QUALITY_ROWS = r"""
 base AS (SELECT row_number() OVER () AS r, *, coalesce(text, '') AS t FROM documents),
@@ -27,24 +45,30 @@ rated AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_
 long AS (SELECT r, lang, source, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) AS m,
       unnest([word_length, symbols, dup_lines, repeats]) AS v FROM rated WHERE NOT base_failed),
 cut AS (SELECT *, CASE WHEN v < 64 THEN 0 ELSE length(bin(v)) - 6 END AS s FROM long),
-cells AS (SELECT lang, source, m, (v >> s) << s AS v, count(*) AS n FROM cut GROUP BY ALL),
-levels AS (SELECT 0 AS lvl, lang, source, m, v, n FROM cells
-      UNION ALL SELECT 1, lang, NULL, m, v, sum(n) FROM cells GROUP BY ALL
-      UNION ALL SELECT 2, NULL, NULL, m, v, sum(n) FROM cells GROUP BY ALL),
-run AS (SELECT *, sum(n) OVER (PARTITION BY lvl, lang, source, m ORDER BY v) AS upto,
+cells AS (SELECT lang, source, m, CAST(32 * s + (v >> s) AS BIGINT) AS b, count(*) AS n FROM cut GROUP BY ALL),
+levels AS (SELECT 0 AS lvl, lang, source, m, b, n FROM cells
+      UNION ALL SELECT 1, lang, NULL, m, b, sum(n) FROM cells GROUP BY ALL
+      UNION ALL SELECT 2, NULL, NULL, m, b, sum(n) FROM cells GROUP BY ALL),
+run AS (SELECT *, sum(n) OVER (PARTITION BY lvl, lang, source, m ORDER BY b) AS upto,
       sum(n) OVER (PARTITION BY lvl, lang, source, m) AS total FROM levels),
-q AS (SELECT lvl, lang, source, m, min(v) FILTER (upto * 10 >= total) AS q1,
-      min(v) FILTER (upto * 10 >= total * 5) AS q5, min(v) FILTER (upto * 10 >= total * 9) AS q9
-      FROM run WHERE lvl = 2 OR total >= 200 GROUP BY ALL),
-lim AS (SELECT *, greatest(6 * least(q5 - q1, q9 - q5), FLOORS) AS reach FROM q),
-best AS (SELECT l.r, l.m, l.v, arg_min(q5 - reach, lvl) AS low, arg_min(q5 + reach, lvl) AS high
-      FROM long l JOIN lim ON lim.m = l.m AND (lvl = 2 OR lvl = 1 AND lim.lang IS NOT DISTINCT FROM l.lang
-           OR lvl = 0 AND lim.lang IS NOT DISTINCT FROM l.lang
-              AND lim.source IS NOT DISTINCT FROM l.source) GROUP BY ALL),
+q AS (SELECT lvl, lang, source, m, max(total) AS n, min(b) FILTER (upto * 1000 >= total * LOWER) AS lower_b,
+      min(b) FILTER (upto * 1000 >= total * UPPER) AS upper_b FROM run GROUP BY ALL),
+own AS (SELECT lvl, lang, source, m, n, LOW AS low, HIGH AS high
+      FROM (SELECT *, greatest(lower_b - MARGIN, 0) AS from_b, upper_b + MARGIN AS to_b FROM q)),
+wide AS (SELECT * FROM own WHERE lvl = 2),
+lang_lim AS (SELECT o.lang, o.m, DRAWN_LANG FROM own o JOIN wide w ON o.m = w.m WHERE o.lvl = 1),
+lim AS (SELECT o.lang, o.source, o.m, DRAWN_OWN FROM own o JOIN lang_lim w
+      ON o.m = w.m AND o.lang IS NOT DISTINCT FROM w.lang WHERE o.lvl = 0),
+best AS (SELECT l.r, l.m, l.v, low, high FROM long l JOIN lim ON lim.m = l.m
+      AND lim.lang IS NOT DISTINCT FROM l.lang AND lim.source IS NOT DISTINCT FROM l.source),
 verdict AS (SELECT r, bool_and(v <= high AND (m <> 'word_length' OR v >= low)) AS ok FROM best GROUP BY r),
 judged AS (SELECT rated.*, NOT base_failed AND coalesce(ok, false) AS kept
       FROM rated LEFT JOIN verdict ON rated.r = verdict.r)
-""".replace("FLOORS", "CASE m " + " ".join(f"WHEN '{m}' THEN {n}" for m, n in _FLOORS.items()) + " END")
+"""
+for _name, _text in {"LOWER": _level(0), "UPPER": _level(1), "MARGIN": _level(2), "LOW ": _start("from_b") + " ",
+                     "HIGH ": _start("to_b") + " ", "DRAWN_LANG": _drawn("o", "w"),
+                     "DRAWN_OWN": _drawn("o", "w")}.items():
+    QUALITY_ROWS = QUALITY_ROWS.replace(_name, _text)
 
 # The lengths of the marks `<|turn|>`, `<|repeat|>` and of `<|end|>` with a line end are 8, 10 and 8.
 _ESCAPED = (r"regexp_replace(replace({0}, '\', '\\'), '(<)(\||/?s>)|(\[)(/?INST\])', "

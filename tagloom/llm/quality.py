@@ -3,8 +3,10 @@
 Each document is measured in one pass over its text, without a shuffle. A sketch is a histogram
 of integer measures in buckets of 1/32 relative width; two sketches merge by adding counts, so that
 the sketch of a language is the sum of those of its sources, in any order and with the same result.
-From the sketches come the thresholds of each (language, source), or of the language or of all
-documents where fewer than `min_docs` were seen. Joining them to the measures gives the verdict.
+The thresholds of each (language, source) are quantiles of its own sketch and a few buckets of margin.
+They are drawn towards those of the language, and these towards those of all documents, as if `prior_docs`
+more documents had given them, so that a group speaks for itself the more, the larger it is. Joining the
+thresholds to the measures gives the verdict.
 
 All of it is DataFrame expressions.
 """
@@ -23,17 +25,16 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
-# Of each measure: the least distance of a threshold from the median, and whether there is a lower
-# threshold too. word_length is in thousandths of a code point, the others are per thousand.
+# Of each measure: the share of documents below the lower threshold (None: there is none) and up to the
+# upper one, in thousandths, and the margin in buckets. word_length is in thousandths of a code point,
+# the others are per thousand.
 RULES = {
-    "word_length": (4200, True),
-    "symbols": (50, False),
-    "dup_lines": (400, False),
-    "repeats": (200, False),
+    "word_length": (100, 900, 6),
+    "symbols": (None, 900, 16),
+    "dup_lines": (None, 998, 4),
+    "repeats": (None, 998, 4),
 }
-# Thresholds are this many times the distance from the median to the nearer decile away from it.
-REACH = 6
-MIN_DOCS = 200
+PRIOR_DOCS = 200
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -122,43 +123,48 @@ def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
     return sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def thresholds(sketch: DataFrame, keys: list[str], min_docs: int) -> DataFrame:
-    """One row per group of at least `min_docs` documents: `bounds`, from `low` to `high` of each
-    measure."""
+def _of_rule(place: int) -> Column:
+    return F.coalesce(*[F.when(F.col("measure") == m, F.lit(rule[place])) for m, rule in RULES.items()])
+
+
+def thresholds(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """`keys`, `measure`, `n`, `low`, `high`: what each group's own sketch says."""
     group = Window.partitionBy(*keys, "measure")
     counted = sketch.withColumns({
         "upto": F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)),
         "total": F.sum("n").over(group)})
 
-    def quantile(tenths):
-        return F.min(F.when(F.col("upto") * 10 >= F.col("total") * tenths, F.col("start")))
-
-    found = (counted.where(F.col("total") >= min_docs)
-             .withColumn("start", _bucket_start(F.col("bucket"))).groupBy(*keys, "measure")
-             .agg(quantile(1).alias("q1"), quantile(5).alias("q5"), quantile(9).alias("q9")))
-    spread = F.least(F.col("q5") - F.col("q1"), F.col("q9") - F.col("q5")) * REACH
-    least = F.coalesce(*[F.when(F.col("measure") == m, F.lit(rule[0])) for m, rule in RULES.items()])
-    reach = F.greatest(spread, least)
-    limits = found.withColumns({"low": F.col("q5") - reach, "high": F.col("q5") + reach})
-    return limits.groupBy(*keys).agg(F.struct(*[
-        F.max(F.when(F.col("measure") == m, F.struct("low", "high"))).alias(m) for m in RULES
-    ]).alias("bounds"))
+    def quantile(thousandths):
+        return F.min(F.when(F.col("upto") * 1000 >= F.col("total") * thousandths, F.col("bucket")))
+
+    found = counted.groupBy(*keys, "measure").agg(
+        F.max("total").alias("n"), quantile(F.coalesce(_of_rule(0), F.lit(0))).alias("lower"),
+        quantile(_of_rule(1)).alias("upper"))
+    return found.select(
+        *keys, "measure", "n", _bucket_start(F.greatest(F.col("lower") - _of_rule(2), F.lit(0))).alias("low"),
+        _bucket_start(F.col("upper") + _of_rule(2)).alias("high"))
 
 
-def _group_bounds(sketch: DataFrame, min_docs: int) -> DataFrame:
-    """`group_key` and `bounds` of every (language, source) that was sketched."""
-    own = thresholds(sketch, ["group_key"], min_docs)
-    language = thresholds(merged(sketch, ["language_key"]), ["language_key"], min_docs)
-    overall = thresholds(merged(sketch.withColumn("all_key", F.lit(0)), ["all_key"]), ["all_key"], 1)
-    groups = sketch.select("group_key", "language_key").distinct()
-    for bounds, key, name in ((own, "group_key", "own"), (language, "language_key", "wider")):
-        groups = groups.join(bounds.withColumnRenamed("bounds", name), key, "left")
-    return groups.select("group_key", F.coalesce("own", "wider", overall.select("bounds").scalar())
-                         .alias("bounds"))
+def _drawn(own: DataFrame, wider: DataFrame, on: list[str], prior_docs: int) -> DataFrame:
+    """Thresholds drawn towards those of the wider group, in whole numbers."""
+    both = own.join(wider.select(*on, "measure", F.col("low").alias("w_low"), F.col("high").alias("w_high")),
+                    [*on, "measure"])
+    return both.withColumns({side: F.expr(f"({side} * n + w_{side} * {prior_docs}) div (n + {prior_docs})")
+                             for side in ("low", "high")}).drop("w_low", "w_high")
+
+
+def _group_bounds(sketch: DataFrame, prior_docs: int) -> DataFrame:
+    """`group_key` and `bounds`, from `low` to `high` of each measure, of every (language, source)."""
+    overall = thresholds(merged(sketch, []), [])
+    language = _drawn(thresholds(merged(sketch, ["language_key"]), ["language_key"]), overall, [], prior_docs)
+    own = _drawn(thresholds(sketch, ["group_key", "language_key"]), language, ["language_key"], prior_docs)
+    return own.groupBy("group_key").agg(F.struct(*[
+        F.max(F.when(F.col("measure") == m, F.struct("low", "high"))).alias(m) for m in RULES
+    ]).alias("bounds"))
 
 
 def _judged(docs: DataFrame, carried: Column, text: str, lang: str, source: str,
-            min_docs: int) -> DataFrame:
+            prior_docs: int) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "quality")
     # As JSON, so that NULL is a key of its own and differs from the empty text.
     language = F.to_json(F.struct(F.col(lang).alias("l")))
@@ -169,15 +175,16 @@ def _judged(docs: DataFrame, carried: Column, text: str, lang: str, source: str,
     rows = scratch.save(_with_rates(rows), "measured")
     sketch = scratch.save(sketches(rows.where(~F.col("base_failed")), ["language_key", "group_key"]),
                           "sketch")
-    bounds = scratch.save(_group_bounds(sketch, min_docs), "bounds")
+    bounds = scratch.save(_group_bounds(sketch, prior_docs), "bounds")
     within = [(F.col(m) <= F.col("bounds")[m]["high"]) for m in RULES]
-    within += [(F.col(m) >= F.col("bounds")[m]["low"]) for m, rule in RULES.items() if rule[1]]
+    within += [(F.col(m) >= F.col("bounds")[m]["low"]) for m, rule in RULES.items()
+               if rule[0] is not None]
     kept = ~F.col("base_failed") & F.coalesce(reduce(and_, within), F.lit(False))
     return lookup_join(rows, bounds, "group_key").withColumn("kept", kept)
 
 
 def quality(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang",
-            source: str = "source", min_docs: int = MIN_DOCS) -> DataFrame:
+            source: str = "source", prior_docs: int = PRIOR_DOCS) -> DataFrame:
     """`doc_id`, the measures, `base_failed` and `kept`, one row per row.
 
     A NULL text has no words and fails. NULL languages and sources are groups like any other; a NULL
@@ -185,12 +192,12 @@ def quality(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang
     other columns are not looked at. Repeated rows count as often as they are given. A measure
     that equals its threshold is kept.
     """
-    return _judged(docs, F.col(id_column), text, lang, source, min_docs).select(
+    return _judged(docs, F.col(id_column), text, lang, source, prior_docs).select(
         F.col("carried").alias("doc_id"), *MEASURES, "base_failed", "kept")
 
 
-def kept_documents(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def kept_documents(docs: DataFrame, prior_docs: int = PRIOR_DOCS) -> DataFrame:
     """The rows that `quality` keeps, with all their columns."""
     rows = _judged(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]), "text", "lang", "source",
-                   min_docs)
+                   prior_docs)
     return rows.where("kept").select("carried.*")

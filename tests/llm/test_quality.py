@@ -2,7 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.llm.oracle import ORACLES
-from tagloom.llm.quality import _bucket, _bucket_start, kept_documents, merged, quality, sketches
+from tagloom.llm.quality import (RULES, _bucket, _bucket_start, _group_bounds, _with_rates, kept_documents,
+                                 measured, merged, quality, sketches)
+from tagloom.session import Scratch
 from tests.compare import connect, difference
 from tests.llm import nasty
 
@@ -62,3 +64,60 @@ def test_sketches_merge(spark):
     whole = sorted(map(tuple, sketches(rows.selectExpr("1 AS k", "*"), ["k"]).drop("k").collect()))
     parts = merged(sketches(rows, ["part"]).selectExpr("1 AS k", "*"), ["k"]).drop("k").collect()
     assert whole == sorted(map(tuple, parts))
+
+
+def measures(spark, rows):
+    """Rows of (lang, source, values of one measure)."""
+    return spark.createDataFrame([(g, l, w, s, d, r) for g, l, (w, s, d, r) in rows],
+                                 "group_key string, language_key string, word_length long, symbols long, "
+                                 "dup_lines long, repeats long")
+
+
+@pytest.mark.parametrize("place, name", list(enumerate(RULES)))
+def test_the_own_sketch_of_a_group_sets_its_bounds(spark, place, name):
+    """Two groups of a language that differ in one measure only: so do the bounds of that measure, and a
+    value between them passes in one group and not in the other."""
+    usual = [5000, 0, 0, 0]
+    rows = []
+    for group, value in (("a", usual[place]), ("b", usual[place] + 1500)):
+        for i in range(900):
+            values = list(usual)
+            values[place] = value + i % 40
+            rows.append((group, "l", values))
+    bounds = {r.group_key: r.bounds.asDict(True)
+              for r in _group_bounds(sketches(measures(spark, rows), ["language_key", "group_key"]), 200).collect()}
+    assert bounds["a"][name]["high"] < usual[place] + 1500 < bounds["b"][name]["high"]
+    for other in set(RULES) - {name}:
+        assert bounds["a"][other] == bounds["b"][other]
+
+
+def test_a_small_group_is_drawn_towards_its_language(spark):
+    def high(n):
+        rows = [("big", "l", (5000, 0, 0, 0))] * 1000 + [("own", "l", (5000, 400, 0, 0))] * n
+        return next(r.bounds["symbols"]["high"] for r in _group_bounds(
+            sketches(measures(spark, rows), ["language_key", "group_key"]), 200).collect() if r.group_key == "own")
+
+    found = [high(n) for n in (1, 10, 50)]
+    assert found == sorted(found) and 16 <= found[0] < found[1] < found[2] < 400 + 16 * 8
+
+
+def test_every_measure_with_spread_has_bounds_of_the_groups(spark):
+    """On the given tables: groups whose bound is not that of their language, for each measure."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    text = _with_rates(measured(docs, F.col("text"), F.col("lang"), F.concat_ws("/", "lang", "source")))
+    rows = Scratch(spark, "test").save(
+        text.withColumnsRenamed({"_carried_0": "language_key", "_carried_1": "group_key"}), "measured")
+    sketch = sketches(rows.where(~F.col("base_failed")), ["language_key", "group_key"])
+    found = [r.asDict(True) for r in _group_bounds(sketch, 200).collect()]
+    assert len(found) == 80
+    for name in ("word_length", "dup_lines", "repeats"):
+        assert len({(r["group_key"][:2], r["bounds"][name]["high"]) for r in found}) > 8
+
+
+def test_clean_documents_stay_and_junk_goes(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = quality(docs).where("NOT base_failed").join(labels, "doc_id").groupBy("quality").agg(
+        F.avg(F.col("kept").cast("int")).alias("share")).collect()
+    share = {r.quality: r.share for r in rows}
+    assert share[1] > 0.98 and share[0] < 0.05
