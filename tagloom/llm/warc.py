@@ -255,15 +255,18 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     """
     parts = _parts(spark, path)
     marked = lookup_join(pieces(spark, path), parts, ["file", "split", "row"], spread=["row"])
-    # The files were split alike in both passes, or else the sizes differ.
-    checked = F.when(F.octet_length("value") == F.col("size"), F.col("value")).otherwise(
+    # The files were split alike in both passes if every stored part met one piece of its size. If not, as
+    # may be after executors were lost in between, some part met none, as pieces are numbered within splits.
+    found = (marked.where(F.col("record") >= 0).groupBy("file", "record").agg(
+        F.array_sort(F.collect_list(F.struct("split", "row", "value"))).alias("parts"),
+        F.count(F.when(F.octet_length("value") == F.col("size"), 1)).alias("met")))
+    expected = parts.groupBy("file", "record").agg(F.count("*").alias("n"))
+    both = expected.join(found, ["file", "record"], "left")
+    text = F.array_join(F.transform("parts", lambda p: p["value"]), MAGIC)
+    checked = F.when(F.col("met") == F.col("n"), text).otherwise(
         F.raise_error(F.lit("the archive was split differently; read it again")))
-    whole = (marked.where(F.col("record") > 0)
-             .select("file", "record", "split", "row", checked.alias("value"))
-             .groupBy("file", "record")
-             .agg(F.array_sort(F.collect_list(F.struct("split", "row", "value"))).alias("parts"))
-             .select(F.array_join(F.transform("parts", lambda p: p["value"]), MAGIC).alias("value")))
-    return marked.where(F.col("record").isNull()).select("value").unionByName(whole)
+    whole = both.select("record", checked.alias("value")).where(F.col("value").isNotNull() & (F.col("record") > 0))
+    return marked.where(F.col("record").isNull()).select("value").unionByName(whole.select("value"))
 
 
 def _after(text: str) -> Column:

@@ -4,6 +4,7 @@ import os
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tagloom.llm import warc
 from tagloom.llm.oracle import ORACLES
@@ -114,3 +115,14 @@ def test_jumps_within_a_split():
     assert warc._split_exits(table)["exit"].to_pylist() == [99, 99, 99, 99, None, 99]
     chain = warc._split_chain(None, table, pa.table({"offset": pa.array([20], pa.int64())}))
     assert chain["record"].to_pylist() == [-1, 20, 20, 40, 40, 60]
+
+
+@pytest.mark.parametrize("change", ["split + 7", "row + 100"])
+def test_pieces_of_another_split_are_an_error(spark, pages, change, tmp_path, monkeypatch):
+    """As after executors were lost between the passes: stored parts that meet no piece."""
+    warc.write(pages, str(tmp_path / "w"))
+    real = warc._parts
+    column = change.split()[0]
+    monkeypatch.setattr(warc, "_parts", lambda *args: real(*args).withColumn(column, F.expr(change)))
+    with pytest.raises(Exception, match="split differently"):
+        warc.read(spark, str(tmp_path / "w")).collect()
