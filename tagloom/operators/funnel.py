@@ -117,13 +117,26 @@ def all_funnels(df: DataFrame, cost_column: str = COST_COLUMN) -> DataFrame:
     Rows with an empty dimension form groups of their own, dropped after the aggregation.
     `n` counts the rows of a group.
     """
-    names = list(dict.fromkeys(d for r in REPORTS.values() for d in r.dimensions))
+    return _finished(partial_funnels(df, cost_column))
+
+
+def _dimensions() -> list[str]:
+    return list(dict.fromkeys(d for r in REPORTS.values() for d in r.dimensions))
+
+
+def partial_funnels(df: DataFrame, cost_column: str = COST_COLUMN) -> DataFrame:
+    """The sums of all reports over a part of a log, such as a file or an hour, in stored units.
+
+    They add up: `merged_funnels` of the parts of any split is `all_funnels` of the whole log.
+    """
+    names = _dimensions()
     measures = _measures(cost_column)
     rows = df.select(*[_dimension(name) for name in names],
                      *[measure.alias(name) for name, measure in measures.items()])
     sets = [[F.col(d) for d in r.dimensions] for r in REPORTS.values()]
     sums = rows.groupingSets(sets, *names).agg(
-        F.grouping_id().alias("_set"), F.count("*").alias("n"), *_sums(measures))
+        F.grouping_id().alias("_set"), F.count("*").alias("n"),
+        *[F.sum(name).alias(name) for name in measures])
 
     report = F.lit(None).cast("string")
     complete = F.lit(False)
@@ -132,7 +145,19 @@ def all_funnels(df: DataFrame, cost_column: str = COST_COLUMN) -> DataFrame:
         code = sum(1 << i for i, name in enumerate(reversed(names)) if name not in spec.dimensions)
         report = F.when(F.col("_set") == code, key).otherwise(report)
         complete = complete | ((F.col("_set") == code) & filled(sums, *spec.dimensions))
-    return _with_rates(sums.where(complete).withColumn("report", report).drop("_set"))
+    return sums.where(complete).withColumn("report", report).drop("_set")
+
+
+def merged_funnels(partials: DataFrame) -> DataFrame:
+    """All reports out of the partial sums of the parts of a log, in the form of `all_funnels`."""
+    keys = ["report", *_dimensions()]
+    sums = [c for c in partials.columns if c not in keys]
+    return _finished(partials.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]))
+
+
+def _finished(sums: DataFrame) -> DataFrame:
+    return _with_rates(sums.withColumns({
+        name: F.col(name).cast("double") / _PRICE_UNIT for name in ("ad_consumption", "ad_cost")}))
 
 
 def report_from(funnels: DataFrame, name: str) -> DataFrame:

@@ -1,12 +1,17 @@
 """Users as rows: nested, and as text.
 
-Users are stored in long form. For readers that want rows, a user's entries are put into `parts` rows
-by their hash, a number that is the same for all users and chosen by the caller: one, as
-long as the largest user fits a row.
+Users are stored in long form. For readers that want rows, a user's entries are put into as many rows, by
+their hash, as their number asks for: one, but for users with very many entries.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tagloom.operators.skew import lookup_join
+from tagloom.session import Scratch
+
+# Entries of a user from which they are put into several rows, of about so many each.
+ROW_ENTRIES = 100_000
+
 # Separators of the text form.
 ID_SEPARATOR = ","
 TAG_SEPARATOR = "#"
@@ -15,13 +20,28 @@ WEIGHT_SEPARATOR = " -> "
 _CODES = {"\\": "\\b", ",": "\\c", "#": "\\h", "->": "\\a"}
 
 
-def user_rows(members: DataFrame, weights: DataFrame, parts: int = 1) -> DataFrame:
-    """`user_id`, `part`, `ids` (sorted) and `tags` (map of weights)."""
+def user_rows(members: DataFrame, weights: DataFrame, parts: int | None = None,
+              row_entries: int = ROW_ENTRIES) -> DataFrame:
+    """`user_id`, `part`, `ids` (sorted) and `tags` (map of weights).
+
+    Every user has the `parts` that are given, or those that its own number of entries asks for.
+    `members` and `weights` should be stored tables, as they are read twice.
+    """
     entries = (members.select("user_id", F.col("id").alias("entry"),
                               F.lit(None).cast("double").alias("weight"), F.lit(True).alias("is_id"))
                .unionByName(weights.select("user_id", F.col("tag").alias("entry"), "weight",
                                            F.lit(False).alias("is_id"))))
-    part = F.pmod(F.xxhash64("entry"), F.lit(parts)).cast("int")
+    if parts is None:
+        sizes = entries.groupBy("user_id").agg(F.count("*").alias("n"))
+        # At most one user per `row_entries` of all entries.
+        large = Scratch(members.sparkSession, "user-rows").save(
+            sizes.where(F.col("n") > row_entries)
+            .select("user_id", F.ceil(F.col("n") / row_entries).alias("_parts")), "large")
+        entries = lookup_join(entries, large, "user_id", spread=["entry"])
+        of_user = F.coalesce("_parts", F.lit(1))
+    else:
+        of_user = F.lit(parts)
+    part = F.pmod(F.xxhash64("entry"), of_user).cast("int")
     listed = entries.groupBy("user_id", part.alias("part")).agg(
         F.collect_list(F.when(F.col("is_id"), F.col("entry"))).alias("ids"),
         F.collect_list(F.when(~F.col("is_id"), F.struct("entry", "weight"))).alias("tags"))

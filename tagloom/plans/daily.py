@@ -5,21 +5,24 @@ key is repeated are refused.
 """
 
 import datetime as dt
+import functools
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from tagloom.operators.funnel import COST_COLUMN, REPORTS, all_funnels, report_from
+from tagloom.operators.funnel import COST_COLUMN, REPORTS, all_funnels, merged_funnels, partial_funnels, report_from
 from tagloom.operators.history import DECAY
 from tagloom.operators.unique import unique_by_key
 from tagloom.plans.ods import build_ods
 from tagloom.plans.tags import build_area_dictionary, build_tags
 from tagloom.schema import TABLE_KEYS
-from tagloom.session import Scratch, scratch_scope
+from tagloom.session import Scratch, names_in, scratch_scope
 from tagloom.sources.tables import DatedTables
 
 MEMBERS = "user_id string, id string"
 WEIGHTS = "user_id string, tag string, weight double"
+# The folder of partial reports, by part.
+PARTS = "report_parts"
 # Of log rows with the same session, the latest stays.
 ODS_ORDER = ("requestdate",)
 
@@ -36,15 +39,33 @@ def run_etl(tables: DatedTables, run_date: dt.date, log: DataFrame, regions: Dat
 def run_reports(tables: DatedTables, run_date: dt.date, cost_column: str = COST_COLUMN) -> None:
     """All report tables out of one pass over the day's log."""
     with scratch_scope(tables.spark):
-        ods = tables.read("ods", run_date)
-        funnels = Scratch(tables.spark, "reports").save(
-            all_funnels(ods, cost_column=cost_column), "funnels")
-        for name, report in REPORTS.items():
-            tables.write(report_from(funnels, name), report.table, run_date, TABLE_KEYS[report.table])
-        counts = (funnels.where("report = 'region'")
-                  .selectExpr("province", "city", "n AS count"))
-        tables.write(counts, "province_city_analysis", run_date,
-                     TABLE_KEYS["province_city_analysis"])
+        _write_reports(tables, run_date, all_funnels(tables.read("ods", run_date), cost_column=cost_column))
+
+
+def _write_reports(tables: DatedTables, run_date: dt.date, funnels: DataFrame) -> None:
+    funnels = Scratch(tables.spark, "reports").save(funnels, "funnels")
+    for name, report in REPORTS.items():
+        tables.write(report_from(funnels, name), report.table, run_date, TABLE_KEYS[report.table])
+    counts = funnels.where("report = 'region'").selectExpr("province", "city", "n AS count")
+    tables.write(counts, "province_city_analysis", run_date, TABLE_KEYS["province_city_analysis"])
+
+
+def run_report_part(tables: DatedTables, run_date: dt.date, part: str, rows: DataFrame,
+                    cost_column: str = COST_COLUMN) -> None:
+    """The partial sums of a part of a day's enriched log, such as a file that came late. A part that is run
+    again replaces itself."""
+    tables.write(partial_funnels(rows, cost_column), f"{PARTS}/{part}", run_date)
+
+
+def run_reports_of_parts(tables: DatedTables, run_date: dt.date) -> None:
+    """All report tables out of the stored parts of the day, without a look at the log."""
+    with scratch_scope(tables.spark):
+        parts = [tables.read(f"{PARTS}/{part}", run_date) for part in names_in(tables.spark, f"{tables.base}/{PARTS}")
+                 if tables.exists(f"{PARTS}/{part}", run_date)]
+        if not parts:
+            raise ValueError(f"no part of {run_date} is there")
+        partials = functools.reduce(DataFrame.unionByName, parts)
+        _write_reports(tables, run_date, merged_funnels(partials))
 
 
 def run_area_dictionary(tables: DatedTables, run_date: dt.date, responses: DataFrame) -> None:

@@ -151,6 +151,20 @@ def test_user_rows_keep_everything(spark, parts):
     assert sorted(map(tuple, back_weights.collect())) == sorted(map(tuple, weights.collect()))
 
 
+def test_large_users_are_written_in_bounded_rows(spark):
+    """A user with a third of all entries; the others keep one row."""
+    members = members_frame(spark, [("big", f"i{i}") for i in range(150)] + [(f"u{i}", f"u{i}") for i in range(60)])
+    weights = weights_frame(spark, [("big", f"t{i}", 1.0) for i in range(50)] + [(f"u{i}", "t", 1.0) for i in range(200)])
+    scratch = Scratch(spark, "large")
+    members, weights = scratch.save(members, "members"), scratch.save(weights, "weights")
+    rows = user_rows(members, weights, row_entries=20).collect()
+    big = [len(r.ids) + len(r.tags) for r in rows if r.user_id == "big"]
+    assert sum(big) == 200 and len(big) == 10 and max(big) < 50
+    assert all(r.part == 0 for r in rows if r.user_id != "big") and len(rows) == 10 + 200
+    back_members, back_weights = members_and_weights(from_text(to_text(user_rows(members, weights, row_entries=20))))
+    assert _sorted(back_members) == _sorted(members) and _sorted(back_weights) == _sorted(weights)
+
+
 def test_text_without_part(spark):
     text = spark.createDataFrame([("u", "u,v", "a -> 1.5#b -> 2.0")], "user_id string, all_user_id string, tags string")
     members, weights = members_and_weights(from_text(text))

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tagloom.__main__ import main
 from tagloom.operators.funnel import REPORTS, ad_funnel
-from tagloom.plans.daily import run_area_dictionary, run_cooling_tags, run_etl, run_reports, run_tags
+from tagloom.plans.daily import (run_area_dictionary, run_cooling_tags, run_etl, run_report_part,
+                                run_reports, run_reports_of_parts, run_tags)
 from tagloom.schema import ODS_COLUMNS
 from tagloom.session import shared_folder
 from tagloom.sources.dictionaries import device_codes
@@ -93,6 +94,27 @@ def test_a_missed_day_is_an_error(tables, spark):
     assert not tables.exists("tag", day)
 
 
+def test_a_late_part_adds_its_own(tables, spark):
+    """Reports of parts are those of the whole day, also after a part came late or was run again."""
+    day = DAYS[1]
+    run_reports(tables, day)
+    names = [r.table for r in REPORTS.values()] + ["province_city_analysis"]
+    whole = {name: sorted(map(str, tables.read(name, day).collect())) for name in names}
+    rows = tables.read("ods", day).withColumn("n", F.xxhash64("sessionid") % 3)
+    with pytest.raises(ValueError, match="no part"):
+        run_reports_of_parts(tables, day)
+    for part in (0, 1, -1):
+        run_report_part(tables, day, f"file{part}", rows.where(F.col("n") == part))
+    run_reports_of_parts(tables, day)
+    early = tables.read("ad_region_analysis", day).agg(F.sum("ad_request_num")).first()[0]
+    for part in (2, -2, 1):
+        run_report_part(tables, day, f"file{part}", rows.where(F.col("n") == part))
+    run_reports_of_parts(tables, day)
+    assert early < tables.read("ad_region_analysis", day).agg(F.sum("ad_request_num")).first()[0]
+    assert whole == {name: sorted(map(str, tables.read(name, day).select(
+        *tables.read(name, day).columns).collect())) for name in names}
+
+
 def test_cooling_bears_missed_days(tables, spark):
     names, codes = app_names(spark), device_codes(spark)
     later = DAYS[1] + dt.timedelta(days=5)

@@ -5,11 +5,15 @@ import datetime as dt
 import itertools
 import os
 import random
+import re
+import uuid
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tagloom.functions.ip import ip_to_long, long_to_ip
+from tagloom.operators.bucketed import BucketedTable
 from tagloom.operators.funnel import REPORTS, ad_funnel, all_funnels, client_label, report_from
 from tagloom.operators.iprange import _carried, locate, with_ranges
 from tagloom.operators.keyed import (KeyedTable, delete_rows, insert_rows, update_rows, upsert_rows)
@@ -276,6 +280,84 @@ def test_keyed_frames(spark):
     assert {tuple(r) for r in upserted.collect()} == {(1, "a", 1), (2, "z", 0), (4, "d", 4)}
 
 
+def _layout(spark, *frames):
+    tables = [BucketedTable(spark, f"t{uuid.uuid4().hex}", ["id"], 4) for _ in frames]
+    for one, frame in zip(tables, frames):
+        one.write(frame)
+    return tables
+
+
+def test_bucketed_tables_are_changed_where_they_lie(spark):
+    old = spark.createDataFrame([(i, f"o{i}", i if i % 3 else None) for i in range(40)], KEYED)
+    new = spark.createDataFrame([(i, None if i % 2 else f"n{i}", -i) for i in range(30, 50)], KEYED)
+    table, patch = _layout(spark, old, new)
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        plan = table.join(patch.__class__(spark, patch.name, ["id"], 4))._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        plan = table._matched(patch, "full_outer", F.coalesce("_new_row", "_old_row"))
+        assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    olds, news = ({r.id: tuple(r) for r in df.collect()} for df in (old, new))
+    table.update(patch)
+    assert {r.id: tuple(r) for r in table.read().collect()} == {i: news.get(i, olds[i]) for i in olds}
+    table.upsert(patch)
+    assert {r.id: tuple(r) for r in table.read().collect()} == olds | news
+    table.delete(patch)
+    assert {r.id: tuple(r) for r in table.read().collect()} == {i: r for i, r in olds.items() if i not in news}
+    assert len(table.versions()) == 2 and table.version() in table.versions()
+    with pytest.raises(ValueError, match="differently"):
+        table.join(BucketedTable(spark, patch.name, ["id"], 5))
+    table.drop()
+    patch.drop()
+    assert not table.exists() and table.versions() == []
+
+
+def test_a_lookup_reads_its_buckets_only(spark):
+    table, = _layout(spark, spark.range(1000).toDF("id"))
+    found = table.lookup(17, 512)
+    assert sorted(r.id for r in found.collect()) == [17, 512]
+    setting = "spark.sql.sources.bucketing.autoBucketedScan.enabled"  # else the plan doesn't tell
+    spark.conf.set(setting, "false")
+    try:
+        plan = table.lookup(17, 512)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(setting)
+    assert re.search(r"SelectedBucketsCount: [12] out of 4", plan) and "PushedFilters: [In(id" in plan
+    folder = spark.sql(f"DESCRIBE FORMATTED {table.version()}").where("col_name = 'Location'").first()[1]
+    files = [f"{folder.removeprefix('file:')}/{f}" for f in os.listdir(folder.removeprefix("file:")) if f.endswith("parquet")]
+    assert len(files) == 4
+    for name in files:  # sorted, with the least and greatest value of each row group
+        ids = pq.read_table(name).column("id").to_pylist()
+        statistics = pq.ParquetFile(name).metadata.row_group(0).column(0).statistics
+        assert ids == sorted(ids) and (statistics.min, statistics.max) == (ids[0], ids[-1])
+    table.drop()
+
+
+def test_a_killed_change_leaves_the_table_before_it(spark, monkeypatch):
+    table, = _layout(spark, spark.range(10).toDF("id"))
+    for step in ("_publish", "version"):
+        with monkeypatch.context() as patch:
+            calls = itertools.count()
+
+            def killed(self, *args, real=getattr(BucketedTable, step), name=step):
+                if name == "_publish" or next(calls) > 0:
+                    raise KeyboardInterrupt
+                return real(self, *args)
+            patch.setattr(BucketedTable, step, killed)
+            with pytest.raises(KeyboardInterrupt):
+                table.write(spark.range(5).toDF("id"))
+                table.version()
+        assert table.read().count() in (10, 5)
+    with pytest.raises(ValueError, match="not unique"):
+        table.write(spark.createDataFrame([(1,), (1,)], "id bigint"))
+    table.write(spark.range(7).toDF("id"))
+    assert table.read().count() == 7 and len(table.versions()) == 2
+    table.drop()
+
+
 def test_dated_tables(spark, tmp_path):
     tables, day = DatedTables(spark, str(tmp_path)), dt.date(2024, 1, 2)
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")

@@ -141,6 +141,8 @@ _suite = [f"SELECT '{name}' AS report, * FROM (" + _funnel(name, extra="count(*)
           for name in _REPORTS]
 _oracle("report_suite", " UNION ALL BY NAME ".join(f"({part})" for part in _suite), _ADLOG)
 
+ORACLES["report_partials"] = ORACLES["report_suite"]
+
 # -- sources and tables -------------------------------------------------------------
 
 _oracle("read_json_log", f"SELECT {', '.join(AD_LOG.names)} FROM adlog", _ADLOG)
@@ -434,6 +436,9 @@ _oracle("keyed_delete", "SELECT * FROM accounts WHERE c_custkey NOT IN (SELECT c
         *_KEYED)
 _oracle("keyed_upsert", """SELECT * FROM accounts WHERE c_custkey NOT IN (SELECT c_custkey FROM patch)
 UNION ALL SELECT * FROM patch""", *_KEYED)
+_oracle("bucketed_join", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+for _name in ("upsert", "delete"):
+    ORACLES[f"bucketed_{_name}"] = ORACLES[f"keyed_{_name}"]
 _oracle("keyed_table_insert", """SELECT *, 0 AS conflict FROM accounts
 UNION ALL SELECT *, 0 FROM patch WHERE c_custkey NOT IN (SELECT c_custkey FROM accounts)
 UNION ALL SELECT *, 1 FROM patch WHERE c_custkey IN (SELECT c_custkey FROM accounts)

@@ -10,8 +10,10 @@ from tagloom.functions.dates import previous_suffix, suffix
 from tagloom.functions.geohash import geohash
 from tagloom.functions.ip import city_of, ip_to_long, is_private, long_to_ip, province_of
 from tagloom.operators.areas import distinct_coordinates, with_areas
+from tagloom.operators.bucketed import BucketedTable
 from tagloom.operators.components import connected_components
-from tagloom.operators.funnel import REPORTS, ad_funnel, all_funnels, province_city_counts
+from tagloom.operators.funnel import (REPORTS, ad_funnel, all_funnels, merged_funnels, partial_funnels,
+                                      province_city_counts)
 from tagloom.operators.history import cooled, decayed, merge_cooled
 from tagloom.operators.identity import (extend_members, identified_rows, identity_edges, members_of,
                                         with_user)
@@ -92,6 +94,17 @@ def report_suite(spark, sf_dir):
     return all_funnels(adlog(spark, sf_dir, *dimensions, *FUNNEL_COLUMNS))
 
 
+@query
+def report_partials(spark, sf_dir):
+    """All reports out of the stored sums of three parts of the log; a late one adds its own."""
+    dimensions = dict.fromkeys(d for r in REPORTS.values() for d in r.dimensions)
+    log = adlog(spark, sf_dir, "ts", *dimensions, *FUNNEL_COLUMNS)
+    scratch = Scratch(spark, "partials")
+    parts = [scratch.save(partial_funnels(log.where(when)), f"part_{n}") for n, when in enumerate(
+        ("hour(ts) < 8", "hour(ts) >= 8 AND minute(ts) < 50", "hour(ts) >= 8 AND minute(ts) >= 50"))]
+    return merged_funnels(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
 # -- sources and tables -------------------------------------------------------------
 
 @query
@@ -682,6 +695,14 @@ def _account_table(spark, sf_dir) -> KeyedTable:
     return accounts
 
 
+def _leaving(frame: DataFrame, *tables) -> DataFrame:
+    """The rows, stored apart; the tables that they come from are dropped."""
+    rows = Scratch(frame.sparkSession, "rows").save(frame, "rows")
+    for one in tables:
+        one.drop()
+    return rows
+
+
 @query
 def keyed_table_insert(spark, sf_dir):
     """The stored rows, and those that were not added; the patch has its new keys twice."""
@@ -689,29 +710,29 @@ def keyed_table_insert(spark, sf_dir):
     twice = patch.where("c_custkey > 1000000").withColumn("c_acctbal", F.lit(-1000000).cast(
         patch.schema["c_acctbal"].dataType))
     conflicts = accounts.insert(patch.unionByName(twice))
-    return accounts.read().withColumn("conflict", F.lit(0)).unionByName(
-        conflicts.withColumn("conflict", F.lit(1)))
+    return _leaving(accounts.read().withColumn("conflict", F.lit(0)).unionByName(
+        conflicts.withColumn("conflict", F.lit(1))), accounts)
 
 
 @query
 def keyed_table_update(spark, sf_dir):
     accounts = _account_table(spark, sf_dir)
     accounts.update(_patch(spark, sf_dir).drop("c_acctbal"))
-    return accounts.read()
+    return _leaving(accounts.read(), accounts)
 
 
 @query
 def keyed_table_delete(spark, sf_dir):
     accounts = _account_table(spark, sf_dir)
     accounts.delete(_patch(spark, sf_dir).select(*_KEY))
-    return accounts.read()
+    return _leaving(accounts.read(), accounts)
 
 
 @query
 def keyed_table_upsert(spark, sf_dir):
     accounts = _account_table(spark, sf_dir)
     accounts.upsert(_patch(spark, sf_dir))
-    return accounts.read()
+    return _leaving(accounts.read(), accounts)
 
 
 @query
@@ -723,7 +744,36 @@ def keyed_insert_select(spark, sf_dir):
     spark.sql(f"""INSERT INTO {rich.name} (c_custkey, c_name, c_acctbal)
                   SELECT c_custkey + 1000000, c_name, c_acctbal FROM {accounts.name} WHERE c_acctbal > 9000""")
     rich.update(accounts.read().where("c_acctbal > 3000").select("c_custkey", F.lit("rich").alias("c_name")))
-    return rich.read()
+    return _leaving(rich.read(), accounts, rich)
+
+
+def _bucketed(spark, rows: DataFrame) -> BucketedTable:
+    stored = BucketedTable(spark, f"bucketed_{uuid.uuid4().hex}", _KEY,
+                           int(spark.conf.get("spark.sql.shuffle.partitions")))
+    stored.write(rows)
+    return stored
+
+
+@query
+def bucketed_join(spark, sf_dir):
+    """Two stored tables by their key, neither of which is moved."""
+    accounts = _bucketed(spark, _accounts(spark, sf_dir))
+    segments = _bucketed(spark, table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"))
+    return _leaving(accounts.join(segments), accounts, segments)
+
+
+@query
+def bucketed_upsert(spark, sf_dir):
+    accounts, patch = (_bucketed(spark, rows(spark, sf_dir)) for rows in (_accounts, _patch))
+    accounts.upsert(patch)
+    return _leaving(accounts.read(), accounts, patch)
+
+
+@query
+def bucketed_delete(spark, sf_dir):
+    accounts, patch = (_bucketed(spark, rows(spark, sf_dir)) for rows in (_accounts, _patch))
+    accounts.delete(patch)
+    return _leaving(accounts.read(), accounts, patch)
 
 
 @query
