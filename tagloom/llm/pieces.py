@@ -10,7 +10,9 @@ of a text consists of best ones of its words. Words are remembered, within a bou
 other pieces the whole text is one word.
 """
 
+import math
 import re
+from array import array
 
 import ahocorasick
 import numpy as np
@@ -22,7 +24,7 @@ from tagloom.llm.common import in_pieces
 
 BORDER = "▁"
 UNKNOWN_PENALTY = 10.0
-_REMEMBERED_WORDS = 100_000
+_REMEMBERED_WORDS = 120_000
 _WORD = re.compile(f"{BORDER}+[^{BORDER}]*|[^{BORDER}]+")
 
 
@@ -51,11 +53,31 @@ class Pieces:
                       else names[i].replace(BORDER, " ").encode() for i in ids]
         self.plain_prefix = model.normalize("a b\tc\n") == f"{BORDER}a{BORDER}b\tc\n"
         self.prefixed = model.normalize("a").startswith(BORDER)
+        self.singles = frozenset(names[i] for i in ids if i not in special and len(names[i]) == 1)
+        self.sizes = [len(name) for name in names]
         self.remembered = _Words(self)
 
     def segment(self, text: str) -> list[int]:
         """The ids of a best segmentation of a normalized text; of equals, that with the longest
         last piece."""
+        return self._segment_known(text) if self.singles.issuperset(text) else self._segment_any(text)
+
+    def _segment_known(self, text: str) -> list[int]:
+        """Of a text whose characters are pieces, so that none is unknown."""
+        best, back = [0.0] + [-math.inf] * len(text), [0] * (len(text) + 1)
+        for end, (size, score, piece) in self.automaton.iter(text) if text else ():
+            end += 1
+            score += best[end - size]
+            if score > best[end]:
+                best[end], back[end] = score, piece
+        ids, end, sizes = [], len(text), self.sizes
+        while end:
+            ids.append(back[end])
+            end -= sizes[back[end]]
+        ids.reverse()
+        return ids
+
+    def _segment_any(self, text: str) -> list[int]:
         best, back = [0.0] + [None] * len(text), [None] * (len(text) + 1)
         matches = self.automaton.iter(text) if len(self.automaton) else iter(())
         match = next(matches, None)
@@ -102,11 +124,12 @@ class Pieces:
 
 
 class _Words(dict):
-    """Packed ids by word, without the border before it; cleared when full."""
+    """Packed ids by word, without the border before it. When full, only the words that are seen again
+    are taken over from the generation before."""
 
     def __init__(self, pieces: Pieces):
         super().__init__()
-        self.pieces = pieces
+        self.pieces, self.before = pieces, {}
 
     def __missing__(self, word: str) -> bytes:
         return self._add(word, BORDER + word)
@@ -119,10 +142,13 @@ class _Words(dict):
         return self.get(key) or self._add(key, marked)
 
     def _add(self, key, marked: str) -> bytes:
-        if len(self) >= _REMEMBERED_WORDS:
-            self.clear()
-        packed = np.array(self.pieces.segment(marked), np.int32).tobytes()
+        packed = self.before.get(key)
+        if packed is None:
+            packed = array("i", self.pieces.segment(marked)).tobytes()
         if len(marked) <= 100:
+            if len(self) >= _REMEMBERED_WORDS:
+                self.before = dict(self)
+                self.clear()
             self[key] = packed
         return packed
 
