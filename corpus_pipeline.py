@@ -16,27 +16,33 @@ from tagloom.session import Scratch, scratch_scope
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep. A NULL text has no words and goes; NULL languages and sources are
+    groups like any other; a measure that equals its bound is kept; repeated rows are judged alike and all stay or go."""
     return kept_documents(docs)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told with a score of at least one half."""
+    """Documents whose language is told with a score of at least one half. A NULL text, and one without a letter,
+    has no language and goes; of equal sums the first language by name counts; repeated rows are judged alike."""
     return in_a_language(docs, min_score=0.5)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose fingerprints of 4-word shingles differ in 4 bits or fewer."""
+    """One document of each group whose fingerprints of 4-word shingles differ in 4 bits or fewer: that of the
+    smallest id, rows without an id last, and of equal ids that of the smallest fingerprint. Texts that are NULL or
+    have no word are one group. Of repeated rows one stays."""
     return one_of_each(docs, shingle=4, max_bits=4)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no benchmark item aligns with."""
+    """Documents that no benchmark item with a rare run of words aligns with. A NULL or empty text aligns with
+    nothing and stays; a score that equals the bound goes; repeated rows stay or go together."""
     return clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The piece ids of each document that is left."""
+    """The piece ids of each document that is left, one row per row. A NULL text is empty and has none; of equally
+    good segmentations that with the longest last piece is taken."""
     return encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
