@@ -95,7 +95,9 @@ class KeyedTable:
         if not self.exists():
             parts = self.parts
             (self.spark.createDataFrame([], schema).withColumn(_PART, F.lit(0))
-             .write.format("parquet").partitionBy(_PART).saveAsTable(self.name))
+             .write.format("parquet").partitionBy(_PART)
+             # An overwrite replaces the folders that it has rows for, and no others.
+             .option("partitionOverwriteMode", "dynamic").saveAsTable(self.name))
             self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('parts' = '{parts}')")
 
     def drop(self) -> None:
@@ -113,14 +115,7 @@ class KeyedTable:
     def _write(self, placed: DataFrame, mode: str) -> None:
         # One file per folder and task of the shuffle, not one per folder and task before it.
         placed = placed.repartition(_PART, *self.keys) if mode == "append" else placed.repartition(_PART)
-        setting = "spark.sql.sources.partitionOverwriteMode"
-        kept = self.spark.conf.get(setting)
-        self.spark.conf.set(setting, "dynamic")
-        try:
-            (placed.select(*self.spark.table(self.name).columns).write.mode(mode)
-             .insertInto(self.name))
-        finally:
-            self.spark.conf.set(setting, kept)
+        placed.select(*self.spark.table(self.name).columns).write.mode(mode).insertInto(self.name)
 
     def _touched(self, rows: DataFrame) -> DataFrame:
         """The stored rows of the folders that the keys of `rows` lie in. Rows that SQL inserted have no
