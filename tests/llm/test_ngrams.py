@@ -5,7 +5,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tagloom.llm.ngrams import DISCOUNT, END, Grams, automaton, score
+from tagloom.llm.ngrams import (DISCOUNT, END, Automaton, Grams, mixed, packed, packed_keys, score, unpacked,
+                                unpacked_keys)
 from tests.llm import nasty
 
 
@@ -92,13 +93,72 @@ def test_probabilities_sum_to_one():
         assert total == pytest.approx(1)
 
 
-def test_states_and_failure_arcs():
-    grams = Grams([b"a", b"b"])
-    text = [b"a", b"b", b"a", b"b", b"q"]
-    assert grams.continued(text).tolist() == [1, 2, 1]
-    model = automaton([b"a", b"b"], [2, 2], [{1: 2}], [np.arange(2), np.array([1])], 6, 3, 0.5)
-    assert len(model.arcs) == 2 and list(model.arcs[1]) == [b"b"]
-    assert model.root[b"a"][1] == 1 and model.root[b"b"][1] == 0 and model.failure_state == [0, 0]
+def test_packed_arrays():
+    rng = np.random.default_rng(2)
+    for top in (0, 200, 1 << 16, 1 << 40):
+        values = rng.integers(0, top + 1, 500)
+        assert unpacked(packed(values)).tolist() == values.tolist()
+    keys = np.sort(rng.integers(0, 1 << 64, 300, dtype=np.uint64))
+    assert unpacked_keys(packed_keys(keys)).tolist() == keys.tolist()
+    for empty in (packed(np.zeros(0, np.int64)), packed_keys(np.zeros(0, np.uint64))):
+        assert len(unpacked(empty)) == len(unpacked_keys(empty)) == 0
+
+
+def test_n_grams_of_a_block():
+    rng = np.random.default_rng(3)
+    words, sizes = np.sort(rng.integers(0, 1 << 64, 9, dtype=np.uint64)), np.array([1, 7, 2, 30])
+    ids = rng.integers(0, 9, sizes.sum())
+    grams = Grams(words, ids, sizes, 3)
+    texts = np.split(ids, np.cumsum(sizes)[:-1])
+    for order in (2, 3):
+        wanted = {tuple(t[i:i + order].tolist()) for t in texts for i in range(len(t) - order + 1)}
+        keys = {}
+        for gram in wanted:
+            key = words[[gram[0]]]
+            for word in gram[1:]:
+                key = mixed(key, words[[word]])
+            keys[int(key[0])] = gram
+        assert grams.keys[order - 1].tolist() == sorted(keys)
+        shorter = grams.suffix(order)
+        for n, key in enumerate(sorted(keys)):
+            assert grams.last[order - 1][n] == keys[key][-1]
+            if order == 3:
+                first, suffix = (int(grams.keys[1][at[n]]) for at in (grams.first[2], shorter))
+                pairs = {int(mixed(words[[a]], words[[b]])[0]): (a, b) for a in range(9) for b in range(9)}
+                assert (pairs[first], pairs[suffix]) == (keys[key][:2], keys[key][1:])
+
+
+def test_traversal_takes_arcs_and_failure_arcs():
+    """Words a, b, c; the state after a has an arc for b, to a state that has one for c."""
+    model = Automaton(root=np.array([-1.0, -2.0, -4.0]), root_next=np.array([1, 0, 0]),
+                      codes=np.array([2 * 3 + 2, 1 * 3 + 1]), arcs=np.array([-0.25, -0.5]),
+                      following=np.array([0, 2]), weights=np.array([0.0, -0.125, -0.0625]),
+                      failures=np.array([0, 0, 0]))
+    texts = {(0, 1, 2): -1 - 0.5 - 0.25, (0, 2): -1 - 0.125 - 4, (0, 1, 1): -1 - 0.5 - 0.0625 - 2,
+             (0, 0, 1): -1 - 0.125 - 1 - 0.5, (2,): -4.0}
+    words = np.concatenate([np.array(t) for t in texts])
+    sizes = np.array([len(t) for t in texts])
+    assert model.score(words, sizes).tolist() == list(texts.values())
+
+
+def test_lanes_give_the_same(spark):
+    rng = np.random.default_rng(4)
+    root_next = np.array([1, 2, 0, 0])
+    codes = np.array([1 * 4 + 1, 2 * 4 + 0, 3 * 4 + 2, 3 * 4 + 0])
+    model = Automaton(rng.random(4), root_next, codes, rng.random(4), np.array([3, 1, 0, 1]),
+                      np.append(0.0, rng.random(3)), np.array([0, 0, 0, 2]))
+    sizes = np.array([1, 50, 3, 17])
+    words = rng.integers(0, 4, sizes.sum())
+    assert model.score(words, sizes) == pytest.approx(model.score(words, sizes, lane=5))
+
+
+@pytest.mark.parametrize("block_bytes", [300, 4000])
+def test_small_blocks_give_the_same(spark, corpus, block_bytes):
+    """Every n-gram has one owner among the blocks that have it."""
+    docs = corpus.where("length(coalesce(text, '')) < 5000").repartition(3)
+    whole, parts = (sorted((str(r.doc_id), r.n_known, round(r.score, 6)) for r in score(docs, block_bytes=size).collect())
+                    for size in (1 << 20, block_bytes))
+    assert whole == parts
 
 
 def test_better_than_base_on_held_out_texts(spark):

@@ -70,11 +70,18 @@ def test_split_names_are_merged_across_shards(spark, monkeypatch):
     assert found(df, 40) == brute(rows, 40)
 
 
-def test_long_texts_in_chunks(spark, monkeypatch):
+def test_long_texts_in_chunks(monkeypatch):
+    """The same name for every window, and runs of bounded size."""
+    def by_window():
+        found = runs(text, 20)
+        assert found[1].sum() == len(text) - 19
+        return [int(name) for _, count, name, _ in zip(*found) for _ in range(count)], found[1].max()
+
+    text = " ".join(t or "" for _, t in passages(3)).encode()
+    names, longest = by_window()
     monkeypatch.setattr(suffixes, "_CHUNK_BYTES", 50)
     monkeypatch.setattr(suffixes, "_RUN_WINDOWS", 16)
-    rows = passages(3)
-    assert found(spark.createDataFrame(rows, "doc_id long, text string"), 20) == brute(rows, 20)
+    assert by_window() == (names, 16) and longest > 16
 
 
 def test_nasty_rows(spark):
