@@ -37,7 +37,8 @@ def build_tags(ods: DataFrame, areas: DataFrame, app_names: DataFrame, codes: Da
     """Members (user_id, id) and weights (user_id, tag, weight) of today's users.
 
     `history` are yesterday's members and weights, which are extended by today's. With `cooling_day`,
-    the day of the log, weights have a `day` too, and the history may be that of any earlier day. The area dictionary should be a stored table.
+    the day of the log, weights have a `day` too, and the history may be that of any earlier day.
+    The area dictionary should be a stored table.
     Identifiers and tags are read from the log separately, each with only the columns it needs.
     `qualify_ids` keeps equal texts of two kinds of identifiers apart.
     """
