@@ -137,28 +137,31 @@ class Grams:
     def _longer(self, kept: np.ndarray) -> None:
         """N-grams of one word more, of which both parts are `kept`."""
         shorter, words = self.at[-1], self.at[0]
-        before = np.append(-1, shorter[:-1])
+        before = np.empty_like(shorter)
+        before[1:] = shorter[:-1]
         before[self.begin] = -1
         usable = (before >= 0) & (shorter >= 0)
         usable[usable] = kept[before[usable]] & kept[shorter[usable]]
         width = len(self.keys[0])
-        codes, inverse = np.unique(before[usable] * width + words[usable], return_inverse=True)
-        first, last = codes // width, codes % width
+        codes = before[usable].astype(np.int64) * width + words[usable]
+        del before
+        codes, inverse = np.unique(codes, return_inverse=True)
+        first, last = codes // width, (codes % width).astype(np.int32)
         keys = mixed(self.keys[-1][first], self.keys[0][last])
         by_key = np.argsort(keys)
-        place = np.empty(len(keys), np.int64)
-        place[by_key] = np.arange(len(keys))
-        at = np.full(len(words), -1, np.int64)
+        place = np.empty(len(keys), np.int32)
+        place[by_key] = np.arange(len(keys), dtype=np.int32)
+        at = np.full(len(words), -1, np.int32)
         at[usable] = place[inverse]
         self.keys.append(keys[by_key])
-        self.first.append(first[by_key])
+        self.first.append(first[by_key].astype(np.int32))
         self.last.append(last[by_key])
         self.at.append(at)
 
     def suffix(self, order: int) -> np.ndarray:
         """For each n-gram the number of the one without its first word."""
         ends = self.at[order - 1]
-        found = np.full(len(self.keys[order - 1]), -1, np.int64)
+        found = np.full(len(self.keys[order - 1]), -1, np.int32)
         there = ends >= 0
         found[ends[there]] = self.at[order - 2][there]
         return found
@@ -168,7 +171,7 @@ def _opened(docs: pa.Table, order: int) -> tuple[Grams, np.ndarray]:
     """The n-grams of a block up to `order`, and which of its places are learned from."""
     row = {name: docs.column(name)[0].as_py() for name in ("held", "sizes", "words", "ids")}
     sizes = unpacked(row["sizes"]).astype(np.int64)
-    grams = Grams(unpacked_keys(row["words"]), unpacked(row["ids"]).astype(np.int64), sizes, order)
+    grams = Grams(unpacked_keys(row["words"]), unpacked(row["ids"]).astype(np.int32), sizes, order)
     return grams, np.repeat(~np.array(row["held"], bool), sizes)
 
 

@@ -325,7 +325,8 @@ class _Texts:
         """`shard`, `piece`, `split`, `keys`, `starts` of the runs whose name comes from several places."""
         spark, length, found = self.spark, self.length, self._runs()
         names = self.scratch.save(
-            found.groupBy("name").agg(F.count("*").alias("times"), F.max("again").alias("again"), F.sum("n").alias("windows"),
+            found.groupBy("name").agg(F.count("*").alias("times"), F.max("again").alias("again"),
+                                      F.sum("n").alias("windows"),
                                       F.sum(F.col("n") + (length - 1)).alias("bytes"))
             .where("times > 1 OR again").select("name", "bytes", "windows"), "names")
         total = names.agg(F.sum("bytes")).first()[0] or 0
