@@ -104,13 +104,14 @@ def sample(rows: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE,
     # One row per language.
     drawn = (usable.join(F.broadcast(sizes), "lang").withColumn("place", place)
              .where(F.pmod(F.col("place"), F.lit(1 << 20)) < rate * (1 << 20)))
-    order = Window.partitionBy("lang").orderBy("place", "text")
-    chosen = drawn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= F.col("wanted"))
     long = F.length("text") > max_chars
     begin = (F.pmod(F.col("place"), F.length("text") - max_chars + 1) + 1).cast("int")
-    # Without the words that the cut goes through.
+    # Without the words that the cut goes through. Long texts are cut before they are moved.
     part = F.regexp_replace(F.substring("text", begin, F.lit(max_chars)), r"^[\p{L}\p{M}]+|[\p{L}\p{M}]+$", "")
-    return chosen.select("lang", F.when(long, part).otherwise(F.col("text")).alias("text"))
+    parts = drawn.select("lang", "place", "wanted", F.when(long, part).otherwise(F.col("text")).alias("text"))
+    order = Window.partitionBy("lang").orderBy("place", "text")
+    return (parts.withColumn("rank", F.row_number().over(order))
+            .where(F.col("rank") <= F.col("wanted")).select("lang", "text"))
 
 
 def fit(rows: DataFrame, max_gram: int = MAX_GRAM, **bounds: int) -> Model:
