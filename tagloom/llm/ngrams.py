@@ -37,7 +37,7 @@ END = b"\n"  # no word holds it
 MIN_COUNT = 2
 ORDER = 3
 DISCOUNT = 0.5
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 10 << 20
 # Entries that a range of hashes should have.
 RANGE_ENTRIES = 1 << 21
 # Words of a text that are scored one after the other; longer texts are cut into lanes.
