@@ -101,15 +101,15 @@ def _by_start(a: Column, b: Column) -> Column:
 
 
 def _looked_up(rows: DataFrame, indexes: dict[str, tuple[DataFrame, int, int]]) -> DataFrame:
-    columns = rows.columns
-    rows = rows.withColumn("_position", ip_to_long(F.col("ip")))
+    # A row goes through the joins as one value, so that its columns are not copied one by one each time.
+    rows = rows.select(F.struct(*rows.columns).alias("_row"), ip_to_long(F.col("ip")).alias("_position"))
     for name, (index, bits, longest) in indexes.items():
         rows = (rows.withColumn("block", F.shiftright("_position", _ADDRESS_BITS - bits))
                 .join(F.broadcast(index), "block", "left"))
         record = F.get("records", _last_not_above("starts", F.col("_position"), longest))
         rows = rows.withColumn(name, F.when(F.col("_position") <= record["end_ip"], record)
                                ).drop("block", "starts", "records")
-    return rows.select(*columns, *indexes)
+    return rows.select("_row.*", *indexes)
 
 
 def _last_not_above(starts: str, position: Column, longest: int) -> Column:

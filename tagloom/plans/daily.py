@@ -16,7 +16,7 @@ from tagloom.operators.unique import unique_by_key
 from tagloom.plans.ods import build_ods
 from tagloom.plans.tags import build_area_dictionary, build_tags
 from tagloom.schema import TABLE_KEYS
-from tagloom.session import Scratch, names_in, scratch_scope
+from tagloom.session import Scratch, compiled_wide_rows, names_in, scratch_scope
 from tagloom.sources.tables import DatedTables
 
 MEMBERS = "user_id string, id string"
@@ -30,10 +30,9 @@ ODS_ORDER = ("requestdate",)
 def run_etl(tables: DatedTables, run_date: dt.date, log: DataFrame, regions: DataFrame,
             places: DataFrame) -> None:
     """The enriched log, one row per session."""
-    with scratch_scope(tables.spark):
-        raw = Scratch(tables.spark, "etl").save(
-            unique_by_key(log, TABLE_KEYS["ods"], ODS_ORDER), "log")
-        tables.write(build_ods(raw, regions, places), "ods", run_date, TABLE_KEYS["ods"])
+    with scratch_scope(tables.spark), compiled_wide_rows(tables.spark):
+        raw = unique_by_key(log, TABLE_KEYS["ods"], ODS_ORDER)
+        tables.write(build_ods(raw, regions, places, store_log=True), "ods", run_date, TABLE_KEYS["ods"])
 
 
 def run_reports(tables: DatedTables, run_date: dt.date, cost_column: str = COST_COLUMN) -> None:

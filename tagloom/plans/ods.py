@@ -46,11 +46,12 @@ def ip_regions(log: DataFrame, regions: DataFrame) -> DataFrame:
                         F.coalesce(clean_area(region["area"]), F.lit(UNKNOWN_AREA)).alias("area"))
 
 
-def build_ods(log: DataFrame, regions: DataFrame, places: DataFrame) -> DataFrame:
+def build_ods(log: DataFrame, regions: DataFrame, places: DataFrame, store_log: bool = False) -> DataFrame:
     """The log with the place of each address; rows without an address keep NULL.
 
     With small range tables, rows are placed where they are. With large ones the log is read twice: for the
-    counts of its addresses, which also tell those that need to be spread, and for the join.
+    counts of its addresses, which also tell those that need to be spread, and for the join. `store_log`
+    stores it for that, if it is not a table but costs work of its own.
     """
     raw = log.drop(*GEO_COLUMNS)
     placed = with_small_ranges(raw, {"_region": regions, "_place": places})
@@ -59,7 +60,8 @@ def build_ods(log: DataFrame, regions: DataFrame, places: DataFrame) -> DataFram
         geo = {name: F.when(known, value) for name, value in zip(GEO_COLUMNS, _geo("_region", "_place"))}
         return placed.withColumns(geo).select(*ODS_COLUMNS)
     scratch = Scratch(log.sparkSession, "ods")
-    counts = scratch.save(ip_counts(log), "ips")
+    raw = scratch.save(raw, "log") if store_log else raw
+    counts = scratch.save(ip_counts(raw), "ips")
     info = scratch.save(_placed(counts.select("ip"), regions, places), "ip_info")
     return lookup_join(raw, info, "ip", hot=hot_of_counts(counts, "ip"),
                        spread=["sessionid"]).select(*ODS_COLUMNS)

@@ -10,8 +10,9 @@ from tagloom.__main__ import main
 from tagloom.operators.funnel import REPORTS, ad_funnel
 from tagloom.plans.daily import (run_area_dictionary, run_cooling_tags, run_etl, run_report_part,
                                 run_reports, run_reports_of_parts, run_tags)
+from tagloom.plans.ods import build_ods
 from tagloom.schema import ODS_COLUMNS
-from tagloom.session import shared_folder
+from tagloom.session import Scratch, shared_folder
 from tagloom.sources.dictionaries import device_codes
 from tagloom.sources.tables import DatedTables
 from workload.adlog import app_names, place_ranges, raw_log, region_ranges, responses, table
@@ -46,6 +47,29 @@ def test_ods(tables, spark):
     assert ods.count() + tables.read("ods", DAYS[1]).count() == table(spark, SF, "events").count()
 
 
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_ods_of_a_log_that_came_twice(spark, tmp_path, monkeypatch, threshold):
+    """The log is stored apart only if large range tables have it read twice; wide rows run compiled meanwhile."""
+    saved, limits, limit = [], [], "spark.sql.codegen.hugeMethodLimit"
+    save, write = Scratch.save, DatedTables.write
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name: saved.append(name) or save(self, df, name))
+    monkeypatch.setattr(DatedTables, "write", lambda self, *args, **more: limits.append(
+        int(spark.conf.get(limit))) or write(self, *args, **more))
+    before, threshold_before = spark.conf.get(limit), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    log = raw_log(spark, SF)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        tables = DatedTables(spark, str(tmp_path / "tables"))
+        run_etl(tables, DAYS[0], log.unionByName(log), region_ranges(spark, SF), place_ranges(spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold_before)
+    assert ("log" in saved) == (threshold == "-1")
+    assert limits == [8000] and spark.conf.get(limit) == before
+    found = tables.read("ods", DAYS[0])
+    expected = build_ods(log, region_ranges(spark, SF), place_ranges(spark, SF))
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
 def test_reports(tables):
     ods = tables.read("ods", DAYS[0])
     for report in REPORTS.values():
