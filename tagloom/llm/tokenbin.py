@@ -14,6 +14,7 @@ Shards are ranges of document ids in ascending order; within them, blocks and do
 Memory: a task holds a block of about `BLOCK_IDS` ids or one document.
 """
 
+import functools
 import json
 import os
 import re
@@ -21,6 +22,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
@@ -30,16 +32,101 @@ from tagloom.session import Scratch
 BLOCK_IDS = 1 << 20
 END_ID = 2
 _REMEMBERED = 400_000
-_WORDS_AT_ONCE = 2000
-# Parts of a text that the tokenizers of this kind never join with what is beside them: a run of letters
-# with the space before it, a contraction that does not follow a sign, and the last of several
-# white spaces, which they leave to what follows. What is between such parts is a part too.
-_PARTS = re.compile(r"( ?[^\W\d_]+|(?<![ _])(?<![^\w\s])'(?:s|t|re|ve|m|ll|d)|(?<=\s)[^\S ](?=\S))")
+_REMEMBERED_BYTES = 64 << 20
+_WORDS_AT_ONCE = 500
+# Kinds of characters, as the expressions of `re` tell them: letters, digits, the space, other white space, the rest,
+# and those that `re` takes for another kind than the tokenizers. `_EDGE` stands for what is before and behind a text.
+_EDGE, _LETTER, _DIGIT, _SPACE, _BLANK, _REST, _ODD = range(7)
+_KINDS = {_LETTER: r"[^\W\d_]+", _DIGIT: r"\d+", _SPACE: " ", _BLANK: r"[^\S ]+"}
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + np.uint8(1)
 
 
 # -- text to ids ---------------------------------------------------------------------
 
+@functools.cache
+def _kinds() -> np.ndarray:
+    """The kind of every character by its code."""
+    every = "".join(map(chr, range(0x110000)))
+    kinds = np.full(len(every), _REST, np.uint8)
+    for kind, expression in _KINDS.items():
+        for found in re.finditer(expression, every):
+            kinds[found.start():found.end()] = kind
+    kinds[0x1C:0x20] = _ODD
+    kinds[[ord(c) for c in every if c.isnumeric() and not c.isalpha() and not c.isdecimal()]] = _ODD
+    return kinds
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
+def _cuts(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where parts begin that the tokenizers of this kind never join with what is beside them; `first` are the
+    beginnings of texts.
+
+    Such parts are a run of letters with the space before it, a contraction that does not follow a sign or a
+    space, and the last of several white spaces but a space, which they leave to what follows. What is between
+    such parts is a part too.
+    """
+    kind = _kinds()[codes]
+    before, after = np.roll(kind, 1), np.roll(kind, -1)
+    before[first], after[first - 1] = _EDGE, _EDGE  # of the first text, that is behind the last one
+    cut = np.zeros(len(codes) + 1, bool)
+    cut[first] = True
+    letter = kind == _LETTER
+    cut[:-1] |= ~letter & (before == _LETTER)
+    begins = letter & (before != _LETTER)
+
+    quotes = np.flatnonzero(codes == ord("'"))
+    quotes = quotes[np.isin(before[quotes], (_EDGE, _LETTER, _DIGIT, _BLANK)) & (after[quotes] == _LETTER)]
+    short = quotes[np.isin(codes[quotes + 1], [ord(c) for c in "stmd"])]
+    long = quotes[after[quotes + 1] == _LETTER]
+    long = long[np.isin(codes[long + 1] << 8 | codes[long + 2], [ord(c) << 8 | ord(d) for c, d in ("re", "ve", "ll")])]
+    for found, length in ((short, 2), (long, 3)):
+        begins[found + 1] = False
+        cut[found] = cut[found + length] = True
+
+    words = np.flatnonzero(begins)
+    cut[words - (before[words] == _SPACE)] = True
+    blanks = np.flatnonzero(kind == _BLANK)
+    blanks = blanks[np.isin(before[blanks], (_SPACE, _BLANK)) & ~np.isin(after[blanks], (_EDGE, _SPACE, _BLANK))]
+    cut[blanks] = cut[blanks + 1] = True
+    return np.flatnonzero(cut[:-1])
+
+
+def _ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The values of several runs, one after the other."""
+    ends = np.cumsum(sizes)
+    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
+
+
+class _Parts:
+    """Different parts of texts and their ids."""
+
+    def __init__(self):
+        self.texts = pa.array([], pa.string())
+        self.ids = np.zeros(0, np.uint32)
+        self.starts = self.sizes = np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.texts)
+
+    def places(self, texts: pa.Array) -> np.ndarray:
+        """Where each text is, -1 for those that are not there."""
+        return pc.index_in(texts, value_set=self.texts).fill_null(-1).to_numpy().astype(np.int64)
+
+    def ids_of(self, places: np.ndarray) -> np.ndarray:
+        return _ragged(self.ids, self.starts[places], self.sizes[places])
+
+    def add(self, texts: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The places that the new texts get."""
+        self.texts = pa.concat_arrays([self.texts, texts])
+        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.sizes = np.append(self.sizes, sizes)
+        self.ids = np.append(self.ids, ids)
+        return np.arange(len(self.texts) - len(texts), len(self.texts))
+
+
 class Encoder:
     """Encodes texts with a tokenizer file, remembering parts: those of late, and those before them."""
 
@@ -51,12 +138,8 @@ class Encoder:
         # A character of a token's name stands for a byte.
         self.bytes = np.array([len(name.encode()) if i in special else len(name)
                                for i, name in enumerate(names)], np.int64)
-        self.parts: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-        # Texts with characters that the expression takes for other kinds than the tokenizer, or with
-        # special tokens, are encoded whole.
-        self.odd = {c for c in map(chr, range(0x110000))
-                    if c in "\x1c\x1d\x1e\x1f" or c.isnumeric() and not c.isalpha() and not c.isdecimal()}
+        self.parts = _Parts()
+        self.before = _Parts()
         self.special = [token.content for token in special.values()]
         self.by_parts = _is_of_bytes(self.tokenizer)
 
@@ -65,37 +148,76 @@ class Encoder:
         return [np.array(e.ids, np.uint32).tobytes() for e in found]
 
     def _whole(self, text: str) -> bool:
+        """Texts with characters of odd kinds, or with special tokens, are encoded whole."""
         return (not self.by_parts or any(token in text for token in self.special)
-                or not self.odd.isdisjoint(set(text)))
+                or bool((_kinds()[_codes(text)] == _ODD).any()))
 
-    def _learn(self, parts: set[str]) -> None:
-        """Encode words, many as one text, whose ids are told apart by their bytes; other parts singly."""
-        words = [part for part in parts if part[0] == " " and part[1:].isalpha()]
+    def _ids_of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their numbers; many words are encoded as one text, and told apart by their bytes."""
+        offsets = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, 4 * words.offset)
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for at in range(0, len(words), _WORDS_AT_ONCE):
-            some = words[at:at + _WORDS_AT_ONCE]
-            packed = self._encoded(["".join(some)])[0]
-            ends = np.cumsum([len(word.encode()) for word in some])
-            reached = np.cumsum(self.bytes[np.frombuffer(packed, np.uint32)])
-            places = (np.searchsorted(reached, ends, side="right") * 4).tolist()
-            self.parts.update(zip(some, [packed[a:b] for a, b in zip([0, *places], places)]))
-        others = list(parts.difference(words))
-        self.parts.update(zip(others, self._encoded(others)))
+            ends = offsets[at:at + _WORDS_AT_ONCE + 1]
+            text = words.buffers()[2].slice(ends[0], ends[-1] - ends[0]).to_pybytes().decode()
+            ids.append(np.frombuffer(self._encoded([text])[0], np.uint32))
+            sizes.append(np.diff(np.searchsorted(np.cumsum(self.bytes[ids[-1]]), ends - ends[0], side="right")))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _remember(self, texts: pa.Array, is_word: np.ndarray) -> np.ndarray:
+        """The places of different texts among the parts. Words, with the space before them, are encoded many at
+        once; other parts singly."""
+        places = self.parts.places(texts)
+        if len(self.parts) + len(texts) > _REMEMBERED or self.parts.texts.nbytes > _REMEMBERED_BYTES:
+            self.parts, self.before = _Parts(), self.parts
+            places[:] = -1
+        new = np.flatnonzero(places < 0)
+        unknown, is_word = texts.take(pa.array(new)), is_word[new]
+        earlier = self.before.places(unknown)
+        is_word &= earlier < 0
+        some = np.flatnonzero(earlier >= 0)
+        places[new[some]] = self.parts.add(
+            unknown.take(pa.array(some)), self.before.ids_of(earlier[some]), self.before.sizes[earlier[some]])
+        some = np.flatnonzero(is_word)
+        words = unknown.take(pa.array(some))
+        places[new[some]] = self.parts.add(words, *self._ids_of_words(words))
+        some = np.flatnonzero(~is_word & (earlier < 0))
+        others = unknown.take(pa.array(some))
+        found = self._encoded(others.to_pylist())
+        places[new[some]] = self.parts.add(others, np.frombuffer(b"".join(found), np.uint32),
+                                           np.array([len(ids) // 4 for ids in found], np.int64))
+        return places
+
+    def _by_parts(self, texts: list[str]) -> list[bytes]:
+        """Cuts all texts at once, and looks each different part up once."""
+        joined = "".join(texts)
+        if not joined:
+            return [b""] * len(texts)
+        codes = _codes(joined)
+        bounds = np.cumsum([0, *map(len, texts)])
+        at = _cuts(codes, bounds[:-1][np.diff(bounds) > 0])
+        ends = np.append(at, len(codes))
+        words = (codes[at] == ord(" ")) & (np.diff(ends) > 1)
+        words[words] = _kinds()[codes[at[words] + 1]] == _LETTER
+        if not joined.isascii():
+            more = (codes > 0x7F).view(np.uint8) + (codes > 0x7FF).view(np.uint8) + (codes > 0xFFFF).view(np.uint8)
+            ends = ends + np.append(0, np.cumsum(more, dtype=np.int64))[ends]
+        parts = pa.StringArray.from_buffers(len(at), pa.py_buffer(ends.astype(np.int32)),
+                                            pa.py_buffer(joined.encode())).dictionary_encode()
+        which = parts.indices.to_numpy()
+        is_word = np.zeros(len(parts.dictionary), bool)
+        is_word[which] = words
+        which = self._remember(parts.dictionary, is_word)[which]
+        ids = self.parts.ids_of(which)
+        reached = np.append(0, np.cumsum(self.parts.sizes[which]))
+        places = reached[np.searchsorted(at, bounds)].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(places, places[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
-        split = [None if self._whole(text) else _PARTS.split(text) for text in texts]
-        whole = iter(self._encoded([text for text, parts in zip(texts, split) if parts is None]))
-        wanted = set()
-        for parts in split:
-            wanted.update(parts or ())
-        if len(self.parts) + len(wanted) > _REMEMBERED:
-            self.parts, self.before = {"": b""}, self.parts
-        self.parts[""] = b""
-        new = wanted.difference(self.parts)
-        self.parts.update((part, self.before[part]) for part in new.intersection(self.before))
-        self._learn(new.difference(self.before))
-        part = self.parts.__getitem__
-        return [next(whole) if parts is None else b"".join(map(part, parts)) for parts in split]
+        is_whole = [self._whole(text) for text in texts]
+        whole = iter(self._encoded([text for text, single in zip(texts, is_whole) if single]))
+        others = iter(self._by_parts([text for text, single in zip(texts, is_whole) if not single]))
+        return [next(whole if single else others) for single in is_whole]
 
 
 def _is_of_bytes(tokenizer: Tokenizer) -> bool:

@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -54,6 +55,31 @@ def test_parts_of_any_text(text):
     assert found == WHOLE.encode(text, add_special_tokens=False).ids
 
 
+PARTS = re.compile(r"( ?[^\W\d_]+|(?<![ _])(?<![^\w\s])'(?:s|t|re|ve|m|ll|d)|(?<=\s)[^\S ](?=\S))")
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(alphabet=" \n\t'stvrelmda1_.-(é中\u0301\xa0<A𝒳", max_size=9), max_size=4))
+def test_texts_are_cut_at_once_as_one_by_one(texts):
+    joined = "".join(texts)
+    if joined:
+        bounds = np.cumsum([0, *map(len, texts)])
+        at = [*tokenbin._cuts(tokenbin._codes(joined), bounds[:-1][np.diff(bounds) > 0]).tolist(), len(joined)]
+        assert [joined[a:b] for a, b in zip(at, at[1:])] == [p for text in texts for p in PARTS.split(text) if p]
+    assert ENCODER.encode(texts) == [ENCODER.encode([text])[0] for text in texts]
+
+
+def test_a_part_is_looked_up_once_for_many_texts(monkeypatch):
+    looked_up = []
+    remember = tokenbin.Encoder._remember
+    monkeypatch.setattr(tokenbin.Encoder, "_remember", lambda self, parts, is_word:
+                        looked_up.extend(parts.to_pylist()) or remember(self, parts, is_word))
+    texts = ["one two" + " two" * 500, "", "²", "two two two <|endoftext|>", "one two"] * 3
+    assert [np.frombuffer(ids, np.uint32).tolist() for ids in ENCODER.encode(texts)] \
+        == [WHOLE.encode(text, add_special_tokens=False).ids for text in texts]
+    assert sorted(looked_up) == [" two", "one"]
+
+
 def test_parts_are_remembered_within_a_bound(monkeypatch):
     monkeypatch.setattr(tokenbin, "_REMEMBERED", 40)
     few, texts = tokenbin.Encoder(PATH), [nasty.words(n, 30) for n in range(5)] * 2
