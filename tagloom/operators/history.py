@@ -7,17 +7,21 @@ weights with a `day` of their own cool by the days that went by, when they are r
 
 import datetime as dt
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagloom.operators.identity import extend_members, members_of, user_weights
+from tagloom.operators.identity import extend_members, members_of, summed, user_weights
 from tagloom.operators.skew import lookup_join
 from tagloom.session import Scratch
 
 # Fixed value: the share of a weight that is left after a day.
 DECAY = 0.9
 
+# Today's weights: a frame per id (`id`, `tag`, `weight`), or a function that makes rows per user (`user_id`, `tag`,
+# `weight`; still to be summed) of today's labels (`id`, `user_id`).
+Weights = DataFrame | Callable[[DataFrame], DataFrame]
+
 
 def decayed(weights: DataFrame, decay: float | Mapping[str, float] = DECAY) -> DataFrame:
     """Weights times the decay factor.
@@ -52,7 +56,7 @@ def merge_history(old_members: DataFrame, old_weights: DataFrame, edges: DataFra
 
 
 def extend_history(old_members: DataFrame, old_weights: DataFrame, edges: DataFrame,
-                   weights: DataFrame, decay: float | Mapping[str, float] = DECAY,
+                   weights: Weights, decay: float | Mapping[str, float] = DECAY,
                    ) -> tuple[DataFrame, DataFrame]:
     """The same rows as `merge_history`, with work that follows today's records.
 
@@ -72,10 +76,12 @@ def _extended(old_members, old_weights, edges, weights, today: Column | None = N
     columns = old_weights.columns
     resting = old.where("_now IS NULL").select(*columns)
     touched = cool(old.where("_now IS NOT NULL").withColumn("user_id", F.col("_now")).select(*columns))
-    fresh = lookup_join(scratch.save(weights.select("id", "tag", "weight"), "weights"),
-                        found.labels, "id", "inner")
-    merged = (touched.select("user_id", "tag", "weight").unionByName(fresh.select("user_id", "tag", "weight"))
-              .groupBy("user_id", "tag").agg(F.sum("weight").alias("weight")))
+    if callable(weights):
+        fresh = weights(found.labels)
+    else:
+        fresh = lookup_join(scratch.save(weights.select("id", "tag", "weight"), "weights"),
+                            found.labels, "id", "inner")
+    merged = summed(touched.select("user_id", "tag", "weight").unionByName(fresh.select("user_id", "tag", "weight")))
     if today is not None:
         merged = merged.withColumn("day", today)
     return found.members, resting.unionByName(merged.select(*columns))
@@ -108,7 +114,7 @@ def merge_cooled(weights: DataFrame, as_of: dt.date, decay: float | Mapping[str,
 
 
 def extend_cooling(old_members: DataFrame, old_weights: DataFrame, edges: DataFrame,
-                   weights: DataFrame, day: dt.date, decay: float | Mapping[str, float] = DECAY,
+                   weights: Weights, day: dt.date, decay: float | Mapping[str, float] = DECAY,
                    ) -> tuple[DataFrame, DataFrame]:
     """Members and weights (with their `day`) of the old users and the records of `day`.
 

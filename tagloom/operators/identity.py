@@ -85,7 +85,22 @@ def id_weights(records: DataFrame) -> DataFrame:
             .groupBy("id", "tag").agg(F.count("*").cast("double").alias("weight")))
 
 
+def tags_of_users(records: DataFrame, members: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """A row (`user_id`, `tag`, `weight` 1) for each tag of each record (`ids`, `tags`).
+
+    The user is looked up once per record and not for its tags, so that these are summed per user at once.
+    `hot` may give the hot main ids, as for `lookup_join`.
+    """
+    rows = records.select(F.get("ids", F.lit(0)).alias("id"), "tags")
+    found = lookup_join(rows, members.select("id", "user_id"), "id", "inner", hot=hot)
+    return explode_tags(found, "user_id").withColumn("weight", F.lit(1.0))
+
+
+def summed(weights: DataFrame) -> DataFrame:
+    """One weight per user and tag."""
+    return weights.groupBy("user_id", "tag").agg(F.sum("weight").alias("weight"))
+
+
 def user_weights(weights: DataFrame, members: DataFrame) -> DataFrame:
     """Tag weights per id (`id`, `tag`, `weight`), summed over the ids of each user."""
-    return (with_user(weights, members)
-            .groupBy("user_id", "tag").agg(F.sum("weight").alias("weight")))
+    return summed(with_user(weights, members))

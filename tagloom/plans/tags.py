@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tagloom.operators.areas import area_dictionary, distinct_coordinates, with_areas
 from tagloom.operators.history import DECAY, extend_cooling, extend_history
-from tagloom.operators.identity import (id_weights, identified_rows, identity_edges, members_of,
-                                        user_weights)
+from tagloom.operators.identity import (identified_rows, identity_edges, members_of, summed,
+                                        tags_of_users)
+from tagloom.operators.skew import hot_keys
 from tagloom.operators.tags import fill_app_name, row_ids, row_tags, with_codes
 
 
@@ -44,10 +45,16 @@ def build_tags(ods: DataFrame, areas: DataFrame, app_names: DataFrame, codes: Da
     """
     ids = identified_rows(ods).select(row_ids(qualify_ids).alias("ids"))
     edges = identity_edges(ids)
-    weights = id_weights(records(ods, areas, app_names, codes, qualify_ids))
+    rows = records(ods, areas, app_names, codes, qualify_ids)
+    # The hot ids are counted without making tags.
+    hot = hot_keys(ids.select(F.col("ids")[0].alias("id")), "id")
+
+    def weights(members):
+        return tags_of_users(rows, members, hot)
+
     if history is None:
         members = members_of(edges)
-        merged = user_weights(weights, members)
+        merged = summed(weights(members))
         return members, merged.withColumn("day", F.lit(cooling_day)) if cooling_day else merged
     if cooling_day:
         return extend_cooling(*history, edges, weights, cooling_day, decay)

@@ -14,6 +14,7 @@ from tagloom.operators.history import (cooled, decayed, extend_cooling, extend_h
 from tagloom.operators.identity import (extend_members, id_weights, identity_edges, members_of,
                                         user_weights)
 from tagloom.operators.userrows import (from_text, members_and_weights, to_text, user_rows)
+from tagloom.plans.tags import build_tags, records
 from tagloom.session import Scratch
 
 
@@ -251,3 +252,38 @@ def test_users_without_records_keep_the_day_of_their_weights(spark):
     assert {(r.user_id, r.tag): (round(r.weight, 9), r.day.day) for r in weights.collect()} == {
         ("a", "x"): (round(1 + 0.9 ** 9 + 0.9 ** 10, 9), 11), ("c", "x"): (1.0, 2), ("d", "y"): (1.0, 11)}
     assert _sorted(members) == [("a", "a"), ("a", "b"), ("c", "c"), ("d", "d")]
+
+
+@pytest.mark.parametrize("threshold, cooling_day", [("10MB", None), ("-1", dt.date(2024, 1, 2))])
+def test_tags_are_summed_per_user_at_once(spark, monkeypatch, threshold, cooling_day):
+    """Half of the rows have the same main id, some come twice and some have no id; no tags per id are stored."""
+    log = spark.range(400).selectExpr(
+        "string(id) AS sessionid", "if(id % 2 = 0, 'hot', if(id % 9 = 0, ' ', 'I' || id % 40)) AS imei",
+        "if(id % 7 = 0, 'M' || id % 20, NULL) AS mac", "if(id % 5 = 0, 'D' || id, NULL) AS idfa",
+        "'' AS openudid", "string(NULL) AS androidid", "'X' || id % 3 AS appid", "'App' || id % 3 AS appname",
+        "if(id % 4 = 0, NULL, 'DEV ' || id % 6) AS device", "id % 3 AS client", "'移动' AS ispname",
+        "'WIFI' AS networkmannername", "id % 2 AS devicetype", "'P' || id % 2 AS province", "'C' || id % 5 AS city",
+        "'c' || id % 8 AS channelid", "'a,b,a,' || id % 6 AS keywords", "20 + id % 3 AS age", "id % 2 AS sex",
+        "double(id % 10) AS longitude", "double(id % 10) AS latitude")
+    log = log.unionByName(log.where("sessionid % 11 = 0"))
+    log = Scratch(spark, "test").save(log, "log")
+    sides = [spark.sql(f"SELECT {columns}") for columns in (
+        "'s00000000' AS geohash, 'x,y' AS areas", "'X1' AS appid, 'One' AS appname", "'WIFI' AS value, 'N1' AS code")]
+    per_row = Scratch(spark, "test").save(records(log, *sides), "records")
+    weights = user_weights(id_weights(per_row), members_of(identity_edges(per_row)))
+    expected = {(r.user_id, r.tag): r.weight for r in weights.collect()}
+    schemas = ("user_id string, id string", f"user_id string, tag string, weight double{', day date' if cooling_day else ''}")
+    empty = [Scratch(spark, "test").save(spark.createDataFrame([], schema), "empty") for schema in schemas]
+    stored, save = [], Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name: (stored.append(df.columns), save(self, df, name))[1])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for history in (None, empty):
+            _, found = build_tags(log, *sides, history, cooling_day=cooling_day)
+            rows = found.collect()
+            assert {(r.user_id, r.tag): r.weight for r in rows} == expected and len(rows) == len(expected) > 100
+            assert not cooling_day or {r.day for r in rows} == {cooling_day}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not [columns for columns in stored if "tag" in columns]
